@@ -65,6 +65,25 @@ def _next_observation_name() -> str:
     return f"trip_parse_{next(_observations)}"
 
 
+def _sql_int(path: str) -> str:
+    return f"try_cast(try_cast({path} AS DOUBLE) AS INT)"
+
+
+def _sql_count_points(times: str, points: str, op: str, threshold: float) -> str:
+    return (f"CAST(CASE WHEN {times} > 0 THEN size(filter({points}, p -> "
+            f"try_cast(p.acceValue AS DOUBLE) {op} {threshold!r})) ELSE 0 END AS INT)")
+
+
+def _sql_bad_points(times: str, points: str) -> str:
+    return (f"({times} > 0 AND ({points} IS NULL OR "
+            f"exists({points}, p -> try_cast(p.acceValue AS DOUBLE) IS NULL)))")
+
+
+def _sql_from_json(text: str, schema: str) -> str:
+    opts = ", ".join(f"'{k}', '{v}'" for k, v in _JSON_OPTS.items())
+    return f"from_json({text}, '{schema}', map({opts}))"
+
+
 def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """P1+P2 on split lines: all trip columns plus ``reject_reason``.
 
@@ -73,73 +92,67 @@ def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     columns, then the reason) make every ``from_json`` run once per row:
     the optimizer does not merge a projection that would repeat an
     expensive expression, and it prunes each parsed struct to the fields
-    read from it.
+    read from it.  Expressions are SQL text: one call into the JVM per
+    stage instead of one per column operator.
     """
-    keep = lines.columns
-    outer = lines.select("*", F.from_json(F.col(line_col), OUTER_SCHEMA, _JSON_OPTS).alias(_O))
-    o = F.col(_O)
-    events = outer.select(
+    keep = [f"`{c}`" for c in lines.columns]
+    outer = lines.selectExpr("*", f"{_sql_from_json(f'`{line_col}`', OUTER_SCHEMA)} AS {_O}")
+    events = outer.selectExpr(
         "*",
-        F.from_json(o[JSON_ACCE], RAPID_SCHEMA, _JSON_OPTS).alias(_A),
-        F.from_json(o[JSON_DECE], RAPID_SCHEMA, _JSON_OPTS).alias(_D),
-        F.from_json(o[JSON_TURN], TURN_SCHEMA, _JSON_OPTS).alias(_T),
-        F.from_json(o[JSON_OVERSPEED], SCORE_SCHEMA, _JSON_OPTS).alias(_OV),
-        F.from_json(o[JSON_TIRED], SCORE_SCHEMA, _JSON_OPTS).alias(_TI))
-    acce, dece, turn, over, tired = (F.col(c) for c in (_A, _D, _T, _OV, _TI))
-
-    typed = {
-        "mileage": to_int(o[JSON_MILEAGE]),
-        "terminal_id": o[JSON_TERMINAL],
-        "acce_times": to_int(acce["times"]),
-        "acce_score": to_int(acce["score"]),
-        "dece_times": to_int(dece["times"]),
-        "dece_score": to_int(dece["score"]),
-        "turn_times": to_int(turn["times"]),
-        "turn_score": to_int(turn["score"]),
-        "overspeed_score": to_int(over["score"]),
-        "tired_score": to_int(tired["score"]),
-    }
+        f"{_sql_from_json(f'{_O}.{JSON_ACCE}', RAPID_SCHEMA)} AS {_A}",
+        f"{_sql_from_json(f'{_O}.{JSON_DECE}', RAPID_SCHEMA)} AS {_D}",
+        f"{_sql_from_json(f'{_O}.{JSON_TURN}', TURN_SCHEMA)} AS {_T}",
+        f"{_sql_from_json(f'{_O}.{JSON_OVERSPEED}', SCORE_SCHEMA)} AS {_OV}",
+        f"{_sql_from_json(f'{_O}.{JSON_TIRED}', SCORE_SCHEMA)} AS {_TI}")
     sub_names = {"control_score": JSON_SUBSCORES[0], "economy_score": JSON_SUBSCORES[1],
                  "focus_score": JSON_SUBSCORES[2], "road_score": JSON_SUBSCORES[3],
                  "envir_score": JSON_SUBSCORES[4]}
-    for col, field in sub_names.items():
-        typed[col] = to_int(o[field])
-    stage = events.select("*", *[c.alias(n) for n, c in typed.items()])
-    c = F.col
-    derived = {
-        "acce_over_3g": count_points(c("acce_times"), acce["points"], above=ACCE_THRESHOLD),
-        "dece_over_3g": count_points(c("dece_times"), dece["points"], below=DECE_THRESHOLD),
+    typed = {
+        "mileage": _sql_int(f"{_O}.{JSON_MILEAGE}"),
+        "terminal_id": f"{_O}.{JSON_TERMINAL}",
+        "acce_times": _sql_int(f"{_A}.times"),
+        "acce_score": _sql_int(f"{_A}.score"),
+        "dece_times": _sql_int(f"{_D}.times"),
+        "dece_score": _sql_int(f"{_D}.score"),
+        "turn_times": _sql_int(f"{_T}.times"),
+        "turn_score": _sql_int(f"{_T}.score"),
+        "overspeed_score": _sql_int(f"{_OV}.score"),
+        "tired_score": _sql_int(f"{_TI}.score"),
+        **{col: _sql_int(f"{_O}.{field}") for col, field in sub_names.items()},
     }
+    stage = events.selectExpr("*", *[f"{expr} AS {name}" for name, expr in typed.items()])
 
-    def obj_bad(obj: Column) -> Column:
-        return obj.isNull() | obj[_CORRUPT].isNotNull()
+    def obj_bad(obj: str) -> str:
+        return f"({obj} IS NULL OR {obj}.{_CORRUPT} IS NOT NULL)"
 
     # First failing field, in the order a reader of the message touches them.
-    checks: list[tuple[Column, str]] = [
-        (o.isNull() | o[_CORRUPT].isNotNull(), "malformed_json"),
-        (c("mileage").isNull(), JSON_MILEAGE),
-        (c("terminal_id").isNull(), JSON_TERMINAL),
-        (obj_bad(acce), JSON_ACCE),
-        (c("acce_times").isNull(), f"{JSON_ACCE}.times"),
-        (c("acce_score").isNull(), f"{JSON_ACCE}.score"),
-        (_bad_points(c("acce_times"), acce["points"]), f"{JSON_ACCE}.points"),
-        (obj_bad(dece), JSON_DECE),
-        (c("dece_times").isNull(), f"{JSON_DECE}.times"),
-        (c("dece_score").isNull(), f"{JSON_DECE}.score"),
-        (_bad_points(c("dece_times"), dece["points"]), f"{JSON_DECE}.points"),
-        (obj_bad(turn), JSON_TURN),
-        (c("turn_times").isNull(), f"{JSON_TURN}.times"),
-        (c("turn_score").isNull(), f"{JSON_TURN}.score"),
-        (obj_bad(over), JSON_OVERSPEED),
-        (c("overspeed_score").isNull(), f"{JSON_OVERSPEED}.score"),
-        (obj_bad(tired), JSON_TIRED),
-        (c("tired_score").isNull(), f"{JSON_TIRED}.score"),
-    ] + [(c(col).isNull(), field) for col, field in sub_names.items()]
-    reason = F.lit(None).cast("string")
-    for cond, name in reversed(checks):
-        reason = F.when(cond, F.lit(name)).otherwise(reason)
-    out = stage.select("*", *[v.alias(n) for n, v in derived.items()], reason.alias("reject_reason"))
-    out = out.select(*keep, *TRIP_COLUMNS, "reject_reason")
+    checks: list[tuple[str, str]] = [
+        (obj_bad(_O), "malformed_json"),
+        ("mileage IS NULL", JSON_MILEAGE),
+        ("terminal_id IS NULL", JSON_TERMINAL),
+        (obj_bad(_A), JSON_ACCE),
+        ("acce_times IS NULL", f"{JSON_ACCE}.times"),
+        ("acce_score IS NULL", f"{JSON_ACCE}.score"),
+        (_sql_bad_points("acce_times", f"{_A}.points"), f"{JSON_ACCE}.points"),
+        (obj_bad(_D), JSON_DECE),
+        ("dece_times IS NULL", f"{JSON_DECE}.times"),
+        ("dece_score IS NULL", f"{JSON_DECE}.score"),
+        (_sql_bad_points("dece_times", f"{_D}.points"), f"{JSON_DECE}.points"),
+        (obj_bad(_T), JSON_TURN),
+        ("turn_times IS NULL", f"{JSON_TURN}.times"),
+        ("turn_score IS NULL", f"{JSON_TURN}.score"),
+        (obj_bad(_OV), JSON_OVERSPEED),
+        ("overspeed_score IS NULL", f"{JSON_OVERSPEED}.score"),
+        (obj_bad(_TI), JSON_TIRED),
+        ("tired_score IS NULL", f"{JSON_TIRED}.score"),
+    ] + [(f"{col} IS NULL", field) for col, field in sub_names.items()]
+    reason = "CASE " + " ".join(f"WHEN {cond} THEN '{name}'" for cond, name in checks) + " END"
+    out = stage.selectExpr(
+        *keep, *TRIP_COLUMNS[:10],
+        f"{_sql_count_points('acce_times', f'{_A}.points', '>', ACCE_THRESHOLD)} AS acce_over_3g",
+        f"{_sql_count_points('dece_times', f'{_D}.points', '<', DECE_THRESHOLD)} AS dece_over_3g",
+        *TRIP_COLUMNS[12:],
+        f"{reason} AS reject_reason")
     # Line and reject counts as observed metrics (visible per batch in a
     # stream's progress).  The node also keeps a later filter on
     # ``reject_reason`` above the parse: pushed below, the filter would

@@ -28,25 +28,42 @@ from tripmetrics.schema import (DAILY_KEYS, HOURLY_METRICS, KEY_BY_HOUR, KEY_MON
 _EMPTY_SHARE = "0.0"
 
 
-def _triples(df: DataFrame, key: str, field, value) -> DataFrame:
-    return df.select("day", F.lit(key).alias("key"), field.alias("field"), value.cast("string").alias("value"))
+_SEP = "#"
+
+
+def _long(df: DataFrame, ids: list[str], named: dict[str, object]) -> DataFrame:
+    """Unpivot ``{"<key>#<field>": column}`` into ``(*ids, key, field, value)``."""
+    wide = df.select(*ids, *[F.col(c).cast("string").alias(n) if isinstance(c, str) else c.cast("string").alias(n)
+                             for n, c in named.items()])
+    long = wide.unpivot(ids, list(named), "_kf", "value")
+    return long.select(*ids, F.substring_index("_kf", _SEP, 1).alias("key"),
+                       F.substring_index("_kf", _SEP, -1).alias("field"), "value")
 
 
 def serving_kv(trips: DataFrame, beats: DataFrame | None = None) -> DataFrame:
-    """Long ``(day, key, field, value)`` table of all published metrics."""
+    """Long ``(day, key, field, value)`` table of all published metrics.
+
+    Four unpivots of wide tables (hourly spine, daily sums, score shares,
+    monitor) instead of one branch per key, so the plan stays small.
+    """
     hourly = hourly_spine(trips)
+    hourly_long = _long(
+        hourly.withColumn("hh", F.lpad(F.col("hour").cast("string"), 2, "0")), ["day", "hh"],
+        {f"{key}{_SEP}": col for col, key, _ in HOURLY_METRICS})
+    hourly_long = hourly_long.select("day", "key", F.col("hh").alias("field"), "value")
+
     daily = hourly.groupBy("day").agg(*[F.sum(c).alias(c) for c in SPINE_COLUMNS])
-    parts = []
-    for col, key in DAILY_KEYS:
-        parts.append(_triples(daily, key, F.lit(""), F.col(col)))
-    for col, key, snap_field in HOURLY_METRICS:
-        parts.append(_triples(hourly, key, F.lpad(F.col("hour").cast("string"), 2, "0"), F.col(col)))
-        parts.append(_triples(daily, KEY_BY_HOUR, F.lit(snap_field), F.col(col)))
-    shares = score_share(score_distribution(trips))
-    parts.append(_triples(shares, KEY_SCORE_COUNT, F.col("label"), F.col("n_trips")))
-    parts.append(_triples(shares, KEY_SCORE_SHARE, F.col("label"),
-                          F.coalesce(F.col("share_text"), F.lit(_EMPTY_SHARE))))
+    named = {f"{key}{_SEP}": col for col, key in DAILY_KEYS}
+    named.update({f"{KEY_BY_HOUR}{_SEP}{snap}": col for col, _, snap in HOURLY_METRICS})
+    daily_long = _long(daily, ["day"], named)
+
+    shares = score_share(score_distribution(trips)).select(
+        "day", "label", "n_trips", F.coalesce(F.col("share_text"), F.lit(_EMPTY_SHARE)).alias("share"))
+    share_long = _long(shares, ["day", "label"], {f"{KEY_SCORE_COUNT}{_SEP}": "n_trips",
+                                                 f"{KEY_SCORE_SHARE}{_SEP}": "share"})
+    share_long = share_long.select("day", "key", F.col("label").alias("field"), "value")
+
+    parts = [daily_long, hourly_long, share_long]
     if beats is not None:
-        last = heartbeat_last(beats)
-        parts.append(_triples(last, KEY_MONITOR, F.lit(""), F.col("last_beat_s")))
+        parts.append(_long(heartbeat_last(beats), ["day"], {f"{KEY_MONITOR}{_SEP}": "last_beat_s"}))
     return reduce(DataFrame.unionByName, parts)
