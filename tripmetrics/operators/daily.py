@@ -19,8 +19,16 @@ COUNTER_COLUMNS = ["mileage", "acce_times", "dece_times", "turn_times", "three_h
 
 
 def trip_facts(trips: DataFrame, cut_early_s: int = 0) -> DataFrame:
-    """Trips with ``day``, ``hour``, ``three_harsh`` and ``over_3g``."""
-    return with_time_keys(trips, cut_early_s=cut_early_s).withColumns({
+    """Trips with ``day``, ``hour``, ``three_harsh`` and ``over_3g``.
+
+    The explicit not-null filter on the keys makes every branch that reads
+    these facts start from the same plan (joins on ``day``/``hour`` would
+    otherwise add it to some branches only), so shared aggregates are
+    computed once and their shuffle reused.
+    """
+    keyed = with_time_keys(trips, cut_early_s=cut_early_s)
+    keyed = keyed.where(F.col("day").isNotNull() & F.col("hour").isNotNull())
+    return keyed.withColumns({
         "three_harsh": (F.col("acce_times") + F.col("dece_times") + F.col("turn_times")).cast("int"),
         "over_3g": (F.col("acce_over_3g") + F.col("dece_over_3g")).cast("int"),
     })
@@ -50,21 +58,44 @@ def daily_drivers(trips: DataFrame, approx: bool = False) -> DataFrame:
     return with_time_keys(trips).groupBy("day").agg(drivers_agg(approx))
 
 
-def day_range(df: DataFrame, day_col: str = "day") -> DataFrame:
-    """Every calendar day between the first and last day of ``df``.
+def day_range(agg: DataFrame, guard_col: str, day_col: str = "day") -> DataFrame:
+    """Every calendar day between the first and last day of the aggregated
+    table ``agg``.
 
     One global min/max (partial aggregates, one row out) exploded into a
-    sequence: rows = days in range, independent of data volume.
+    sequence: rows = days in range, independent of data volume.  The bounds
+    read ``guard_col`` (a count computed by ``agg``); a min/max of the
+    grouping key alone would let the optimizer drop ``agg`` and recompute the
+    bounds from the raw input -- a second parse of every message -- instead
+    of reusing ``agg``'s shuffle.
+    """
+    day = F.when(F.col(guard_col) >= 0, F.col(day_col))
+    bounds = agg.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    return bounds.where(F.col("lo").isNotNull()).select(
+        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
+
+
+def days_between(df: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """Every calendar day from the first to the last timestamp of ``df``.
+
+    Pass the *message* frame: the bounds then come from the envelope times
+    alone (a one-column scan, no JSON parse), and a day on which only
+    malformed messages arrived still gets its zero row.
     """
-    bounds = df.agg(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))
+    bounds = df.agg(F.to_date(F.min(ts_col)).alias("lo"), F.to_date(F.max(ts_col)).alias("hi"))
     return bounds.where(F.col("lo").isNotNull()).select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
 
 
-def daily_spine(trips: DataFrame, approx: bool = False) -> DataFrame:
-    """All counters and drivers for every day in range, 0 on empty days."""
+def daily_spine(trips: DataFrame, approx: bool = False, days: DataFrame | None = None) -> DataFrame:
+    """All counters and drivers for every day in range, 0 on empty days.
+
+    ``days``: the calendar (e.g. ``days_between(messages)``); by default the
+    days between the first and last day with trips.
+    """
     facts = trip_facts(trips)
     per_day = facts.groupBy("day").agg(*counter_aggs(), drivers_agg(approx))
     metrics = ["n_trips", *COUNTER_COLUMNS, "drivers"]
-    return (day_range(per_day).join(per_day, "day", "left")
+    days = days if days is not None else day_range(per_day, "n_trips")
+    return (days.join(per_day, "day", "left")
             .select("day", *[F.coalesce(F.col(m), F.lit(0).cast("long")).alias(m) for m in metrics]))

@@ -47,34 +47,47 @@ def day_hour_grid(days: DataFrame) -> DataFrame:
     return days.select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
 
 
-def terminal_hour_rollup(trips: DataFrame, cut_early_s: int = 0) -> DataFrame:
-    """Counters per ``(day, hour, terminal_id)``.
+def terminal_hour_rollup(trips: DataFrame, cut_early_s: int = 0, extra_aggs=()) -> DataFrame:
+    """Counters per ``(day, hour, terminal_id)`` (pre-aggregated shuffle)."""
+    return trip_facts(trips, cut_early_s).groupBy("day", "hour", "terminal_id").agg(
+        *counter_aggs(), *extra_aggs)
 
-    One scan and one pre-aggregated shuffle feed both the hourly counters
-    and first-seen drivers, so the trip messages are parsed once.
+
+def hourly_from_rollup(rollup: DataFrame, extra_cols=()) -> DataFrame:
+    """Hourly counters and first-seen drivers from a terminal-hour rollup.
+
+    A terminal's first hour of the day is the least hour among its rollup
+    rows; the window partitions by ``(day, terminal_id)`` and so holds at most
+    24 rows, whatever the terminal's trip count.  One linear plan: the trips
+    are parsed once.
     """
-    return trip_facts(trips, cut_early_s).groupBy("day", "hour", "terminal_id").agg(*counter_aggs())
+    w = Window.partitionBy("day", "terminal_id")
+    flagged = rollup.withColumn("_first", (F.col("hour") == F.min("hour").over(w)).cast("long"))
+    sums = ["n_trips", *COUNTER_COLUMNS, *extra_cols]
+    return flagged.groupBy("day", "hour").agg(*[F.sum(c).alias(c) for c in sums],
+                                              F.sum("_first").alias("drivers"))
 
 
-def hourly_spine(trips: DataFrame, cut_early_s: int = 0) -> DataFrame:
+def hourly_spine(trips: DataFrame, cut_early_s: int = 0, days: DataFrame | None = None) -> DataFrame:
     """H7: the six hourly series (and three-harsh) on a dense 24-hour grid
-    for every day in range; empty hours are 0 (not stale values)."""
-    rollup = terminal_hour_rollup(trips, cut_early_s)
-    totals = rollup.groupBy("day", "hour").agg(*[F.sum(c).alias(c) for c in COUNTER_COLUMNS])
-    # The hour label is monotone in time within a day, so a terminal's
-    # first hour is the hour of its first trip.
-    drivers = (rollup.groupBy("day", "terminal_id").agg(F.min("hour").alias("hour"))
-               .groupBy("day", "hour").agg(F.count(F.lit(1)).alias("drivers")))
-    grid = day_hour_grid(day_range(totals))
-    joined = grid.join(totals, ["day", "hour"], "left").join(drivers, ["day", "hour"], "left")
+    for every day in range; empty hours are 0 (not stale values).
+    ``days``: the calendar, see ``daily.daily_spine``."""
+    hourly = hourly_from_rollup(terminal_hour_rollup(trips, cut_early_s))
+    return spine_from_hourly(hourly, days)
+
+
+def spine_from_hourly(hourly: DataFrame, days: DataFrame | None = None, extra_cols=()) -> DataFrame:
+    """Dense (day x 24) grid left-joined to an hourly table, 0 where empty."""
+    grid = day_hour_grid(days if days is not None else day_range(hourly, "n_trips"))
+    joined = grid.join(hourly, ["day", "hour"], "left")
     return joined.select("day", "hour", *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
-                                          for c in SPINE_COLUMNS])
+                                          for c in [*SPINE_COLUMNS, *extra_cols]])
 
 
-def hourly_cumulative(trips: DataFrame, cut_early_s: int = 0) -> DataFrame:
+def hourly_cumulative(trips: DataFrame, cut_early_s: int = 0, days: DataFrame | None = None) -> DataFrame:
     """H3: cumulative value of each series at the end of every hour
     (what the ``BS_BY_HOUR`` snapshot holds after that hour's cut)."""
-    spine = hourly_spine(trips, cut_early_s)
+    spine = hourly_spine(trips, cut_early_s, days)
     w = Window.partitionBy("day").orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return spine.select("day", "hour", *[F.sum(c).over(w).alias(c) for c in SPINE_COLUMNS])
 
@@ -93,16 +106,16 @@ def hourly_long(hourly: DataFrame, value_name: str = "delta") -> DataFrame:
     return hourly.unpivot(["day", "hour"], cols, "metric", value_name)
 
 
-def hourly_changed(trips: DataFrame, cut_early_s: int = 0) -> DataFrame:
+def hourly_changed(trips: DataFrame, cut_early_s: int = 0, days: DataFrame | None = None) -> DataFrame:
     """H5/P5: only the (day, hour, metric) deltas that are non-zero -- the
     writes the "emit only if changed" variant performs."""
-    delta = hourly_delta(hourly_cumulative(trips, cut_early_s)).select("day", "hour", *HOURLY_COLUMNS)
+    delta = hourly_delta(hourly_cumulative(trips, cut_early_s, days)).select("day", "hour", *HOURLY_COLUMNS)
     return hourly_long(delta).where(F.col("delta") != 0)
 
 
-def hourly_skip23(trips: DataFrame, cut_early_s: int = 0) -> DataFrame:
+def hourly_skip23(trips: DataFrame, cut_early_s: int = 0, days: DataFrame | None = None) -> DataFrame:
     """Every hourly value except hour 23 (the older variant)."""
-    return hourly_spine(trips, cut_early_s).where(F.col("hour") != 23)
+    return hourly_spine(trips, cut_early_s, days).where(F.col("hour") != 23)
 
 
 __all__ = ["hourly_totals", "hourly_new_drivers", "hourly_spine", "hourly_cumulative", "hourly_delta",

@@ -45,20 +45,22 @@ def _bounds_columns():
     return lo, hi, rng
 
 
-def score_distribution(trips: DataFrame) -> DataFrame:
+def score_distribution(trips: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """``(day, bucket, label, n_trips)`` for all 5 buckets of every day
     in range (0 where empty), plus the bucket's true score bounds
-    ``score_lo``/``score_hi`` (NULL = open) and as text ``score_range``."""
+    ``score_lo``/``score_hi`` (NULL = open) and as text ``score_range``.
+    ``days``: the calendar, see ``daily.daily_spine``."""
     per = (with_time_keys(trip_scores(trips)).groupBy("day", "bucket")
            .agg(F.count(F.lit(1)).alias("n_trips")))
     lo, hi, rng = _bounds_columns()
-    return (_bucket_grid(day_range(per)).join(per, ["day", "bucket"], "left")
+    days = days if days is not None else day_range(per, "n_trips")
+    return (_bucket_grid(days).join(per, ["day", "bucket"], "left")
             .select("day", "bucket", bucket_label(F.col("bucket")).alias("label"),
                     lo.alias("score_lo"), hi.alias("score_hi"), rng.alias("score_range"),
                     F.coalesce("n_trips", F.lit(0).cast("long")).alias("n_trips")))
 
 
-def subscore_distribution(trips: DataFrame) -> DataFrame:
+def subscore_distribution(trips: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """older rule, one count per sub-score (10 per trip):
     ``(day, bucket, label, n_scores)``.
 
@@ -76,7 +78,8 @@ def subscore_distribution(trips: DataFrame) -> DataFrame:
     per = keyed.groupBy("day").agg(*per_bucket)
     long = per.unpivot(["day"], [f"b{b}" for b in range(N_BUCKETS)], "bcol", "n_scores") \
         .withColumn("bucket", F.substring("bcol", 2, 1).cast("int"))
-    return (_bucket_grid(day_range(per)).join(long, ["day", "bucket"], "left")
+    days = days if days is not None else day_range(per, "b0")
+    return (_bucket_grid(days).join(long, ["day", "bucket"], "left")
             .select("day", "bucket", bucket_label(F.col("bucket")).alias("label"),
                     F.coalesce("n_scores", F.lit(0).cast("long")).alias("n_scores")))
 

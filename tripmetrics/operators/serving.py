@@ -8,62 +8,69 @@ day's last cut = day total), score counts and shares (field = bucket label)
 and the monitor key (latest heartbeat, epoch s).  Values are text.
 
 Daily values are summed from the dense hourly table (hourly new drivers add
-up to the daily distinct count), so trips are parsed twice in total: once for
-the hourly rollup and once for the score buckets.
+up to the daily distinct count).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmetrics.operators.heartbeat import heartbeat_last
-from tripmetrics.operators.hourly import SPINE_COLUMNS, hourly_spine
-from tripmetrics.operators.scores import score_distribution, score_share
-from tripmetrics.schema import (DAILY_KEYS, HOURLY_METRICS, KEY_BY_HOUR, KEY_MONITOR, KEY_SCORE_COUNT,
-                                KEY_SCORE_SHARE)
+from tripmetrics.functions.scoring import score_bucket, share_basis_points, share_text, trip_score
+from tripmetrics.operators.hourly import SPINE_COLUMNS, hourly_from_rollup, spine_from_hourly, terminal_hour_rollup
+from tripmetrics.operators.scores import N_BUCKETS
+from tripmetrics.schema import (BUCKET_LABELS, DAILY_KEYS, HOURLY_METRICS, KEY_BY_HOUR, KEY_MONITOR,
+                                KEY_SCORE_COUNT, KEY_SCORE_SHARE)
 
 _EMPTY_SHARE = "0.0"
 
 
-_SEP = "#"
-
-
-def _long(df: DataFrame, ids: list[str], named: dict[str, object]) -> DataFrame:
-    """Unpivot ``{"<key>#<field>": column}`` into ``(*ids, key, field, value)``."""
-    wide = df.select(*ids, *[F.col(c).cast("string").alias(n) if isinstance(c, str) else c.cast("string").alias(n)
-                             for n, c in named.items()])
-    long = wide.unpivot(ids, list(named), "_kf", "value")
-    return long.select(*ids, F.substring_index("_kf", _SEP, 1).alias("key"),
-                       F.substring_index("_kf", _SEP, -1).alias("field"), "value")
-
-
-def serving_kv(trips: DataFrame, beats: DataFrame | None = None) -> DataFrame:
+def serving_kv(trips: DataFrame, beats: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """Long ``(day, key, field, value)`` table of all published metrics.
 
-    Four unpivots of wide tables (hourly spine, daily sums, score shares,
-    monitor) instead of one branch per key, so the plan stays small.
+    One linear plan: a terminal-hour rollup carrying the counters *and* the
+    five score-bucket counts (every message parsed once), the dense hourly
+    spine, day totals as a window over the day's 24 spine rows, then a single
+    explode that emits the hourly triples on every row and the daily, snapshot
+    and score triples on hour 0.  (Branching the spine into separate daily and
+    score tables would let column pruning give every branch its own rollup,
+    i.e. parse the messages once per branch.)
     """
-    hourly = hourly_spine(trips)
-    hourly_long = _long(
-        hourly.withColumn("hh", F.lpad(F.col("hour").cast("string"), 2, "0")), ["day", "hh"],
-        {f"{key}{_SEP}": col for col, key, _ in HOURLY_METRICS})
-    hourly_long = hourly_long.select("day", "key", F.col("hh").alias("field"), "value")
-
-    daily = hourly.groupBy("day").agg(*[F.sum(c).alias(c) for c in SPINE_COLUMNS])
-    named = {f"{key}{_SEP}": col for col, key in DAILY_KEYS}
-    named.update({f"{KEY_BY_HOUR}{_SEP}{snap}": col for col, _, snap in HOURLY_METRICS})
-    daily_long = _long(daily, ["day"], named)
-
-    shares = score_share(score_distribution(trips)).select(
-        "day", "label", "n_trips", F.coalesce(F.col("share_text"), F.lit(_EMPTY_SHARE)).alias("share"))
-    share_long = _long(shares, ["day", "label"], {f"{KEY_SCORE_COUNT}{_SEP}": "n_trips",
-                                                 f"{KEY_SCORE_SHARE}{_SEP}": "share"})
-    share_long = share_long.select("day", "key", F.col("label").alias("field"), "value")
-
-    parts = [daily_long, hourly_long, share_long]
-    if beats is not None:
-        parts.append(_long(heartbeat_last(beats), ["day"], {f"{KEY_MONITOR}{_SEP}": "last_beat_s"}))
-    return reduce(DataFrame.unionByName, parts)
+    buckets = [f"n_b{i}" for i in range(N_BUCKETS)]
+    scored = trips.withColumn("_bucket", score_bucket(trip_score()))
+    rollup = terminal_hour_rollup(scored, extra_aggs=[
+        F.sum(F.when(F.col("_bucket") == i, 1).otherwise(0).cast("long")).alias(b)
+        for i, b in enumerate(buckets)])
+    spine = spine_from_hourly(hourly_from_rollup(rollup, buckets), days, buckets)
+
+    per_day = Window.partitionBy("day")
+    day_cols = [*SPINE_COLUMNS, *buckets]
+    wide = spine.select("day", "hour", *SPINE_COLUMNS,
+                        *[F.sum(c).over(per_day).alias(f"d_{c}") for c in day_cols])
+    total = None
+    for b in buckets:
+        total = F.col(f"d_{b}") if total is None else total + F.col(f"d_{b}")
+
+    def triple(key, field, value, daily_only):
+        return F.struct(F.lit(key).alias("key"), field.alias("field"), value.cast("string").alias("value"),
+                        (F.col("hour") == 0 if daily_only else F.lit(True)).alias("keep"))
+
+    hh = F.lpad(F.col("hour").cast("string"), 2, "0")
+    items = [triple(key, hh, F.col(col), False) for col, key, _ in HOURLY_METRICS]
+    items += [triple(key, F.lit(""), F.col(f"d_{col}"), True) for col, key in DAILY_KEYS]
+    items += [triple(KEY_BY_HOUR, F.lit(snap), F.col(f"d_{col}"), True) for col, _, snap in HOURLY_METRICS]
+    for i, b in enumerate(buckets):
+        label = F.lit(BUCKET_LABELS[i])
+        share = F.coalesce(share_text(share_basis_points(F.col(f"d_{b}"), total)), F.lit(_EMPTY_SHARE))
+        items += [triple(KEY_SCORE_COUNT, label, F.col(f"d_{b}"), True),
+                  triple(KEY_SCORE_SHARE, label, share, True)]
+    triples = wide.select("day", F.explode(F.filter(F.array(*items), lambda t: t["keep"])).alias("t"))
+    out = triples.select("day", F.col("t.key").alias("key"), F.col("t.field").alias("field"),
+                         F.col("t.value").alias("value"))
+    if beats is None:
+        return out
+    last = heartbeat_last(beats).select(
+        "day", F.lit(KEY_MONITOR).alias("key"), F.lit("").alias("field"),
+        F.col("last_beat_s").cast("string").alias("value"))
+    return out.unionByName(last)

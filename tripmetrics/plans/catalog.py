@@ -40,6 +40,12 @@ def _trips(spark: SparkSession, d: str) -> DataFrame:
     return parse_trips(_messages(spark, d))
 
 
+def _trips_and_days(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Trips plus the calendar of days between the first and last message."""
+    messages = _messages(spark, d)
+    return parse_trips(messages), daily.days_between(messages)
+
+
 def _beats(spark: SparkSession, d: str) -> DataFrame:
     return heartbeat.heartbeat_filter(_messages(spark, d), [HEARTBEAT_TERMINAL])
 
@@ -83,7 +89,8 @@ def q_daily_drivers(spark, d):
 
 
 def q_daily_spine(spark, d):
-    return _day_text(daily.daily_spine(_trips(spark, d)))
+    trips, days = _trips_and_days(spark, d)
+    return _day_text(daily.daily_spine(trips, days=days))
 
 
 def q_running_totals(spark, d):
@@ -95,16 +102,19 @@ def q_trip_score(spark, d):
 
 
 def q_score_distribution(spark, d):
-    return _day_text(scores.score_distribution(_trips(spark, d))).select(
+    trips, days = _trips_and_days(spark, d)
+    return _day_text(scores.score_distribution(trips, days)).select(
         "day", "bucket", "label", "score_range", "n_trips")
 
 
 def q_subscore_distribution(spark, d):
-    return _day_text(scores.subscore_distribution(_trips(spark, d)))
+    trips, days = _trips_and_days(spark, d)
+    return _day_text(scores.subscore_distribution(trips, days))
 
 
 def q_score_share(spark, d):
-    dist = scores.score_distribution(_trips(spark, d))
+    trips, days = _trips_and_days(spark, d)
+    dist = scores.score_distribution(trips, days)
     return _day_text(scores.score_share(dist))
 
 
@@ -117,23 +127,28 @@ def q_hourly_new_drivers(spark, d):
 
 
 def q_hourly_cumulative(spark, d):
-    return _day_text(hourly.hourly_cumulative(_trips(spark, d)))
+    trips, days = _trips_and_days(spark, d)
+    return _day_text(hourly.hourly_cumulative(trips, days=days))
 
 
 def q_hourly_delta(spark, d):
-    return _day_text(hourly.hourly_delta(hourly.hourly_cumulative(_trips(spark, d))))
+    trips, days = _trips_and_days(spark, d)
+    return _day_text(hourly.hourly_delta(hourly.hourly_cumulative(trips, days=days)))
 
 
 def q_hourly_changed(spark, d):
-    return _day_text(hourly.hourly_changed(_trips(spark, d)))
+    trips, days = _trips_and_days(spark, d)
+    return _day_text(hourly.hourly_changed(trips, days=days))
 
 
 def q_hourly_skip23(spark, d):
-    return _day_text(hourly.hourly_skip23(_trips(spark, d)))
+    trips, days = _trips_and_days(spark, d)
+    return _day_text(hourly.hourly_skip23(trips, days=days))
 
 
 def q_hourly_spine(spark, d):
-    return _day_text(hourly.hourly_spine(_trips(spark, d)))
+    trips, days = _trips_and_days(spark, d)
+    return _day_text(hourly.hourly_spine(trips, days=days))
 
 
 def q_hourly_cut_early(spark, d):
@@ -167,7 +182,8 @@ def q_widecol_project(spark, d):
 def q_serving_kv(spark, d):
     messages = _messages(spark, d)
     beats = heartbeat.heartbeat_filter(messages, [HEARTBEAT_TERMINAL])
-    return _day_text(serving.serving_kv(parse_trips(messages), beats))
+    days = daily.days_between(messages)
+    return _day_text(serving.serving_kv(parse_trips(messages), beats, days))
 
 
 def q_trip_rejects(spark, d):
