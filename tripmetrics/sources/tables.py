@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,14 +24,20 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     per-row JSON work that follows is narrow, so it would all run on one core.
     Large inputs already have many splits and pass through untouched (no
     shuffle).  Hashing a unique key keeps the distribution deterministic
-    under task retries.
+    under task retries.  The row count observed after the shuffle also keeps
+    later filters above it: pushed into the scan, a filter on text built
+    from the row (a substring test on the message JSON) would build that
+    text for every row in the one scan task.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, key)
+        return df.repartition(slots, key).observe(f"spread_{next(_spreads)}", F.count(F.lit(1)).alias("rows"))
     return df
 
 
+_spreads = itertools.count()
+
+
 def read_events(spark: SparkSession, data_dir: str, columns: list[str] | None = None) -> DataFrame:
     """The ``events`` table with ``ts`` as a zoned TIMESTAMP (session zone).
 
