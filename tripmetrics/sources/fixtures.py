@@ -21,88 +21,76 @@ PAYLOAD_ID_BLOCK = 1024
 DIRTY_EVERY = 97
 
 
-def _k(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").cast("int")
-
-
-def _points_json(times: Column, eid: Column, base: float, step: float, idle_value: str) -> Column:
-    """JSON array text of ``times`` points ``base + step * ((eid + i) % 4)``;
-    one ignored point ``idle_value`` when ``times`` is 0.  Built as text:
-    values are plain decimals, so no JSON encoder is needed."""
-    def point(i):
-        value = (F.lit(base) + ((eid + i) % 4).cast("double") * F.lit(step)).cast("string")
-        return F.concat(F.lit('{"acceValue":"'), value, F.lit('"}'))
-    pts = F.concat(F.lit("["), F.array_join(F.transform(F.sequence(F.lit(0), times - 1), point), ","), F.lit("]"))
-    return F.when(times > 0, pts).otherwise(F.lit(f'[{{"acceValue":"{idle_value}"}}]'))
+def _sql_points(times: str, base: float, step: float, idle_value: str) -> str:
+    """SQL text: JSON array of ``times`` points ``base + step * ((event_id + i) % 4)``;
+    one ignored point ``idle_value`` when ``times`` is 0.  Values are plain
+    decimals, so the array is built as text without a JSON encoder."""
+    value = f"CAST({base!r}D + CAST((event_id + i) % 4 AS DOUBLE) * {step!r}D AS STRING)"
+    pts = (f"concat('[', array_join(transform(sequence(0, {times} - 1), "
+           f"i -> concat('{{\"acceValue\":\"', {value}, '\"}}')), ','), ']')")
+    return f"CASE WHEN {times} > 0 THEN {pts} ELSE '[{{\"acceValue\":\"{idle_value}\"}}]' END"
+
+
+def _sql_object(fields: list[tuple[str, str]]) -> str:
+    parts = []
+    for n, (name, value) in enumerate(fields):
+        parts += [f"'{',' if n else ''}\"{name}\":'", f"CAST({value} AS STRING)"]
+    return "concat('{', " + ", ".join(parts) + ", '}')"
 
 
-def _event_object(fields: list[tuple[str, Column]]) -> Column:
-    parts: list[Column] = [F.lit("{")]
-    for n, (name, value) in enumerate(fields):
-        parts += [F.lit(("," if n else "") + f'"{name}":'), value.cast("string")]
-    parts.append(F.lit("}"))
-    return F.concat(*parts)
+def _sql_encoded(obj: str) -> str:
+    # Even ids carry nested objects, odd ids carry them as JSON-encoded
+    # strings; the objects hold no backslashes, so escaping quotes suffices.
+    return (f"CASE WHEN event_id % 2 = 0 THEN {obj} "
+            f"ELSE concat('\"', replace({obj}, '\"', '\\\\\"'), '\"') END")
 
 
-def _as_json_string(obj: Column) -> Column:
-    # Objects hold no backslashes, so escaping quotes is a complete encoding.
-    return F.concat(F.lit('"'), F.replace(obj, F.lit('"'), F.lit('\\"')), F.lit('"'))
+def _sql_trip_json(dirty: bool) -> str:
+    """SQL text of a trip-summary JSON object over columns ``event_id``,
+    ``user_id``, ``value`` and the staged ``_k``, ``_b``."""
+    bad_points = f"(event_id % {DIRTY_EVERY} = 0 AND event_id % 3 = 2)" if dirty else "false"
+    acce_t = f"(CASE WHEN {bad_points} THEN 1 ELSE _k % 7 END)"
+    acce_pts = (f"(CASE WHEN {bad_points} THEN '[{{\"acceValue\":\"x\"}}]' "
+                f"ELSE {_sql_points('(_k % 7)', 2.0, 0.5, '9.9')} END)")
+    dece_t = "((_k DIV 10) % 5)"
+    objs = {
+        "acceRapidEvents": _sql_object([("times", acce_t), ("score", "_b"), ("points", acce_pts)]),
+        "deceRapidEvents": _sql_object([("times", dece_t), ("score", "_b + 1"),
+                                        ("points", _sql_points(dece_t, -3.0, -0.5, "-9.9"))]),
+        "suddenTurnEvents": _sql_object([("times", "event_id % 5"), ("score", "_b")]),
+        "overSpeedEvents": _sql_object([("score", "_b + 1")]),
+        "tiredDrivingEvents": _sql_object([("score", "_b")]),
+    }
+    mileage = "concat('\"mileage\":', CAST(floor(value) AS STRING), ',')"
+    if dirty:
+        mileage = f"(CASE WHEN event_id % {DIRTY_EVERY} = 0 AND event_id % 3 = 1 THEN '' ELSE {mileage} END)"
+    parts = ["'{'", mileage, "'\"terminalId\":\"'", "CAST(user_id AS STRING)", "'\"'"]
+    for name, obj in objs.items():
+        parts += [f"',\"{name}\":'", _sql_encoded(obj)]
+    for name, value in [("controlScore", "_b + 1"), ("economyScore", "_b"), ("focusScore", "_b + 1"),
+                        ("roadScore", "_b"), ("envirScore", "_b + 1")]:
+        parts += [f"',\"{name}\":'", f"CAST({value} AS STRING)"]
+    parts.append("'}'")
+    return "concat(" + ", ".join(parts) + ")"
 
 
 def with_trip_json(events: DataFrame, dirty: bool = False, name: str = "_json") -> DataFrame:
     """Add column ``name``: the trip-summary JSON text of each ``events`` row.
 
     ``k`` is extracted in its own projection so the JSON builder reads it as
-    a column instead of re-running ``get_json_object`` per use.
+    a column instead of re-running ``get_json_object`` per use; the builder
+    is SQL text (one call into the JVM, not one per column operator).
     """
-    keyed = events.withColumns({"_k": _k(F.col("props")), "_b": F.lit(84) + F.col("event_id") % 16})
-    return keyed.withColumn(name, _trip_json(dirty)).drop("_k", "_b")
-
-
-def _trip_json(dirty: bool) -> Column:
-    eid = F.col("event_id")
-    k = F.col("_k")
-    b = F.col("_b")
-    damaged = (eid % DIRTY_EVERY == 0) if dirty else F.lit(False)
-    kind = eid % 3
-
-    acce_t = (k % 7).cast("int")
-    acce_points = _points_json(acce_t, eid, 2.0, 0.5, "9.9")
-    if dirty:
-        bad = damaged & (kind == 2)
-        acce_t = F.when(bad, F.lit(1)).otherwise(acce_t)
-        acce_points = F.when(bad, F.lit('[{"acceValue":"x"}]')).otherwise(acce_points)
-    dece_t = ((k / 10).cast("int") % 5).cast("int")
-    dece_points = _points_json(dece_t, eid, -3.0, -0.5, "-9.9")
-
-    objs = {
-        "acceRapidEvents": _event_object([("times", acce_t), ("score", b), ("points", acce_points)]),
-        "deceRapidEvents": _event_object([("times", dece_t), ("score", b + 1), ("points", dece_points)]),
-        "suddenTurnEvents": _event_object([("times", eid % 5), ("score", b)]),
-        "overSpeedEvents": _event_object([("score", b + 1)]),
-        "tiredDrivingEvents": _event_object([("score", b)]),
-    }
-    # Even ids carry nested objects, odd ids carry them as JSON-encoded strings.
-    nested = eid % 2 == 0
-    enc = {name: F.when(nested, obj).otherwise(_as_json_string(obj)) for name, obj in objs.items()}
-
-    mileage_part = F.concat(F.lit('"mileage":'), F.floor(F.col("value")).cast("string"), F.lit(","))
-    if dirty:
-        mileage_part = F.when(damaged & (kind == 1), F.lit("")).otherwise(mileage_part)
-    text = F.concat(
-        F.lit("{"), mileage_part,
-        F.lit('"terminalId":"'), F.col("user_id").cast("string"), F.lit('"'),
-        *[piece for name, col in enc.items() for piece in (F.lit(f',"{name}":'), col)],
-        F.lit(',"controlScore":'), (b + 1).cast("string"),
-        F.lit(',"economyScore":'), b.cast("string"),
-        F.lit(',"focusScore":'), (b + 1).cast("string"),
-        F.lit(',"roadScore":'), b.cast("string"),
-        F.lit(',"envirScore":'), (b + 1).cast("string"),
-        F.lit("}"))
+    keep = [f"`{c}`" for c in events.columns]
+    keyed = events.selectExpr(*keep, "CAST(get_json_object(props, '$.k') AS INT) AS _k",
+                              "84 + event_id % 16 AS _b")
+    built = keyed.selectExpr(*keep, f"{_sql_trip_json(dirty)} AS `{name}`")
     if dirty:
-        text = F.when(damaged & (kind == 0), F.substring(text, 1, (F.length(text) / 2).cast("int"))
-                      ).otherwise(text)
-    return text
+        # Cut-off JSON: the first half of the text.
+        cut = f"event_id % {DIRTY_EVERY} = 0 AND event_id % 3 = 0"
+        built = built.selectExpr(*keep, f"CASE WHEN {cut} THEN substring(`{name}`, 1, "
+                                        f"CAST(length(`{name}`) DIV 2 AS INT)) ELSE `{name}` END AS `{name}`")
+    return built
 
 
 def trip_messages(events: DataFrame, dirty: bool = False) -> DataFrame:
