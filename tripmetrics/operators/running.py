@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmetrics.operators.daily import COUNTER_COLUMNS, trip_facts
+from tripmetrics.session import checkpoint_root
 
 _SLICE = "_slice"
 
@@ -49,7 +50,7 @@ def prefix_sums(df: DataFrame, partition_cols: list[str], order_cols: list[str],
     return out.select(*keep, *[(F.col(f"_run_{v}") + F.col(f"_off_{v}")).alias(v) for v in value_cols])
 
 
-def running_totals(trips: DataFrame, slices: int | None = None) -> DataFrame:
+def running_totals(trips: DataFrame, slices: int | None = None, materialize: bool = True) -> DataFrame:
     """A10: every counter of the day as it stood right after each trip.
 
     Output ``(event_id, line_no, ts, day, n_trips, mileage, drivers,
@@ -58,8 +59,15 @@ def running_totals(trips: DataFrame, slices: int | None = None) -> DataFrame:
     a terminal at its first trip of the day: a marker row per
     ``(day, terminal)`` (from a pre-aggregated min) sorts just before that
     trip, so no join against the trips is needed.
+
+    The facts feed three reads (trip rows, markers, the range sampler), so
+    with ``materialize`` their narrow columns are checkpointed once to the
+    shared checkpoint folder instead of re-parsing the messages per read.
     """
-    facts = trip_facts(trips)
+    facts = trip_facts(trips).select("day", "ts", "event_id", "line_no", "terminal_id", *COUNTER_COLUMNS)
+    if materialize:
+        checkpoint_root(facts.sparkSession)
+        facts = facts.checkpoint(eager=True)
     values = ["n_trips", *COUNTER_COLUMNS, "drivers"]
     base = facts.select(
         "day", "ts", "event_id", "line_no", F.lit(1).alias("_kind"),
