@@ -9,8 +9,9 @@ and returns a *started* query writing a parquet table through a replay-safe
   external key-value server; updates are exact (no lost read-add-write).
 * Watermarks bound the state (default 1 hour of lateness); rows later than
   the watermark are dropped and counted in the query progress.
-* Daily distinct drivers keep ``collect_set(terminal_id)`` per day (exact;
-  streaming ``count(DISTINCT)`` is not supported).
+* Exact distinct drivers come from the ``(day, terminal)``-keyed first-seen
+  stream (streaming ``count(DISTINCT)`` is not supported, and a per-day set
+  would be one unbounded state row); a HyperLogLog++ estimate is optional.
 """
 
 from __future__ import annotations
@@ -48,17 +49,31 @@ def _trips(messages: DataFrame, watermark: str, cut_early_s: int = 0) -> DataFra
 
 
 def stream_daily(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WATERMARK,
-                 checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """A1-A7 + A2 live: table ``(day, n_trips, <counters>, drivers)``
-    partitioned by ``day``; every batch rewrites only the days it touched."""
+                 approx_drivers: bool = False, checkpoint: str | None = None,
+                 trigger: dict | None = None) -> StreamingQuery:
+    """A1, A3-A7 live: table ``(day, n_trips, <counters>)`` partitioned by
+    ``day``; every batch rewrites only the days it touched.
+
+    State is one row of counters per open day.  Exact distinct drivers are
+    *not* kept here -- a set of every terminal of the day would be one
+    unbounded state row -- but in the first-seen stream, whose state is keyed
+    by ``(day, terminal)`` and spreads over all tasks
+    (``drivers_from_first_seen``).  ``approx_drivers`` adds a HyperLogLog++
+    estimate (fixed-size state) as ``drivers_approx``.
+    """
     trips = _trips(messages, watermark)
-    agg = trips.groupBy(F.window("ts", "1 day").alias("w")).agg(
-        *counter_aggs(), F.collect_set("terminal_id").alias("_terminals"))
+    extra = [F.approx_count_distinct("terminal_id").alias("drivers_approx")] if approx_drivers else []
+    agg = trips.groupBy(F.window("ts", "1 day").alias("w")).agg(*counter_aggs(), *extra)
     out = agg.select(F.to_date("w.start").alias("day"), "n_trips", *COUNTER_COLUMNS,
-                     F.size("_terminals").cast("long").alias("drivers"))
+                     *(["drivers_approx"] if approx_drivers else []))
     return _start(out, "daily_totals", partition_writer(path, ["day"]), "update", checkpoint, trigger)
 
 
+def drivers_from_first_seen(first_seen: DataFrame) -> DataFrame:
+    """Exact ``(day, drivers)`` from the first-seen table."""
+    return first_seen.groupBy("day").agg(F.count(F.lit(1)).alias("drivers"))
+
+
 def stream_hourly(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WATERMARK,
                   cut_early_s: int = 0, checkpoint: str | None = None,
                   trigger: dict | None = None) -> StreamingQuery:
