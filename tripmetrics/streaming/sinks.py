@@ -31,29 +31,17 @@ def partition_writer(path: str, partition_cols: list[str],
     return write
 
 
-def upsert_min_writer(path: str, key_cols: list[str], partition_col: str, value_col: str
-                      ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` callback keeping ``min(value_col)`` per key.
-
-    Reads the existing rows of the partitions the batch touches, merges with
-    the batch, and overwrites those partitions.  Min is idempotent, so a
-    replayed batch yields the same table.
+def batch_log_writer(path: str, partition_cols: list[str]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` callback appending each micro-batch as its own
+    ``batch_id`` partition (under ``partition_cols``).
+
+    An update-mode aggregate emits only the keys that changed, so the log
+    grows with the changes, never rewrites earlier data, and a replayed batch
+    (same id, same rows) replaces exactly its own partition.  Readers reduce
+    the log per key (see ``streams.first_seen_table``); compaction is a
+    batch rewrite of old partitions.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001
-        spark = batch.sparkSession
-        touched = batch.select(partition_col).distinct()
-        try:
-            existing = spark.read.parquet(path)
-            existing = existing.join(touched, partition_col, "left_semi").select(*batch.columns)
-            merged = batch.unionByName(existing)
-        except Exception as exc:  # noqa: BLE001 - first batch: table not there yet
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc) \
-                    and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-                raise
-            merged = batch
-        out = merged.groupBy(*key_cols).agg(F.min(value_col).alias(value_col))
-        # Cut the read-modify-write cycle: the overwrite below replaces the
-        # files the merge reads from, so materialise the merge first.
-        out = out.checkpoint(eager=True)
-        overwrite_partitions(out, path, [partition_col])
+    def write(batch: DataFrame, batch_id: int) -> None:
+        overwrite_partitions(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), path,
+                             [*partition_cols, "batch_id"])
     return write

@@ -29,7 +29,7 @@ from tripmetrics.operators.heartbeat import heartbeat_filter
 from tripmetrics.schema import HEARTBEAT_TTL_MAIN_S, TRIGGER_INTERVAL
 from tripmetrics.session import checkpoint_root
 from tripmetrics.sources.messages import split_payloads
-from tripmetrics.streaming.sinks import partition_writer, upsert_min_writer
+from tripmetrics.streaming.sinks import batch_log_writer, partition_writer
 
 DEFAULT_WATERMARK = "1 hour"
 
@@ -97,14 +97,20 @@ def stream_hourly(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WA
 
 def stream_first_seen(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WATERMARK,
                       checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """H2 live: table ``(day, terminal_id, first_ts)`` -- each terminal's
-    earliest trip per day by event time (not by arrival).  Hourly new drivers
-    are ``hour(first_ts)`` counts over this table (``hourly_from_first_seen``)."""
+    """H2 live: log of ``(day, terminal_id, first_ts)`` -- each terminal's
+    earliest trip per day by event time (not by arrival).  State is keyed by
+    ``(day, terminal)``; each batch appends only the keys whose minimum
+    changed.  Read it with ``first_seen_table``."""
     trips = _trips(messages, watermark)
     agg = trips.groupBy(F.window("ts", "1 day").alias("w"), "terminal_id").agg(F.min("ts").alias("first_ts"))
     out = agg.select(F.to_date("w.start").alias("day"), "terminal_id", "first_ts")
-    writer = upsert_min_writer(path, ["day", "terminal_id"], "day", "first_ts")
-    return _start(out, "first_seen", writer, "update", checkpoint, trigger)
+    return _start(out, "first_seen", batch_log_writer(path, ["day"]), "update", checkpoint, trigger)
+
+
+def first_seen_table(spark, path: str) -> DataFrame:
+    """``(day, terminal_id, first_ts)`` reduced from the first-seen log."""
+    log = spark.read.parquet(path)
+    return log.groupBy("day", "terminal_id").agg(F.min("first_ts").alias("first_ts"))
 
 
 def hourly_from_first_seen(first_seen: DataFrame, cut_early_s: int = 0) -> DataFrame:
