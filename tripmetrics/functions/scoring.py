@@ -66,3 +66,14 @@ def share_text(bp: Column) -> Column:
     """basis points as 4-decimal text, e.g. 313 -> ``"0.0313"``."""
     return F.concat(F.call_function("div", bp, F.lit(10000)).cast("string"), F.lit("."),
                     F.lpad((bp % 10000).cast("string"), 4, "0"))
+
+
+def share_basis_points_sql(n: str, total: str) -> str:
+    """SQL-text form of ``share_basis_points`` over column names / expressions."""
+    return (f"CAST(CASE WHEN CAST({total} AS BIGINT) > 0 THEN (20000 * CAST({n} AS BIGINT) + "
+            f"CAST({total} AS BIGINT)) DIV (2 * CAST({total} AS BIGINT)) END AS INT)")
+
+
+def share_text_sql(bp: str) -> str:
+    """SQL-text form of ``share_text``."""
+    return f"concat(CAST(({bp}) DIV 10000 AS STRING), '.', lpad(CAST(({bp}) % 10000 AS STRING), 4, '0'))"

@@ -13,11 +13,11 @@ up to the daily distinct count).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmetrics.operators.heartbeat import heartbeat_last
-from tripmetrics.functions.scoring import score_bucket, share_basis_points, share_text, trip_score
+from tripmetrics.functions.scoring import score_bucket, share_basis_points_sql, share_text_sql, trip_score
 from tripmetrics.operators.hourly import SPINE_COLUMNS, hourly_from_rollup, spine_from_hourly, terminal_hour_rollup
 from tripmetrics.operators.scores import N_BUCKETS
 from tripmetrics.schema import (BUCKET_LABELS, DAILY_KEYS, HOURLY_METRICS, KEY_BY_HOUR, KEY_MONITOR,
@@ -44,30 +44,29 @@ def serving_kv(trips: DataFrame, beats: DataFrame | None = None, days: DataFrame
         for i, b in enumerate(buckets)])
     spine = spine_from_hourly(hourly_from_rollup(rollup, buckets), days, buckets)
 
-    per_day = Window.partitionBy("day")
+    # Built as SQL text: one call into the JVM for ~40 triples.
     day_cols = [*SPINE_COLUMNS, *buckets]
-    wide = spine.select("day", "hour", *SPINE_COLUMNS,
-                        *[F.sum(c).over(per_day).alias(f"d_{c}") for c in day_cols])
-    total = None
-    for b in buckets:
-        total = F.col(f"d_{b}") if total is None else total + F.col(f"d_{b}")
+    wide = spine.selectExpr("day", "hour", *SPINE_COLUMNS,
+                            *[f"sum({c}) OVER (PARTITION BY day) AS d_{c}" for c in day_cols])
+    total = " + ".join(f"d_{b}" for b in buckets)
 
-    def triple(key, field, value, daily_only):
-        return F.struct(F.lit(key).alias("key"), field.alias("field"), value.cast("string").alias("value"),
-                        (F.col("hour") == 0 if daily_only else F.lit(True)).alias("keep"))
+    def triple(key: str, field: str, value: str, daily_only: bool) -> str:
+        keep = "hour = 0" if daily_only else "true"
+        return (f"named_struct('key', '{key}', 'field', {field}, "
+                f"'value', CAST({value} AS STRING), 'keep', {keep})")
 
-    hh = F.lpad(F.col("hour").cast("string"), 2, "0")
-    items = [triple(key, hh, F.col(col), False) for col, key, _ in HOURLY_METRICS]
-    items += [triple(key, F.lit(""), F.col(f"d_{col}"), True) for col, key in DAILY_KEYS]
-    items += [triple(KEY_BY_HOUR, F.lit(snap), F.col(f"d_{col}"), True) for col, _, snap in HOURLY_METRICS]
+    hh = "lpad(CAST(hour AS STRING), 2, '0')"
+    items = [triple(key, hh, col, False) for col, key, _ in HOURLY_METRICS]
+    items += [triple(key, "''", f"d_{col}", True) for col, key in DAILY_KEYS]
+    items += [triple(KEY_BY_HOUR, f"'{snap}'", f"d_{col}", True) for col, _, snap in HOURLY_METRICS]
     for i, b in enumerate(buckets):
-        label = F.lit(BUCKET_LABELS[i])
-        share = F.coalesce(share_text(share_basis_points(F.col(f"d_{b}"), total)), F.lit(_EMPTY_SHARE))
-        items += [triple(KEY_SCORE_COUNT, label, F.col(f"d_{b}"), True),
+        label = f"'{BUCKET_LABELS[i]}'"
+        share = (f"coalesce({share_text_sql(share_basis_points_sql(f'd_{b}', total))}, "
+                 f"'{_EMPTY_SHARE}')")
+        items += [triple(KEY_SCORE_COUNT, label, f"d_{b}", True),
                   triple(KEY_SCORE_SHARE, label, share, True)]
-    triples = wide.select("day", F.explode(F.filter(F.array(*items), lambda t: t["keep"])).alias("t"))
-    out = triples.select("day", F.col("t.key").alias("key"), F.col("t.field").alias("field"),
-                         F.col("t.value").alias("value"))
+    out = (wide.selectExpr("day", f"explode(filter(array({', '.join(items)}), t -> t.keep)) AS t")
+           .selectExpr("day", "t.key AS key", "t.field AS field", "t.value AS value"))
     if beats is None:
         return out
     last = heartbeat_last(beats).select(
