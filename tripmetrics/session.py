@@ -47,15 +47,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder there).  Only when it is unset -- local runs and tests -- a fresh
     scratch folder is created and registered.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): the server's setting applies
+        return conf_dir or ""
+    conf_dir = conf_dir or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if current:
         return current
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-        return spark.sparkContext.getCheckpointDir() or conf_dir
+        sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir() or conf_dir
     local = tempfile.mkdtemp(prefix="tripmetrics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
-    return spark.sparkContext.getCheckpointDir() or local
+    return sc.getCheckpointDir() or local

@@ -29,8 +29,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     from the row (a substring test on the message JSON) would build that
     text for every row in the one scan task.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    if splits < slots:
         return df.repartition(slots, key).observe(f"spread_{next(_spreads)}", F.count(F.lit(1)).alias("rows"))
     return df
 
