@@ -15,6 +15,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Streaming state (e.g. one row per (day, terminal)) lives in RocksDB:
+    # off-heap, spills to local disk, checkpointed incrementally.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
 }
 
