@@ -13,6 +13,8 @@ The slice-totals table has at most (slices + days) rows.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from tripmetrics.operators.daily import COUNTER_COLUMNS, trip_facts
 from tripmetrics.session import checkpoint_root
 
 _SLICE = "_slice"
+_observations = itertools.count()
 
 
 def prefix_sums(df: DataFrame, partition_cols: list[str], order_cols: list[str], value_cols: list[str],
@@ -32,6 +35,10 @@ def prefix_sums(df: DataFrame, partition_cols: list[str], order_cols: list[str],
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *partition_cols, *order_cols).withColumn(_SLICE, F.spark_partition_id())
+    # Both branches below read ``ranged``; the observed row count stops
+    # column pruning from giving each branch its own range shuffle (and its
+    # own sampling pass), so the shuffle is computed once and reused.
+    ranged = ranged.observe(f"slices_{next(_observations)}", F.count(F.lit(1)).alias("rows"))
 
     local_w = (Window.partitionBy(*partition_cols, _SLICE).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
