@@ -1,8 +1,9 @@
 """Structured Streaming counterparts of the batch rollups.
 
-Each ``stream_*`` function takes a streaming message DataFrame
-``(event_id, ts, value)`` -- from ``sources.messages.message_stream`` --
-and returns a *started* query writing a parquet table through a replay-safe
+Each ``stream_*`` rollup takes a streaming DataFrame of raw messages
+``(event_id, ts, value)`` -- from ``sources.messages.message_stream`` -- or
+of parsed trips landed by ``stream_land`` (``landed_trips``), and returns a
+*started* query writing a parquet table through a replay-safe
 ``foreachBatch`` sink, with its checkpoint under the shared checkpoint root.
 
 * State is Spark's state store (per-key, on executors, checkpointed), not an
@@ -20,19 +21,27 @@ import os
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmetrics.functions.parse import parse_lines, parse_trips
 from tripmetrics.functions.scoring import score_bucket, trip_score
 from tripmetrics.operators.daily import COUNTER_COLUMNS, counter_aggs, trip_facts
 from tripmetrics.operators.heartbeat import heartbeat_filter
-from tripmetrics.schema import HEARTBEAT_TTL_MAIN_S, TRIGGER_INTERVAL
+from tripmetrics.schema import HEARTBEAT_TTL_MAIN_S, TRIGGER_INTERVAL, TRIP_COLUMNS, TRIP_FIELDS
 from tripmetrics.session import checkpoint_root
 from tripmetrics.sources.messages import split_payloads
 from tripmetrics.streaming.sinks import batch_log_writer, partition_writer
 
 DEFAULT_WATERMARK = "1 hour"
 
+# Landed trip table: envelope, the 17 trip fields, partition columns.
+LANDED_TRIP_SCHEMA = T.StructType(
+    [T.StructField("event_id", T.LongType()), T.StructField("line_no", T.IntegerType()),
+     T.StructField("ts", T.TimestampType())]
+    + [T.StructField(n, t) for n, t in TRIP_FIELDS]
+    + [T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())])
+
 
 def _start(df: DataFrame, name: str, writer, output_mode: str, checkpoint: str | None,
            trigger: dict | None) -> StreamingQuery:
@@ -44,8 +53,14 @@ def _start(df: DataFrame, name: str, writer, output_mode: str, checkpoint: str |
     return w.start()
 
 
-def _trips(messages: DataFrame, watermark: str, cut_early_s: int = 0) -> DataFrame:
-    return trip_facts(parse_trips(messages).withWatermark("ts", watermark), cut_early_s)
+def as_trips(source: DataFrame) -> DataFrame:
+    """Trips from a stream of raw messages (parsed here) or of already
+    parsed trips (e.g. the table ``stream_land`` writes)."""
+    return parse_trips(source) if "value" in source.columns else source
+
+
+def _trips(source: DataFrame, watermark: str, cut_early_s: int = 0) -> DataFrame:
+    return trip_facts(as_trips(source).withWatermark("ts", watermark), cut_early_s)
 
 
 def stream_daily(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WATERMARK,
@@ -83,7 +98,7 @@ def stream_hourly(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WA
     Rows are windowed on the time they are *counted* at: ``ts`` moved
     ``cut_early_s`` later, but never past the end of its own day (H8).
     """
-    trips = parse_trips(messages)
+    trips = as_trips(messages)
     ts = F.col("ts")
     moved = ts + F.make_interval(secs=F.lit(cut_early_s))
     last_hour = F.date_trunc("day", ts) + F.expr("INTERVAL 23 HOURS")
@@ -182,3 +197,38 @@ def stream_rejects(messages: DataFrame, path: str, *, checkpoint: str | None = N
     bad = parsed.where(F.col("reject_reason").isNotNull()).select(
         "event_id", "line_no", "ts", "line", "reject_reason", F.to_date("ts").alias("day"))
     return _append_files(bad, "trip_rejects", path, ["day"], checkpoint, trigger)
+
+
+def stream_land(messages: DataFrame, trips_path: str, rejects_path: str, *,
+                checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Parse every message once and land the result: good trips to
+    ``trips_path``, malformed lines to ``rejects_path``.
+
+    Stateless; each micro-batch is parsed once (persisted for its two
+    writes) and written as its own ``(day, batch_id)`` partitions, so a
+    replayed batch replaces exactly what it wrote.  The rollups then stream
+    from the landed trips instead of re-reading and re-parsing the source.
+    """
+    parsed = parse_lines(split_payloads(messages)).withColumn("day", F.to_date("ts"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            good = batch.where(F.col("reject_reason").isNull()).select(
+                "event_id", "line_no", "ts", *TRIP_COLUMNS, "day")
+            bad = batch.where(F.col("reject_reason").isNotNull()).select(
+                "event_id", "line_no", "ts", "line", "reject_reason", "day")
+            batch_log_writer(trips_path, ["day"])(good, batch_id)
+            batch_log_writer(rejects_path, ["day"])(bad, batch_id)
+        finally:
+            batch.unpersist()
+
+    return _start(parsed, "land_trips", write, "append", checkpoint, trigger)
+
+
+def landed_trips(spark, trips_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of the trips table written by ``stream_land``."""
+    reader = spark.readStream.format("parquet").schema(LANDED_TRIP_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(trips_path).drop("batch_id")
