@@ -45,6 +45,7 @@ def count_points(times: Column, points: Column, above: float | None = None,
     """points strictly above / below a threshold, only when ``times > 0``.
 
     Every point of the array is examined (not just the first ``times``).
+    Column form of the rule ``parse_lines`` applies as SQL text.
     """
     def hit(p):
         v = to_double(p["acceValue"])
@@ -52,11 +53,6 @@ def count_points(times: Column, points: Column, above: float | None = None,
     return F.when(times > 0, F.size(F.filter(points, hit))).otherwise(F.lit(0)).cast("int")
 
 
-def _bad_points(times: Column, points: Column) -> Column:
-    """Points must be present and numeric when ``times > 0``."""
-    return (times > 0) & (points.isNull() | F.exists(points, lambda p: to_double(p["acceValue"]).isNull()))
-
-
 _O, _A, _D, _T, _OV, _TI = "_o", "_a", "_d", "_t", "_ov", "_ti"
 _observations = itertools.count()
 
