@@ -269,6 +269,8 @@ FROM st""",
        CAST(count(DISTINCT user_id) AS VARCHAR) AS onlineNum
 FROM events GROUP BY 1""",
 
+    # The dirty fixture damages every row whose id is a multiple of 97 (kind
+    # by id % 3); Spark parses all rows and must reject exactly those.
     "trip_rejects": """SELECT CASE event_id % 3 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'mileage'
             ELSE 'acceRapidEvents.points' END AS reject_reason,
        count(*) AS n_rejects
