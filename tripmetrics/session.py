@@ -19,6 +19,8 @@ _DEFAULTS = {
     # off-heap, spills to local disk, checkpointed incrementally.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Remove checkpoint files of lineage cuts once their DataFrame is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
