@@ -1,7 +1,8 @@
 """Benchmark: every registered query on one data folder.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8).  Each query runs to completion through the ``noop`` sink (full
+(default 8); optional ``BENCH_QUERIES`` (comma list) and ``BENCH_JAVA_OPTS``
+(extra driver JVM options, for tuning experiments).  Each query runs to completion through the ``noop`` sink (full
 plan executed, nothing collected to the driver).  A warm-up pass on the
 smallest folder compiles the generated code first, so the timings measure
 steady-state execution rather than JIT and code generation.
@@ -37,9 +38,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     names = only or list(QUERIES)
-    spark = build_session(f"local[{cpus}]", cpus, app_name="tripmetrics-bench",
-                          extra={"spark.ui.showConsoleProgress": "false",
-                                 "spark.driver.memory": "16g"})
+    extra = {"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_JAVA_OPTS"):
+        extra["spark.driver.extraJavaOptions"] = os.environ["BENCH_JAVA_OPTS"]
+    spark = build_session(f"local[{cpus}]", cpus, app_name="tripmetrics-bench", extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
 
     t_warm = time.perf_counter()
