@@ -7,7 +7,7 @@
 * ``serving_snapshot`` -- the key/field/value view over the landed trips.
 
 The live job reads and parses the source once: a landing query writes parsed
-trips and rejects, and the stateful rollups stream from the landed trips.
+trips, rejects and heartbeats, and the stateful queries stream from those.
 """
 
 from __future__ import annotations
@@ -18,11 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmetrics.operators.daily import days_between
-from tripmetrics.operators.heartbeat import heartbeat_filter
 from tripmetrics.operators.serving import serving_kv
 from tripmetrics.schema import HEARTBEAT_TTL_MAIN_S, HEARTBEAT_TTL_MONITOR_S
 from tripmetrics.session import checkpoint_root
-from tripmetrics.sources.messages import read_messages
 from tripmetrics.sources.widecol import read_cells, widecol_count, widecol_project
 from tripmetrics.streaming import streams
 
@@ -37,21 +35,23 @@ def live_job(spark: SparkSession, messages: DataFrame, out_root: str, *,
              trigger: dict | None = None, job: str = "live") -> dict[str, StreamingQuery]:
     """Start the live job on a streaming message source.
 
-    Tables under ``out_root``: ``trips`` and ``rejects`` (landed),
-    ``daily``, ``hourly``, ``first_seen``, ``score`` and, with ``monitored``
-    terminal ids, ``heartbeat`` sessions.  With an ``availableNow`` trigger
+    Tables under ``out_root``: ``trips``, ``rejects`` and ``beats``
+    (landed; the source is read and parsed once), ``daily``, ``hourly``,
+    ``first_seen``, ``score`` and, with ``monitored`` terminal ids,
+    ``heartbeat`` sessions.  With an ``availableNow`` trigger
     the landing query finishes before the rollups start (catch-up run).
     """
     path = {n: os.path.join(out_root, n) for n in
-            ["trips", "rejects", "daily", "hourly", "first_seen", "score", "heartbeat"]}
+            ["trips", "rejects", "beats", "daily", "hourly", "first_seen", "score", "heartbeat"]}
     queries = {"land": streams.stream_land(messages, path["trips"], path["rejects"],
+                                           beats_path=path["beats"], monitored=monitored,
                                            checkpoint=_ckpt(spark, job, "land"), trigger=trigger)}
-    if monitored:
-        queries["heartbeat"] = streams.stream_heartbeat(
-            messages, path["heartbeat"], monitored, ttl_s=ttl_s, watermark=watermark,
-            checkpoint=_ckpt(spark, job, "heartbeat"), trigger=trigger)
     if trigger and trigger.get("availableNow"):
         queries["land"].awaitTermination()
+    if monitored:
+        queries["heartbeat"] = streams.stream_heartbeat(
+            streams.landed_beats(spark, path["beats"]), path["heartbeat"], monitored, ttl_s=ttl_s,
+            watermark=watermark, checkpoint=_ckpt(spark, job, "heartbeat"), trigger=trigger)
 
     def trips() -> DataFrame:
         return streams.landed_trips(spark, path["trips"])
@@ -84,14 +84,21 @@ def widecol_scan(spark: SparkSession, cells_path: str, file_format: str = "parqu
     return widecol_count(cells), widecol_project(cells)
 
 
-def serving_snapshot(spark: SparkSession, out_root: str, messages_path: str | None = None,
-                     monitored: list[str] | None = None) -> DataFrame:
-    """Batch serving view over the landed trips of ``live_job``; heartbeat
-    keys need the raw messages (``messages_path``) and ``monitored`` ids."""
+def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path).drop("batch_id")
+    except Exception as exc:  # noqa: BLE001 - a table the job never wrote
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return None
+        raise
+
+
+def serving_snapshot(spark: SparkSession, out_root: str) -> DataFrame:
+    """Batch serving view over the tables ``live_job`` landed: trips,
+    rejects (their times extend the calendar, so a day with only malformed
+    messages still gets its zero rows) and, if monitored, heartbeats."""
     trips = spark.read.parquet(os.path.join(out_root, "trips")).drop("batch_id")
-    beats, days = None, None
-    if messages_path and monitored:
-        messages = read_messages(spark, messages_path)
-        beats = heartbeat_filter(messages, monitored)
-        days = days_between(messages)
-    return serving_kv(trips, beats, days)
+    rejects = _read_if_present(spark, os.path.join(out_root, "rejects"))
+    beats = _read_if_present(spark, os.path.join(out_root, "beats"))
+    times = trips.select("ts") if rejects is None else trips.select("ts").unionByName(rejects.select("ts"))
+    return serving_kv(trips, beats, days_between(times))

@@ -151,13 +151,18 @@ def stream_heartbeat(messages: DataFrame, path: str, terminal_ids: list[str], *,
                      checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """L2 live: liveness sessions per terminal via ``session_window(ts, ttl)``.
 
+    ``messages``: raw messages (filtered here for ``terminal_ids``) or beats
+    ``(event_id, ts, terminal_id)`` already landed by ``stream_land``.
+
     Table ``(terminal_id, session_start, session_end, beats)``: the key was
     alive over ``[session_start, session_end)`` where ``session_end`` = last
     beat + TTL (the expiry).  Gaps between consecutive sessions are outages;
     sessions are emitted once final (append mode, after the watermark).
     Sessions merge at a gap of exactly the TTL, as the key would survive.
     """
-    beats = heartbeat_filter(messages, terminal_ids).withWatermark("ts", watermark)
+    source = messages
+    beats = source if "value" not in source.columns else heartbeat_filter(source, terminal_ids)
+    beats = beats.withWatermark("ts", watermark)
     sess = beats.groupBy("terminal_id", F.session_window("ts", f"{ttl_s} seconds").alias("s")).agg(
         F.count(F.lit(1)).alias("beats"))
     out = sess.select("terminal_id", F.col("s.start").alias("session_start"),
@@ -200,30 +205,39 @@ def stream_rejects(messages: DataFrame, path: str, *, checkpoint: str | None = N
 
 
 def stream_land(messages: DataFrame, trips_path: str, rejects_path: str, *,
+                beats_path: str | None = None, monitored: list[str] | None = None,
                 checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Parse every message once and land the result: good trips to
-    ``trips_path``, malformed lines to ``rejects_path``.
-
-    Stateless; each micro-batch is parsed once (persisted for its two
-    writes) and written as its own ``(day, batch_id)`` partitions, so a
-    replayed batch replaces exactly what it wrote.  The rollups then stream
-    from the landed trips instead of re-reading and re-parsing the source.
+    ``trips_path``, malformed lines to ``rejects_path`` and, with
+    ``monitored`` ids, their heartbeats ``(event_id, ts, terminal_id)`` to
+    ``beats_path`` (tested on the raw text, as heartbeats are).
+
+    Stateless; each micro-batch is read once and parsed once (both kept for
+    the batch's writes only) and written as its own ``(day, batch_id)``
+    partitions, so a replayed batch replaces exactly what it wrote.  The
+    rollups then stream from the landed tables instead of re-reading and
+    re-parsing the source.
     """
-    parsed = parse_lines(split_payloads(messages)).withColumn("day", F.to_date("ts"))
+    watch = bool(monitored and beats_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.persist()  # the raw micro-batch: heartbeats and the parse
+        parsed = parse_lines(split_payloads(batch)).withColumn("day", F.to_date("ts")).persist()
         try:
-            good = batch.where(F.col("reject_reason").isNull()).select(
+            if watch:
+                beats = heartbeat_filter(batch, monitored).withColumn("day", F.to_date("ts"))
+                batch_log_writer(beats_path, ["day"])(beats, batch_id)
+            good = parsed.where(F.col("reject_reason").isNull()).select(
                 "event_id", "line_no", "ts", *TRIP_COLUMNS, "day")
-            bad = batch.where(F.col("reject_reason").isNotNull()).select(
+            bad = parsed.where(F.col("reject_reason").isNotNull()).select(
                 "event_id", "line_no", "ts", "line", "reject_reason", "day")
             batch_log_writer(trips_path, ["day"])(good, batch_id)
             batch_log_writer(rejects_path, ["day"])(bad, batch_id)
         finally:
+            parsed.unpersist()
             batch.unpersist()
 
-    return _start(parsed, "land_trips", write, "append", checkpoint, trigger)
+    return _start(messages, "land_trips", write, "append", checkpoint, trigger)
 
 
 def landed_trips(spark, trips_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -232,3 +246,9 @@ def landed_trips(spark, trips_path: str, max_files_per_trigger: int | None = Non
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(trips_path).drop("batch_id")
+
+
+def landed_beats(spark, beats_path: str) -> DataFrame:
+    """Streaming read of the heartbeats written by ``stream_land``."""
+    schema = "event_id BIGINT, ts TIMESTAMP, terminal_id STRING, day DATE, batch_id BIGINT"
+    return spark.readStream.format("parquet").schema(schema).load(beats_path).drop("day", "batch_id")
