@@ -8,8 +8,9 @@ of parsed trips landed by ``stream_land`` (``landed_trips``), and returns a
 
 * State is Spark's state store (per-key, on executors, checkpointed), not an
   external key-value server; updates are exact (no lost read-add-write).
-* Watermarks bound the state (default 1 hour of lateness); rows later than
-  the watermark are dropped and counted in the query progress.
+* Watermarks bound the state (default 1 hour of lateness); a row whose
+  window had closed before its batch started (judged by the previous
+  batch's watermark) is dropped and counted in the query progress.
 * Exact distinct drivers come from the ``(day, terminal)``-keyed first-seen
   stream (streaming ``count(DISTINCT)`` is not supported, and a per-day set
   would be one unbounded state row); a HyperLogLog++ estimate is optional.
