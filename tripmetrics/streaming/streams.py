@@ -32,7 +32,7 @@ from tripmetrics.operators.heartbeat import heartbeat_filter
 from tripmetrics.schema import HEARTBEAT_TTL_MAIN_S, TRIGGER_INTERVAL, TRIP_COLUMNS, TRIP_FIELDS
 from tripmetrics.session import checkpoint_root
 from tripmetrics.sources.messages import split_payloads
-from tripmetrics.streaming.sinks import batch_log_writer, partition_writer
+from tripmetrics.streaming.sinks import batch_log_writer, overwrite_partitions, partition_writer
 
 DEFAULT_WATERMARK = "1 hour"
 
@@ -123,10 +123,23 @@ def stream_first_seen(messages: DataFrame, path: str, *, watermark: str = DEFAUL
     return _start(out, "first_seen", batch_log_writer(path, ["day"]), "update", checkpoint, trigger)
 
 
-def first_seen_table(spark, path: str) -> DataFrame:
-    """``(day, terminal_id, first_ts)`` reduced from the first-seen log."""
-    log = spark.read.parquet(path)
-    return log.groupBy("day", "terminal_id").agg(F.min("first_ts").alias("first_ts"))
+def first_seen_table(spark, path: str, compact_path: str | None = None) -> DataFrame:
+    """``(day, terminal_id, first_ts)`` reduced from the first-seen log and,
+    if given, its compacted table.  The reduction is a minimum, so log and
+    compacted rows may overlap freely."""
+    rows = spark.read.parquet(path).select("day", "terminal_id", "first_ts")
+    if compact_path:
+        rows = rows.unionByName(spark.read.parquet(compact_path).select("day", "terminal_id", "first_ts"))
+    return rows.groupBy("day", "terminal_id").agg(F.min("first_ts").alias("first_ts"))
+
+
+def compact_first_seen(spark, path: str, compact_path: str, before_day: str) -> None:
+    """Batch compaction: reduce every log row of days before ``before_day``
+    (closed days) into ``compact_path``, one partition per day (replacing
+    those days' partitions, so it can be re-run).  Log partitions of
+    compacted days can then be dropped by retention."""
+    closed = first_seen_table(spark, path).where(F.col("day") < F.lit(before_day).cast("date"))
+    overwrite_partitions(closed, compact_path, ["day"])
 
 
 def hourly_from_first_seen(first_seen: DataFrame, cut_early_s: int = 0) -> DataFrame:
