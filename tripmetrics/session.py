@@ -47,11 +47,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for stream checkpoints and lineage cuts.
+    """Stable shared folder for stream checkpoints and lineage cuts.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, durable
     folder there).  Only when it is unset -- local runs and tests -- a fresh
-    scratch folder is created and registered.
+    scratch folder is created and registered.  The returned folder is the
+    configured one itself, not the per-application subfolder Spark creates
+    for ``DataFrame.checkpoint`` files, so a restarted stream finds its
+    checkpoint again.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -59,13 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): the server's setting applies
         return conf_dir or ""
     conf_dir = conf_dir or sc.getConf().get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    local = tempfile.mkdtemp(prefix="tripmetrics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return sc.getCheckpointDir() or local
+    if not conf_dir:
+        conf_dir = tempfile.mkdtemp(prefix="tripmetrics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(conf_dir)  # lineage cuts (DataFrame.checkpoint) go below it
+    return conf_dir
