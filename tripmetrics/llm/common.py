@@ -7,14 +7,17 @@ Words are the maximal runs of ``[^\\x20\\x09-\\x0D]``: exactly what
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD_SEP = r"[\x20\x09-\x0D]+"
-_MEMO_LIMIT = 1_000_000
+_SLICE = 1 << 20
+_LONG = 64
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -55,19 +58,6 @@ def words_sql(text: str = "text") -> str:
 WORD_SEP_SQL = r"[\\x20\\x09-\\x0D]+"
 
 
-class WordHash(dict):
-    """64-bit hash of a word, remembered; emptied when it holds a million words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MEMO_LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     x = x + _GOLD
@@ -85,6 +75,84 @@ def gram_hash(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+_SEPARATOR = np.zeros(256, bool)
+_SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    out = []
+    for base in (_BASE, inverse):
+        p = np.full(n, base, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+class Tokeniser:
+    """Words of many texts as 64-bit hashes, vectorised over the bytes.
+
+    A word's hash is a polynomial of its bytes (words of over 64 bytes:
+    xxh3), the same wherever the word stands."""
+
+    def __init__(self) -> None:
+        self._up, self._down = _powers(_SLICE)
+
+    def _slice(self, data: bytes, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        a = np.frombuffer(data, np.uint8, hi - lo, lo)
+        if len(a) > len(self._up):
+            self._up, self._down = _powers(len(a))
+        gap = _SEPARATOR[a]
+        edge = np.flatnonzero(np.diff(np.r_[True, gap, True].astype(np.int8)))
+        start, end = edge[::2], edge[1::2]
+        total = np.zeros(len(a) + 1, np.uint64)
+        np.cumsum(_BYTE[a] * self._up[: len(a)], out=total[1:])
+        size = end - start
+        h = mix((total[end] - total[start]) * self._down[start] + size.astype(np.uint64))
+        for k in np.flatnonzero(size > _LONG):
+            h[k] = xxhash.xxh3_64_intdigest(data[lo + start[k] : lo + end[k]])
+        return h, start + lo
+
+    def __call__(self, texts: Iterable[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes of all words in order, number of words of each text)."""
+        parts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        data = b" ".join(parts)
+        if lower:
+            data = data.lower()
+        hashes, starts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        lo = 0
+        with np.errstate(over="ignore"):
+            while lo < len(data):
+                hi = min(lo + _SLICE, len(data))
+                while hi < len(data) and not _SEPARATOR[data[hi]]:
+                    hi += 1
+                h, s = self._slice(data, lo, hi)
+                hashes.append(h)
+                starts.append(s)
+                lo = hi
+        begin = np.cumsum([0] + [len(p) + 1 for p in parts])
+        where = np.searchsorted(np.concatenate(starts), begin)
+        return np.concatenate(hashes), np.diff(where)
+
+
+def chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes add up to about ``most`` (one row at least)."""
+    lo, total = 0, 0
+    for k, n in enumerate(sizes):
+        total += n
+        if total >= most:
+            yield lo, k + 1
+            lo, total = k + 1, 0
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
+def text_chunks(texts: pd.Series, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    return chunks([len(t) if t else 1 for t in texts], most)
+
+
 def spread_by(df: DataFrame, *cols: str) -> DataFrame:
     """Hash repartition on columns with Spark's own partition count."""
     return df.repartition(*[F.col(c) for c in cols])

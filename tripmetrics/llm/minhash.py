@@ -34,22 +34,30 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import WordHash, cut, gram_hash, mix
+from tripmetrics.llm.common import Tokeniser, cut, gram_hash, mix, text_chunks
 from tripmetrics.llm.components import components
 
 COORDS = 128
 ROWS = 4
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_CHUNK = 1 << 18
 
 
-def shingle_set(text: str | None, size: int, memo: WordHash) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles of a text."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    h = memo.of(words)
-    return np.unique(gram_hash(h, min(size, len(h))))
+def shingle_sets(texts: pd.Series, size: int, words: Tokeniser) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the word shingles of each text."""
+    h, counts = words(texts, lower=True)
+    out = []
+    with np.errstate(over="ignore"):
+        grams = gram_hash(h, size) if len(h) >= size else np.empty(0, np.uint64)
+        at = 0
+        for n in counts:
+            if n == 0:
+                out.append(np.empty(0, np.uint64))
+            elif n < size:
+                out.append(gram_hash(h[at : at + n], n))
+            else:
+                out.append(np.unique(grams[at : at + n - size + 1]))
+            at += n
+    return out
 
 
 def fast_sketch(values: np.ndarray, owner: np.ndarray, n_sets: int, coords: int = COORDS) -> np.ndarray:
@@ -85,17 +93,10 @@ def band_keys(sketches: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def _sketched(id_col: str, text_col: str, size: int, coords: int, rows: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHash()
+        words = Tokeniser()
         for pdf in batches:
-            at = 0
-            while at < len(pdf):
-                sets, total, start = [], 0, at
-                while at < len(pdf) and total < _CHUNK:
-                    with np.errstate(over="ignore"):
-                        s = shingle_set(pdf[text_col].iat[at], size, memo)
-                    sets.append(s)
-                    total += len(s)
-                    at += 1
+            for lo, hi in text_chunks(pdf[text_col]):
+                sets = shingle_sets(pdf[text_col].iloc[lo:hi], size, words)
                 full = [s for s in sets if len(s)]
                 keys = iter(())
                 if full:
@@ -103,7 +104,7 @@ def _sketched(id_col: str, text_col: str, size: int, coords: int, rows: int):
                     keys = iter(band_keys(fast_sketch(np.concatenate(full), owner, len(full), coords), rows))
                 yield pd.DataFrame(
                     {
-                        id_col: pdf[id_col].iloc[start:at].array,
+                        id_col: pdf[id_col].iloc[lo:hi].array,
                         "n_shingles": np.array([len(s) for s in sets], np.int64),
                         "set_digest": [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets],
                         "bands": [next(keys) if len(s) else None for s in sets],
@@ -115,17 +116,11 @@ def _sketched(id_col: str, text_col: str, size: int, coords: int, rows: int):
 
 def _sets(text_col: str, size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHash()
+        words = Tokeniser()
         for pdf in batches:
-            with np.errstate(over="ignore"):
-                for lo in range(0, len(pdf), 500):
-                    part = pdf.iloc[lo : lo + 500]
-                    yield pd.DataFrame(
-                        {
-                            "id": part["id"],
-                            "items": [shingle_set(t, size, memo).view(np.int64) for t in part[text_col]],
-                        }
-                    )
+            for lo, hi in text_chunks(pdf[text_col]):
+                sets = shingle_sets(pdf[text_col].iloc[lo:hi], size, words)
+                yield pd.DataFrame({"id": pdf["id"].iloc[lo:hi].array, "items": [s.view(np.int64) for s in sets]})
 
     return run
 

@@ -13,16 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmetrics.llm.common import read_table
 from tripmetrics.llm.minhash import near_duplicates
 from tripmetrics.llm import sql
+from tripmetrics.llm.substring import drop_repeats
 
 
 def op1_minhash_near_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, data_dir, "documents"), size=2, percent=80)
 
 
+def op7_substring_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    return drop_repeats(read_table(spark, data_dir, "documents"), window=35)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": sql.NEAR_DEDUP,
+    "op7_substring_dedup": sql.SUBSTRING_DEDUP,
 }

@@ -30,3 +30,23 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
+
+SUBSTRING_DEDUP = f"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS.format(text="text")} AS ws FROM documents
+), win AS (
+  SELECT r, i, hash(array_to_string(ws[i:i + 34], ' ')) AS h, md5(array_to_string(ws[i:i + 34], ' ')) AS m
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)
+), rep AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h, m) AS c FROM win) WHERE c > 1
+), gone AS (
+  SELECT r, list_distinct(flatten(list(range(i, i + 35)))) AS g FROM rep GROUP BY r
+), kept AS (
+  SELECT w.doc_id, len(ws) AS n_words,
+         CASE WHEN g IS NULL THEN ws
+              ELSE list_transform(list_sort(list_where(range(1, len(ws) + 1),
+                     list_transform(range(1, len(ws) + 1), lambda i: NOT list_contains(g, i)))), lambda i: ws[i]) END AS k
+  FROM w LEFT JOIN gone USING (r)
+)
+SELECT doc_id, n_words, n_words - len(k) AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+"""
