@@ -14,6 +14,7 @@ from tripmetrics.llm.common import read_table
 from tripmetrics.llm.minhash import near_duplicates
 from tripmetrics.llm import sql
 from tripmetrics.llm.substring import drop_repeats
+from tripmetrics.llm.warc import archive_folder, read_archives, write_archives
 
 
 def op1_minhash_near_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -24,12 +25,19 @@ def op7_substring_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return drop_repeats(read_table(spark, data_dir, "documents"), window=35)
 
 
+def op9_warc_bundles(spark: SparkSession, data_dir: str) -> DataFrame:
+    index = write_archives(read_table(spark, data_dir, "pages"), archive_folder(spark))
+    return read_archives(index).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_warc_bundles": op9_warc_bundles,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": sql.NEAR_DEDUP,
     "op7_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op9_warc_bundles": sql.WARC,
 }

@@ -50,3 +50,22 @@ WITH w AS (
 )
 SELECT doc_id, n_words, n_words - len(k) AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
 """
+
+WARC = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, upper(sha1(coalesce(html, ''))) AS hex
+  FROM pages
+), d AS (
+  SELECT page_id, payload_bytes, array_to_string(flatten(list_transform(range(0, 8), lambda g:
+           list_transform([15, 10, 5, 0], lambda s:
+             substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    1 + ((('0x' || substr(hex, 1 + 5 * g, 5))::INT >> s::INT) & 31), 1)))), '') AS payload_digest
+  FROM p
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
