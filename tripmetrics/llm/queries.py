@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmetrics.llm.common import read_table
 from tripmetrics.llm.minhash import near_duplicates
 from tripmetrics.llm import sql
+from tripmetrics.llm.fingerprint import edited_neighbours
+from tripmetrics.llm.mixing import mix_sources
 from tripmetrics.llm.substring import drop_repeats
 from tripmetrics.llm.warc import archive_folder, read_archives, write_archives
 
@@ -21,6 +23,14 @@ def op1_minhash_near_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, data_dir, "documents"), size=2, percent=80)
 
 
+def op5_fingerprints(spark: SparkSession, data_dir: str) -> DataFrame:
+    return edited_neighbours(read_table(spark, data_dir, "documents"))
+
+
+def op6_source_mixing(spark: SparkSession, data_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, data_dir, "documents")).documents
+
+
 def op7_substring_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return drop_repeats(read_table(spark, data_dir, "documents"), window=35)
 
@@ -32,6 +42,8 @@ def op9_warc_bundles(spark: SparkSession, data_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_source_mixing": op6_source_mixing,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_warc_bundles": op9_warc_bundles,
 }
