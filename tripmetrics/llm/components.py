@@ -31,6 +31,12 @@ def _mark(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
+def one_step(edges: DataFrame) -> DataFrame:
+    """One large-star and one small-star round: ``(u, v)`` with v < u in the same
+    component, for every node but the smallest of each neighbourhood."""
+    return _star(_star(edges, True), False)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``edges(u, v)`` of longs -> ``(node, root)`` with root = smallest node
     reachable.  Only nodes that have an edge to another node appear (the root
@@ -40,7 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     mark = _mark(e)
     while mark[0]:
-        nxt = cut(_star(_star(e, True), False))
+        nxt = cut(one_step(e))
         new = _mark(nxt)
         if new == mark:
             break

@@ -12,11 +12,13 @@ all of the 32 buckets with probability (1 - 0.8**4)**32 = 5e-8.  Every pair that
 is linked is confirmed on the full sets.
 
 Copies of one set are folded first.  A bucket's pairs are then never all
-listed: each round some members of a bucket are hubs, compared with every
+listed: each turn some members of a bucket are hubs, compared with every
 member that is not yet in the hub's class, and leave the bucket.  A bucket ends
 when its members are all of one class.  The hubs of a bucket grow fourfold by
-round, smallest classes first, so a group of mutual near copies ends after a few
-stars, while no pair of different classes is ever left out.
+turn, smallest classes first, so a group of mutual near copies ends after a few
+stars, while no pair of different classes is ever left out.  Members and pairs
+that cannot reach the threshold by the items they share with any other member
+are left out before (an exact bound).
 
 Null or blank texts have an empty set and are linked with nothing; a row
 without doc_id is linked with nothing and has a null component and kept = true.
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmetrics.llm.common import Tokeniser, cut, gram_hash, mix, text_chunks
-from tripmetrics.llm.components import components
+from tripmetrics.llm.components import components, one_step
 
 COORDS = 128
 ROWS = 4
@@ -125,45 +127,57 @@ def _sets(text_col: str, size: int):
     return run
 
 
+def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Add ``m``, the number of items that some other member has too, and leave
+    out members that these items alone cannot link: a set of n items resembles
+    another by m / n at most.  Exact, and it spares all pairs of a member that
+    shares a bucket with many but resembles none."""
+    lone = (
+        sets.select("id", F.explode("items").alias("item"))
+        .groupBy("item")
+        .agg(F.count("*").alias("c"), F.min("id").alias("id"))
+        .where("c = 1")
+        .groupBy("id")
+        .agg(F.count("*").alias("lone"))
+    )
+    known = members.join(lone, "id", "left").withColumn("m", F.expr("n - coalesce(lone, 0)")).drop("lone")
+    return known.where(f"100 * m >= {percent} * n")
+
+
 def _hubs(members: DataFrame, turn: int) -> DataFrame:
-    """(key, hub, hub_label, hub_n) of the members that are hubs this round."""
+    """(key, hub, hub_label, hub_n, hub_m) of the members that are hubs this turn."""
+    out = [F.col("h." + c).alias(a) for c, a in (("id", "hub"), ("label", "hub_label"), ("n", "hub_n"), ("m", "hub_m"))]
+    row = F.struct("id", "label", "n", "m")
     if turn == 0:
-        pick = members.groupBy("key").agg(F.min(F.struct("id", "label", "n")).alias("h"))
-        return pick.select("key", F.col("h.id").alias("hub"), F.col("h.label").alias("hub_label"), F.col("h.n").alias("hub_n"))
-    count = 4 ** (turn - 1)
+        return members.groupBy("key").agg(F.min(row).alias("h")).select("key", *out)
     order = [F.xxhash64("id", F.lit(turn)), F.col("id")]
-    if turn > 2:
+    if turn > 1:
         sizes = members.groupBy("key", "label").agg(F.count("*").alias("size"))
         members = members.join(sizes, ["key", "label"])
         order = [F.col("size"), *order]
     ranked = members.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order)))
-    return ranked.where(F.col("rank") <= count).select(
-        "key", F.col("id").alias("hub"), F.col("label").alias("hub_label"), F.col("n").alias("hub_n")
-    )
+    return ranked.where(F.col("rank") <= 4**turn).select("key", row.alias("h")).select("key", *out)
 
 
 def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``members(key, id, n)``: bucket members with set sizes; ``sets(id,
     items)``.  Returns ``(id, label)`` for ids in a class of two or more,
-    label = smallest id of the class (the smallest id itself may be absent)."""
-    labels = None
+    label = smallest id of the class (the smallest id itself is absent)."""
+    members = _linkable(members, sets, percent).withColumn("label", F.col("id"))
+    edges = None
     turn = 0
     while True:
-        if labels is None:
-            now = members.withColumn("label", F.col("id"))
-        else:
-            now = members.join(labels, "id", "left").select(
-                "key", "id", "n", F.coalesce("label", "id").alias("label")
-            )
-        open_keys = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-        now = cut(now.join(open_keys.select("key"), "key", "left_semi"))
-        if now.isEmpty():
+        open_keys = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
+        members = cut(members.join(open_keys.select("key"), "key", "left_semi"))
+        if members.isEmpty():
             break
-        hubs = cut(_hubs(now, turn))
+        hubs = cut(_hubs(members, turn))
+        # two sets have no more in common than the smaller of their m
+        most = F.least("m", "hub_m")
         pairs = (
-            now.join(hubs, "key")
+            members.join(hubs, "key")
             .where("label != hub_label")
-            .where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
+            .where(100 * most >= percent * (F.col("n") + F.col("hub_n") - most))
             .select(
                 F.least("id", "hub").alias("a"),
                 F.greatest("id", "hub").alias("b"),
@@ -174,31 +188,25 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         )
         left = sets.select(F.col("id").alias("a"), F.col("items").alias("xs"))
         right = sets.select(F.col("id").alias("b"), F.col("items").alias("ys"))
-        seen = (
+        linked = (
             pairs.join(left, "a")
             .join(right, "b")
             .select("la", "lb", F.size("xs").alias("na"), F.size("ys").alias("nb"), F.size(F.array_intersect("xs", "ys")).alias("both"))
+            .where(f"100 * both >= {percent} * (na + nb - both)")
         )
-        found = components(
-            seen.where(f"100 * both >= {percent} * (na + nb - both)").select(F.col("la").alias("u"), F.col("lb").alias("v"))
-        )
-        if labels is None:
-            labels = found.select(F.col("node").alias("id"), F.col("root").alias("label"))
-        else:
-            moved = labels.join(found, labels["label"] == found["node"], "left").select(
-                "id", F.coalesce("root", "label").alias("label")
-            )
-            fresh = found.join(labels, found["node"] == labels["id"], "left_anti").select(
-                F.col("node").alias("id"), F.col("root").alias("label")
-            )
-            labels = cut(moved.union(fresh))
-        members = now.select("key", "id", "n").join(
-            hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti"
+        found = cut(linked.select(F.col("la").alias("u"), F.col("lb").alias("v")).distinct())
+        edges = found if edges is None else edges.union(found)
+        # classes so far: one step is enough here, as the edges of all turns are joined at the end
+        step = one_step(found).groupBy(F.col("u").alias("label")).agg(F.min("v").alias("root"))
+        members = (
+            members.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
+            .join(step, "label", "left")
+            .select("key", "id", "n", "m", F.coalesce("root", "label").alias("label"))
         )
         turn += 1
-    if labels is None:
-        labels = members.select("id", F.col("id").alias("label")).where("false")
-    return labels
+    if edges is None:
+        return members.select("id", "label")
+    return components(edges).select(F.col("node").alias("id"), F.col("root").alias("label"))
 
 
 def near_duplicates(

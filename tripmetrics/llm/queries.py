@@ -6,6 +6,7 @@ and derives the digest columns of its contract from the operator's output.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +16,21 @@ from tripmetrics.llm.minhash import near_duplicates
 from tripmetrics.llm import sql
 from tripmetrics.llm.fingerprint import edited_neighbours
 from tripmetrics.llm.mixing import mix_sources
+from tripmetrics.llm.spiece import encode
 from tripmetrics.llm.substring import drop_repeats
 from tripmetrics.llm.warc import archive_folder, read_archives, write_archives
 
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 def op1_minhash_near_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, data_dir, "documents"), size=2, percent=80)
 
 
+def op4_sentencepiece(spark: SparkSession, data_dir: str) -> DataFrame:
+    return encode(read_table(spark, data_dir, "documents"), PIECE_MODEL)
+
+
 def op5_fingerprints(spark: SparkSession, data_dir: str) -> DataFrame:
     return edited_neighbours(read_table(spark, data_dir, "documents"))
 
@@ -42,6 +50,7 @@ def op9_warc_bundles(spark: SparkSession, data_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_fingerprints": op5_fingerprints,
     "op6_source_mixing": op6_source_mixing,
     "op7_substring_dedup": op7_substring_dedup,
