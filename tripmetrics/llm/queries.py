@@ -15,9 +15,12 @@ from tripmetrics.llm.common import read_table
 from tripmetrics.llm.minhash import near_duplicates
 from tripmetrics.llm import sql
 from tripmetrics.llm.fingerprint import edited_neighbours
+from tripmetrics.llm.langid import identify
 from tripmetrics.llm.mixing import mix_sources
+from tripmetrics.llm.quality import judge
 from tripmetrics.llm.spiece import encode
 from tripmetrics.llm.substring import drop_repeats
+from tripmetrics.llm.toxicity import score_toxicity
 from tripmetrics.llm.warc import archive_folder, read_archives, write_archives
 
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -27,6 +30,17 @@ def op1_minhash_near_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, data_dir, "documents"), size=2, percent=80)
 
 
+def op2_quality_rules(spark: SparkSession, data_dir: str) -> DataFrame:
+    judged = judge(read_table(spark, data_dir, "documents"), read_table(spark, data_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rule", "kept"
+    )
+
+
+def op3_toxicity(spark: SparkSession, data_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, data_dir, "documents"), read_table(spark, data_dir, "labels"))
+
+
 def op4_sentencepiece(spark: SparkSession, data_dir: str) -> DataFrame:
     return encode(read_table(spark, data_dir, "documents"), PIECE_MODEL)
 
@@ -43,6 +57,10 @@ def op7_substring_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return drop_repeats(read_table(spark, data_dir, "documents"), window=35)
 
 
+def op8_language_id(spark: SparkSession, data_dir: str) -> DataFrame:
+    return identify(read_table(spark, data_dir, "documents"))
+
+
 def op9_warc_bundles(spark: SparkSession, data_dir: str) -> DataFrame:
     index = write_archives(read_table(spark, data_dir, "pages"), archive_folder(spark))
     return read_archives(index).drop("url")
@@ -50,10 +68,13 @@ def op9_warc_bundles(spark: SparkSession, data_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_fingerprints": op5_fingerprints,
     "op6_source_mixing": op6_source_mixing,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_language_id": op8_language_id,
     "op9_warc_bundles": op9_warc_bundles,
 }
 
