@@ -12,10 +12,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD_SEP = r"[\x20\x09-\x0D]+"
 _SLICE = 1 << 20
 _LONG = 64
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -50,12 +49,13 @@ def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 
-def words_sql(text: str = "text") -> str:
-    """SQL text of the words of a column; null and blank texts give no words."""
-    return f"filter(split(coalesce({text}, ''), '{WORD_SEP_SQL}'), w -> w != '')"
+def id_text(col: str) -> Column:
+    """An id for the way through pandas, where a null would make floats of longs."""
+    return F.col(col).cast("long").cast("string").alias(col)
 
 
-WORD_SEP_SQL = r"[\\x20\\x09-\\x0D]+"
+def id_long(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("long") for c in cols})
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -151,8 +151,3 @@ def chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 def text_chunks(texts: pd.Series, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     return chunks([len(t) if t else 1 for t in texts], most)
-
-
-def spread_by(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash repartition on columns with Spark's own partition count."""
-    return df.repartition(*[F.col(c) for c in cols])

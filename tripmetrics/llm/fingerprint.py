@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import mix
+from tripmetrics.llm.common import id_long, id_text, mix
 
 K = 128
 SHINGLE = 8
@@ -115,8 +115,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out.insert(0, id_col, pdf[id_col].array)
             yield out
 
-    own = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
-    return own.mapInPandas(run, f"{id_col} long, n_chars long, n_distinct double, fingerprint string")
+    own = docs.select(id_text(id_col), F.col(text_col).cast("string").alias("text"))
+    schema = f"{id_col} string, n_chars long, n_distinct double, fingerprint string"
+    return id_long(own.mapInPandas(run, schema), id_col)
 
 
 def merged_fingerprints(parts: DataFrame, by: list[str], k: int = K) -> DataFrame:
@@ -184,8 +185,7 @@ def _compared(k: int, size: int):
                     if held is not None:
                         rows.append(row(held[0], held[1], doc))
                 held = None if bound else (doc_id, doc)
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=names)
 
     return run
 
@@ -196,9 +196,13 @@ def edited_neighbours(
     """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next)``: the edited text is the document with its last
     third replaced by as much of the next document's beginning."""
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    low = -(2**63)
-    ids = own.select(F.coalesce("doc_id", F.lit(low)).alias("id"))
+    low = F.expr("-9223372036854775807 - 1")  # rows without an id come last
+    own = docs.select(
+        id_text(id_col).alias("doc_id"),
+        F.coalesce(F.col(id_col).cast("long"), low).alias("id"),
+        F.col(text_col).cast("string").alias("text"),
+    )
+    ids = own.select("id")
     count, top = ids.agg(F.count("*"), F.max("id")).first()
     n = max(1, min(MAX_RANGES, count // ROWS_PER_RANGE))
     shares = [j / n for j in range(1, n)]
@@ -207,21 +211,22 @@ def edited_neighbours(
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            order = pdf["doc_id"].astype("Int64").fillna(low).to_numpy(np.int64)
+            order = pdf["id"].to_numpy()
             part = np.searchsorted(bounds, order)
-            pdf = pdf.assign(part=part, bound=False, id=order)
+            pdf = pdf.assign(part=part, bound=False)
             first = pdf[bounds[part] == order]  # a bound is the first of its range and the end of the one before
             yield pd.concat([pdf, first.assign(part=(first["part"] + 1) % len(bounds), bound=True)])[
                 ["part", "bound", "id", "doc_id", "text"]
             ]
 
-    return (
-        own.mapInPandas(dealt, "part int, bound boolean, id long, doc_id long, text string")
+    compared = (
+        own.mapInPandas(dealt, "part int, bound boolean, id long, doc_id string, text string")
         .repartition("part")
         .sortWithinPartitions("part", "bound", F.desc("id"), "text")
         .mapInPandas(
             _compared(k, size),
-            "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+            "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
             "near_edited double, near_next double",
         )
     )
+    return id_long(compared, "doc_id")

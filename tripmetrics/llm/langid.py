@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import mix
+from tripmetrics.llm.common import id_long, id_text, mix
 from tripmetrics.llm.toxicity import held_out
 
 BITS = 13
@@ -160,11 +160,10 @@ def predict(docs: DataFrame, model: tuple) -> DataFrame:
                 )
 
     own = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        held_out("doc_id", 4, 2).alias("held_out"),
-        F.col("text").cast("string").alias("text"),
+        id_text("doc_id"), held_out("doc_id", 4, 2).alias("held_out"), F.col("text").cast("string").alias("text")
     )
-    return own.mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+    schema = "doc_id string, held_out boolean, lang_pred string, score double, rejected boolean"
+    return id_long(own.mapInPandas(run, schema), "doc_id")
 
 
 def identify(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import Tokeniser, cut, gram_hash, mix, text_chunks
+from tripmetrics.llm.common import Tokeniser, cut, gram_hash, id_long, id_text, mix, text_chunks
 from tripmetrics.llm.components import components, one_step
 
 COORDS = 128
@@ -219,9 +219,9 @@ def near_duplicates(
     rows: int = ROWS,
 ) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` per row of ``docs``."""
-    own = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
-    schema = f"{id_col} long, n_shingles long, set_digest string, bands array<long>"
-    base = cut(own.mapInPandas(_sketched(id_col, text_col, size, coords, rows), schema))
+    own = docs.select(id_text(id_col), F.col(text_col).cast("string").alias(text_col))
+    schema = f"{id_col} string, n_shingles long, set_digest string, bands array<long>"
+    base = cut(id_long(own.mapInPandas(_sketched(id_col, text_col, size, coords, rows), schema), id_col))
     reps = cut(
         base.where(F.col("set_digest").isNotNull() & F.col(id_col).isNotNull())
         .groupBy("set_digest")
@@ -231,7 +231,7 @@ def near_duplicates(
     shared = buckets.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = cut(buckets.join(shared.select("key"), "key", "left_semi").select("key", "id", "n"))
     wanted = members.select("id").distinct()
-    texts = own.select(F.col(id_col).alias("id"), text_col).join(wanted, "id", "left_semi")
+    texts = own.select(F.col(id_col).cast("long").alias("id"), text_col).join(wanted, "id", "left_semi")
     sets = cut(texts.mapInPandas(_sets(text_col, size), "id long, items array<long>"))
     labels = link_classes(members, sets, percent)
     classes = reps.join(labels, "id", "left").select("set_digest", F.coalesce("label", "id").alias("component_id"))

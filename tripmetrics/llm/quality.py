@@ -62,8 +62,10 @@ class Condition(NamedTuple):
         return value > self.bound if self.above else value <= self.bound
 
 
-def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts of every whole text, one row per document.
+def text_counts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Counts of every whole text, one row per document, with the columns ``carry``.
 
     A word is repeated if a window of three words that holds it occurs twice or
     more: windows are hashed, sorted with their places, equal neighbours are
@@ -73,15 +75,19 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return f"length(translate(t, {chars}, ''))"
 
     words = docs.select(
-        F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")
+        F.col(id_col).cast("long").alias(id_col),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"),
+        *carry,
     ).selectExpr(
         id_col,
+        *carry,
         "t",
         f"filter(split(t, '{_SEP}'), w -> w != '') as words",
         f"filter(split(t, '\\n'), l -> translate(l, {_BLANKS}, '') != '') as lines",
     )
     grams = words.selectExpr(
         id_col,
+        *carry,
         "cast(size(words) as long) as n_words",
         f"cast({without(_BLANKS)} as long) as word_chars",
         f"cast(length(t) - {without(_SYMBOLS)} as long) as n_symbols",
@@ -105,7 +111,10 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "aggregate(places, struct(-3 as last, 0L as n), "
         "(a, p) -> struct(p as last, a.n + least(p - a.last, 3) as n), a -> a.n)"
     )
-    return places.withColumn("n_repeat_words", total).drop("grams", "places")
+    counts = [c for c in places.columns if c.startswith("n_") and c not in carry] + ["word_chars"]
+    # as a generator's output the counts are made once: filters on them stay above it
+    row = F.array(F.struct(*counts, total.alias("n_repeat_words")))
+    return places.select(id_col, *carry, F.inline(row))
 
 
 def base_failed() -> Column:
@@ -213,7 +222,10 @@ def rule_number(rules: list[list[Condition]]) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts, ``base_failed``, ``rule`` and ``kept`` of every document."""
     counts = cut(text_counts(docs, id_col, text_col))
-    rules = learn_rules(counts, labels, id_col)
+    return verdicts(counts, learn_rules(counts, labels, id_col))
+
+
+def verdicts(counts: DataFrame, rules: list[list[Condition]]) -> DataFrame:
     stat = F.struct(*[F.expr(e).alias(s) for s, e in STATISTICS.items()])
     judged = counts.withColumn("stat", stat).withColumn("base_failed", base_failed()).withColumn("rule", rule_number(rules))
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()).drop("stat")

@@ -18,6 +18,7 @@ from tripmetrics.llm.fingerprint import edited_neighbours
 from tripmetrics.llm.langid import identify
 from tripmetrics.llm.mixing import mix_sources
 from tripmetrics.llm.quality import judge
+from tripmetrics.llm.quoting import thread
 from tripmetrics.llm.spiece import encode
 from tripmetrics.llm.substring import drop_repeats
 from tripmetrics.llm.toxicity import score_toxicity
@@ -66,6 +67,10 @@ def op9_warc_bundles(spark: SparkSession, data_dir: str) -> DataFrame:
     return read_archives(index).drop("url")
 
 
+def op10_chat_threads(spark: SparkSession, data_dir: str) -> DataFrame:
+    return thread(read_table(spark, data_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_language_id": op8_language_id,
     "op9_warc_bundles": op9_warc_bundles,
+    "op10_chat_threads": op10_chat_threads,
 }
 
 ORACLE_SQL: dict[str, str] = {

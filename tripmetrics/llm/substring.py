@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import Tokeniser, cut, mix, text_chunks
+from tripmetrics.llm.common import Tokeniser, cut, id_long, id_text, mix, text_chunks
 
 RUN = 3
 PAIR = 3
@@ -224,7 +224,7 @@ def _windows(window: int):
     return run
 
 
-def _removed(window: int, id_col: str, with_text: bool):
+def _removed(window: int, cols: list[str], with_text: bool):
     span = owner_span(window)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -240,21 +240,26 @@ def _removed(window: int, id_col: str, with_text: bool):
                     kept = [words[i] for i in np.flatnonzero(~gone)]
                 text = b" ".join(kept)
                 row = (len(words), len(words) - len(kept), hashlib.sha256(text).hexdigest())
-                rows.append((*row, text.decode("utf-8", "surrogatepass")) if with_text else row)
+                if with_text:  # a text that loses nothing stays as it is
+                    if packed is not None and len(kept) == len(words):
+                        text = unzip.decompress(packed)
+                    row = (*row, None if packed is None else text.decode("utf-8", "surrogatepass"))
+                rows.append(row)
             out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "kept_text"][: 3 + with_text])
-            out.insert(0, id_col, pdf[id_col].array)
+            for k, c in enumerate(cols):
+                out.insert(k, c, pdf[c].array)
             yield out
 
     return run
 
 
-def _packed(id_col: str):
+def _packed(cols: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         zip_ = zstandard.ZstdCompressor(level=3)
         for pdf in batches:
             yield pd.DataFrame(
                 {
-                    id_col: pdf[id_col],
+                    **{c: pdf[c] for c in cols},
                     "key": pdf["key"],
                     "sub": pdf["sub"],
                     "packed": [
@@ -297,21 +302,27 @@ def repeated_windows(docs: DataFrame, packed: DataFrame, window: int) -> DataFra
 
 
 def drop_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, with_text: bool = False
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = 35,
+    with_text: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(id_col, n_words, n_removed, kept_sha256[, kept_text])`` per row."""
+    """``(id_col, *carry, n_words, n_removed, kept_sha256[, kept_text])`` per row;
+    ``carry`` names text columns to keep."""
+    cols = [id_col, *carry]
     own = docs.select(
-        F.col(id_col).cast("long").alias(id_col),
+        id_text(id_col),
+        *carry,
         F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("key"),
         F.hash(text_col).alias("sub"),
         F.col(text_col).cast("string").alias("text"),
     )
-    packed = own.mapInPandas(_packed(id_col), f"{id_col} long, key long, sub int, packed binary")
+    kept = "".join(f"{c} string, " for c in cols)
+    packed = own.mapInPandas(_packed(cols), f"{kept}key long, sub int, packed binary")
     repeats = repeated_windows(own.select("key", "sub", "text"), packed.select("key", "sub", "packed"), window)
     marks = repeats.groupBy("key", "sub").agg(F.collect_list("at").alias("at"))
-    schema = f"{id_col} long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return (
-        packed.join(marks, ["key", "sub"], "left")
-        .select(id_col, "packed", "at")
-        .mapInPandas(_removed(window, id_col, with_text), schema)
-    )
+    schema = f"{kept}n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
+    rows = packed.join(marks, ["key", "sub"], "left").select(*cols, "packed", "at")
+    return id_long(rows.mapInPandas(_removed(window, cols, with_text), schema), id_col)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import mix
+from tripmetrics.llm.common import id_long, id_text, mix
 
 FIT_ROWS = 4_000
 BITS = 20
@@ -142,11 +142,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
             )
 
     own = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        held_out("doc_id", 5, 0).alias("held_out"),
-        F.col("text").cast("string").alias("text"),
+        id_text("doc_id"), held_out("doc_id", 5, 0).alias("held_out"), F.col("text").cast("string").alias("text")
     )
-    return own.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+    return id_long(own.mapInPandas(run, "doc_id string, held_out boolean, score double, predicted int"), "doc_id")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:

@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import cut, ensure_checkpoint_dir
+from tripmetrics.llm.common import cut, ensure_checkpoint_dir, id_long
 
 # fixed values of the seekable format
 _SKIPPABLE = 0x184D2A5E
@@ -176,7 +176,6 @@ def _writer(folder: str, date: str, frame_bytes: int, archive_bytes: int):
                     name = f"{uuid.uuid4().hex}.warc.zst"
                     out, uri = SeekableWriter(fs.open_output_stream(f"{base}/{name}", compression=None), frame_bytes), f"{folder}/{name}"
                 payload = (html or "").encode("utf-8", "surrogatepass")
-                page_id, refers = (None if pd.isna(x) else int(x) for x in (page_id, refers))
                 record = format_record(page_id, url, payload, kind, refers, date)
                 frame, offset = out.add(record)
                 rows.append((record_id(page_id), uri, frame, offset, len(record)))
@@ -214,12 +213,12 @@ def write_archives(
     )
     again = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     typed = own.join(first, "sha1", "left").select(
-        "page_id",
+        F.col("page_id").cast("string").alias("page_id"),
         "url",
         # a revisit needs the payload's length and digest, which its record gets from the text
         "html",
         F.when(again, "revisit").otherwise("response").alias("record_type"),
-        F.when(again, F.col("first_id")).alias("refers_to"),
+        F.when(again, F.col("first_id").cast("string")).alias("refers_to"),
     )
     return cut(typed.mapInPandas(_writer(folder, date, frame_bytes, archive_bytes), INDEX))
 
@@ -227,7 +226,7 @@ def write_archives(
 def _reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def page(text: str):
         found = text.removeprefix("<urn:x-page:").removesuffix(">")
-        return None if found == "none" else int(found)
+        return None if found == "none" else found
 
     for pdf in batches:
         rows = []
@@ -255,15 +254,16 @@ def _reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             None if refers is None else page(refers),
                         )
                     )
-        out = pd.DataFrame(rows, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-        yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+        yield pd.DataFrame(
+            rows, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+        )
 
 
 def read_archives(index: DataFrame) -> DataFrame:
     """Read every indexed record back, each checked against its digest:
     ``(page_id, url, payload_bytes, payload_digest, record_type, refers_to)``."""
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return index.mapInPandas(_reader, schema)
+    schema = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string"
+    return id_long(index.mapInPandas(_reader, schema), "page_id", "refers_to")
 
 
 def archive_folder(spark) -> str:
