@@ -41,6 +41,7 @@ BLOCK_WORDS = 128
 SHARD_BLOCKS = 65_536
 _SLICES = 1024
 _BROADCAST_ROWS = 10_000
+_TASK_SLOTS = 200_000
 _WORD = r"[^\\x20\\x09-\\x0D]+"
 
 
@@ -180,7 +181,9 @@ def mix_sources(
     drawn = spark.createDataFrame(plan, "shard int, src int, n_blocks long, first long, count long")
     # a shard's slots are listed in steps, so that no one task lists a large share
     step = 4096
-    steps = drawn.selectExpr("*", f"explode(sequence(0L, count - 1, {step}L)) as skip").repartition("shard", "src", "skip")
+    steps = drawn.selectExpr("*", f"explode(sequence(0L, count - 1, {step}L)) as skip").repartition(
+        max(1, sum(slots) // _TASK_SLOTS), "shard", "src", "skip"
+    )
     slot_rows = steps.selectExpr(
         "shard", "src", "n_blocks", f"explode(sequence(first + skip, first + least(skip + {step}, count) - 1)) as slot"
     ).selectExpr("shard", "src", "n_blocks", "slot", "slot div n_blocks as turn", "slot % n_blocks as place")
@@ -188,7 +191,8 @@ def mix_sources(
         "shard", "src", "slot", "turn", "block"
     )
     times = slot_table.groupBy("src", "block").agg(F.collect_list("turn").alias("turns"))
-    pieces = pieces.join(times, ["src", "block"], "left")
+    # the planner takes the listed slots for a small table; they are as many as the blocks
+    pieces = pieces.join(times.hint("merge"), ["src", "block"], "left")
     taken = pieces.groupBy("src", "start", "doc_id", "size", "source_size", "target").agg(
         F.sum(F.expr("(hi - lo) * coalesce(size(turns), 0)")).alias("taken")
     )
