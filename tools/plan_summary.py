@@ -45,9 +45,7 @@ def main() -> None:
     parts = ["# Executed plans of key queries",
              "",
              f"Generated by `tools/plan_summary.py` on `{data_dir}` (`local[8]`, AQE on). Only scans,",
-             "exchanges, joins, windows, aggregates and metric nodes are kept. The `spread` exchange",
-             "on `event_id` appears only because the input files have fewer splits than cores;",
-             "large inputs skip it.",
+             "exchanges, joins, windows, aggregates and metric nodes are kept.",
              ""]
     for name in KEY_QUERIES:
         df = QUERIES[name](spark, data_dir)

@@ -2,7 +2,8 @@
 
   live     --source DIR | --topics T --bootstrap HOST:PORT, --out DIR [--monitor ID ...]
   monitor  --source DIR | --topics T --bootstrap HOST:PORT, --out DIR --monitor ID [...]
-  widecol  --cells DIR
+  widecol  --cells DIR [--to DIR]
+  compact  --out DIR --before DAY
   serving  --out DIR --to DIR
 
 Streams run until stopped, or once over the available input with
@@ -39,20 +40,32 @@ def _parser() -> argparse.ArgumentParser:
                        help="job name: its stream checkpoints live under <spark.checkpoint.dir>/jobs/<job>")
     w = sub.add_parser("widecol")
     w.add_argument("--cells", required=True)
+    w.add_argument("--to", help="where to write the projection (default: print every row)")
+    c = sub.add_parser("compact")
+    c.add_argument("--out", required=True, help="output root of the live job")
+    c.add_argument("--before", required=True, help="first day (yyyy-MM-dd) that is still open")
     v = sub.add_parser("serving")
     v.add_argument("--out", required=True, help="output root of the live job")
     v.add_argument("--to", required=True, help="where to write the key/field/value table")
     p.add_argument("--master", default=None)
+    p.add_argument("--time-zone", default="UTC", help="zone in which days and hours begin")
     return p
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = build_session(args.master, app_name=f"tripmetrics-{args.command}")
+    spark = build_session(args.master, app_name=f"tripmetrics-{args.command}", time_zone=args.time_zone)
     if args.command == "widecol":
         count, projection = jobs.widecol_scan(spark, args.cells)
         print(count.first().n_rows)
-        projection.show(20, truncate=False)
+        if args.to:
+            projection.write.mode("overwrite").parquet(args.to)
+        else:  # every row, one at a time through the driver
+            for row in projection.toLocalIterator():
+                print("\t".join("" if v is None else str(v) for v in row))
+        return 0
+    if args.command == "compact":
+        jobs.compact(spark, args.out, args.before)
         return 0
     if args.command == "serving":
         jobs.serving_snapshot(spark, args.out).write.mode("overwrite").partitionBy("day").parquet(args.to)

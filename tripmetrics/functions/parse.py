@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmetrics.schema import (ACCE_THRESHOLD, DECE_THRESHOLD, JSON_ACCE, JSON_DECE, JSON_MILEAGE,
                                 JSON_OVERSPEED, JSON_SUBSCORES, JSON_TERMINAL, JSON_TIRED, JSON_TURN,
                                 TRIP_COLUMNS)
+from tripmetrics.functions.timecols import EARLIEST, LATEST
 from tripmetrics.sources.messages import split_payloads
 
 _CORRUPT = "_corrupt"
@@ -31,28 +32,6 @@ SCORE_SCHEMA = f"score STRING, {_CORRUPT} STRING"
 _JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
 
 
-def to_int(text: Column) -> Column:
-    """JSON number or numeric text -> INT, fraction truncated; NULL if not numeric."""
-    return text.try_cast("double").try_cast("int")
-
-
-def to_double(text: Column) -> Column:
-    return text.try_cast("double")
-
-
-def count_points(times: Column, points: Column, above: float | None = None,
-                 below: float | None = None) -> Column:
-    """points strictly above / below a threshold, only when ``times > 0``.
-
-    Every point of the array is examined (not just the first ``times``).
-    Column form of the rule ``parse_lines`` applies as SQL text.
-    """
-    def hit(p):
-        v = to_double(p["acceValue"])
-        return v > F.lit(above) if above is not None else v < F.lit(below)
-    return F.when(times > 0, F.size(F.filter(points, hit))).otherwise(F.lit(0)).cast("int")
-
-
 _O, _A, _D, _T, _OV, _TI = "_o", "_a", "_d", "_t", "_ov", "_ti"
 _observations = itertools.count()
 
@@ -123,6 +102,7 @@ def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
 
     # First failing field, in the order a reader of the message touches them.
     checks: list[tuple[str, str]] = [
+        (f"ts IS NULL OR ts < TIMESTAMP '{EARLIEST}' OR ts >= TIMESTAMP '{LATEST}'", "event_time"),
         (obj_bad(_O), "malformed_json"),
         ("mileage IS NULL", JSON_MILEAGE),
         ("terminal_id IS NULL", JSON_TERMINAL),
@@ -158,14 +138,29 @@ def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
                        F.count(F.col("reject_reason")).alias("rejects"))
 
 
-def parse_trips(messages: DataFrame, mode: str = "permissive") -> DataFrame:
+def in_time_range(messages: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Messages with ``since <= ts < until`` (timestamp text, session zone).
+
+    Applied to the envelope, below the parse, so it reaches the scan; a filter
+    put on the parsed rows stays above the parse."""
+    if since is not None:
+        messages = messages.where(F.col("ts") >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        messages = messages.where(F.col("ts") < F.lit(until).cast("timestamp"))
+    return messages
+
+
+def parse_trips(messages: DataFrame, mode: str = "permissive", since: str | None = None,
+                until: str | None = None) -> DataFrame:
     """Messages -> good trips ``(event_id, line_no, ts, <17 trip fields>)``.
 
+    ``since`` / ``until`` limit the message times before anything is parsed.
+
     ``mode="failfast"`` raises on the first malformed line (the original
     job's behaviour); ``"permissive"`` drops rejects, which
     ``rejected_trips`` returns.
     """
-    parsed = parse_lines(split_payloads(messages))
+    parsed = parse_lines(split_payloads(in_time_range(messages, since, until)))
     if mode.lower() == "failfast":
         parsed = parsed.withColumn(
             "reject_reason",
@@ -186,4 +181,4 @@ def rejected_trips(messages: DataFrame) -> DataFrame:
 
 def over_3g(trips: DataFrame) -> DataFrame:
     """per-trip high-g points = hard accelerations + hard brakings."""
-    return trips.withColumn("over_3g", (F.col("acce_over_3g") + F.col("dece_over_3g")).cast("int"))
+    return trips.withColumn("over_3g", F.expr("CAST(acce_over_3g AS BIGINT) + dece_over_3g"))

@@ -10,10 +10,10 @@ from tripmetrics.schema import (BUCKET_LABELS, SCORE_BUCKET_UPPER, SCORE_DIVISOR
 
 
 def weighted_score() -> Column:
-    """weighted mean of the ten sub-scores (DOUBLE)."""
+    """weighted mean of the ten sub-scores (DOUBLE), summed as BIGINT."""
     total = None
     for w, c in zip(SCORE_WEIGHTS, SUBSCORE_COLUMNS):
-        term = F.col(c) * F.lit(w)
+        term = F.col(c).cast("long") * F.lit(w)
         total = term if total is None else total + term
     return total / F.lit(SCORE_DIVISOR)
 
@@ -53,27 +53,13 @@ def bucket_bounds() -> list[tuple[int, int | None, int | None]]:
     return out
 
 
-def share_basis_points(n: Column, total: Column) -> Column:
-    """n/total in basis points, rounded half up, exact integer arithmetic.
-
-    NULL when ``total`` is 0.
-    """
-    n, total = n.cast("long"), total.cast("long")
-    return F.when(total > 0, F.call_function("div", F.lit(20000) * n + total, F.lit(2) * total).cast("int"))
-
-
-def share_text(bp: Column) -> Column:
-    """basis points as 4-decimal text, e.g. 313 -> ``"0.0313"``."""
-    return F.concat(F.call_function("div", bp, F.lit(10000)).cast("string"), F.lit("."),
-                    F.lpad((bp % 10000).cast("string"), 4, "0"))
-
-
 def share_basis_points_sql(n: str, total: str) -> str:
-    """SQL-text form of ``share_basis_points`` over column names / expressions."""
+    """n/total in basis points, rounded half up, exact integer arithmetic;
+    NULL when ``total`` is 0.  SQL text over column names / expressions."""
     return (f"CAST(CASE WHEN CAST({total} AS BIGINT) > 0 THEN (20000 * CAST({n} AS BIGINT) + "
             f"CAST({total} AS BIGINT)) DIV (2 * CAST({total} AS BIGINT)) END AS INT)")
 
 
 def share_text_sql(bp: str) -> str:
-    """SQL-text form of ``share_text``."""
+    """basis points as 4-decimal SQL text, e.g. 313 -> ``"0.0313"``."""
     return f"concat(CAST(({bp}) DIV 10000 AS STRING), '.', lpad(CAST(({bp}) % 10000 AS STRING), 4, '0'))"

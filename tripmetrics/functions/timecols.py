@@ -9,6 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: messages with a time outside [EARLIEST, LATEST) are rejects (reason ``event_time``)
+EARLIEST = "2000-01-01 00:00:00"
+LATEST = "2100-01-01 00:00:00"
+
+
+def time_in_range(ts: Column) -> Column:
+    """Is an event time inside the accepted range?  Bounds every calendar."""
+    return (ts >= F.lit(EARLIEST).cast("timestamp")) & (ts < F.lit(LATEST).cast("timestamp"))
+
+
 def hour_text(ts: Column) -> Column:
     """Hour of day as two-digit text ``"HH"``."""
     return F.date_format(ts, "HH")

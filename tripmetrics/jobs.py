@@ -5,6 +5,7 @@
 * ``monitor_job``    -- heartbeat liveness of monitored terminals.
 * ``widecol_scan``   -- count and projection of a wide-column cell table.
 * ``serving_snapshot`` -- the key/field/value view over the landed trips.
+* ``compact``        -- rewrite the closed days of the live job's logs.
 
 The live job reads and parses the source once: a landing query writes parsed
 trips, rejects and heartbeats, and the stateful queries stream from those.
@@ -30,42 +31,50 @@ def _ckpt(spark: SparkSession, job: str, name: str) -> str:
 
 
 def live_job(spark: SparkSession, messages: DataFrame, out_root: str, *,
-             monitored: list[str] | None = None, ttl_s: int = HEARTBEAT_TTL_MAIN_S,
+             monitored: list[str] | DataFrame | None = None, ttl_s: int = HEARTBEAT_TTL_MAIN_S,
              watermark: str = streams.DEFAULT_WATERMARK, cut_early_s: int = 0,
              trigger: dict | None = None, job: str = "live") -> dict[str, StreamingQuery]:
     """Start the live job on a streaming message source.
 
-    Tables under ``out_root``: ``trips``, ``rejects`` and ``beats``
-    (landed; the source is read and parsed once), ``daily``, ``hourly``,
-    ``first_seen``, ``score`` and, with ``monitored`` terminal ids,
-    ``heartbeat`` sessions.  With an ``availableNow`` trigger
-    the landing query finishes before the rollups start (catch-up run).
+    Tables under ``out_root``: ``landed`` (trips, rejects and beats; the
+    source is read and parsed once), ``hourly``, ``daily``, ``first_seen``,
+    ``score`` and, with ``monitored`` terminal ids (a list or a table),
+    ``last_beat`` and ``heartbeat`` sessions; ``serving`` holds the published
+    key/field/value rows ``(day, part, key, field, value)`` of every day with
+    trips, refreshed by the batch that changes a day.  With an
+    ``availableNow`` trigger the landing query finishes before the rollups
+    start (catch-up run).
     """
     path = {n: os.path.join(out_root, n) for n in
-            ["trips", "rejects", "beats", "daily", "hourly", "first_seen", "score", "heartbeat"]}
-    queries = {"land": streams.stream_land(messages, path["trips"], path["rejects"],
-                                           beats_path=path["beats"], monitored=monitored,
+            ["landed", "daily", "hourly", "first_seen", "score", "last_beat", "heartbeat", "serving"]}
+    make = streams.make_folder
+    make(spark, path["landed"])  # the readers below open it at once
+    queries = {"land": streams.stream_land(messages, path["landed"], monitored=monitored,
                                            checkpoint=_ckpt(spark, job, "land"), trigger=trigger)}
     if trigger and trigger.get("availableNow"):
         queries["land"].awaitTermination()
-    if monitored:
-        queries["heartbeat"] = streams.stream_heartbeat(
-            streams.landed_beats(spark, path["beats"]), path["heartbeat"], monitored, ttl_s=ttl_s,
-            watermark=watermark, checkpoint=_ckpt(spark, job, "heartbeat"), trigger=trigger)
+
+    def options(name: str) -> dict:
+        return {"watermark": watermark, "checkpoint": _ckpt(spark, job, name), "trigger": trigger}
+
+    if monitored is not None:
+        def beats() -> DataFrame:
+            return streams.landed_beats(spark, path["landed"])
+
+        queries["heartbeat"] = streams.stream_heartbeat(beats(), path["heartbeat"], monitored, ttl_s=ttl_s,
+                                                        **options("heartbeat"))
+        queries["last_beat"] = streams.stream_last_beat(beats(), path["last_beat"], publish=path["serving"],
+                                                        **options("last_beat"))
 
     def trips() -> DataFrame:
-        return streams.landed_trips(spark, path["trips"])
-
-    queries["daily"] = streams.stream_daily(trips(), path["daily"], watermark=watermark,
-                                            checkpoint=_ckpt(spark, job, "daily"), trigger=trigger)
-    queries["hourly"] = streams.stream_hourly(trips(), path["hourly"], watermark=watermark,
-                                              cut_early_s=cut_early_s,
-                                              checkpoint=_ckpt(spark, job, "hourly"), trigger=trigger)
-    queries["first_seen"] = streams.stream_first_seen(trips(), path["first_seen"], watermark=watermark,
-                                                      checkpoint=_ckpt(spark, job, "first_seen"),
-                                                      trigger=trigger)
-    queries["score"] = streams.stream_score(trips(), path["score"], watermark=watermark,
-                                            checkpoint=_ckpt(spark, job, "score"), trigger=trigger)
+        return streams.landed_trips(spark, path["landed"])
+
+    queries["daily"] = streams.stream_daily(trips(), path["daily"], **options("daily"))
+    queries["hourly"] = streams.stream_hourly(trips(), path["hourly"], cut_early_s=cut_early_s,
+                                              publish=path["serving"], **options("hourly"))
+    queries["first_seen"] = streams.stream_first_seen(trips(), path["first_seen"], cut_early_s=cut_early_s,
+                                                      publish=path["serving"], **options("first_seen"))
+    queries["score"] = streams.stream_score(trips(), path["score"], publish=path["serving"], **options("score"))
     return queries
 
 
@@ -84,21 +93,20 @@ def widecol_scan(spark: SparkSession, cells_path: str, file_format: str = "parqu
     return widecol_count(cells), widecol_project(cells)
 
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path).drop("batch_id")
-    except Exception as exc:  # noqa: BLE001 - a table the job never wrote
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return None
-        raise
+def compact(spark: SparkSession, out_root: str, before_day: str) -> None:
+    """Compact the closed days of the live job's logs: ``landed`` into
+    ``landed_compact`` and ``first_seen`` into ``first_seen_compact``."""
+    streams.compact_landed(spark, os.path.join(out_root, "landed"), os.path.join(out_root, "landed_compact"), before_day)
+    streams.compact_first_seen(spark, os.path.join(out_root, "first_seen"),
+                               os.path.join(out_root, "first_seen_compact"), before_day)
 
 
-def serving_snapshot(spark: SparkSession, out_root: str) -> DataFrame:
-    """Batch serving view over the tables ``live_job`` landed: trips,
-    rejects (their times extend the calendar, so a day with only malformed
-    messages still gets its zero rows) and, if monitored, heartbeats."""
-    trips = spark.read.parquet(os.path.join(out_root, "trips")).drop("batch_id")
-    rejects = _read_if_present(spark, os.path.join(out_root, "rejects"))
-    beats = _read_if_present(spark, os.path.join(out_root, "beats"))
-    times = trips.select("ts") if rejects is None else trips.select("ts").unionByName(rejects.select("ts"))
+def serving_snapshot(spark: SparkSession, out_root: str, days: list | None = None) -> DataFrame:
+    """Batch serving view over the table ``live_job`` landed: trips, rejects
+    (their times extend the calendar, so a day with only malformed messages
+    still gets its zero rows) and heartbeats.  ``days`` reads those days only."""
+    path = os.path.join(out_root, "landed")
+    trips = streams.landed_table(spark, path, "trip", days)
+    beats = streams.landed_table(spark, path, "beat", days)
+    times = streams.landed_table(spark, path, days=days).where("kind != 'beat'").select("ts")
     return serving_kv(trips, beats, days_between(times))

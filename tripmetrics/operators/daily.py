@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.functions.timecols import with_time_keys
+from tripmetrics.functions.timecols import time_in_range, with_time_keys
 
 COUNTER_COLUMNS = ["mileage", "acce_times", "dece_times", "turn_times", "three_harsh", "over_3g"]
 
@@ -29,8 +29,8 @@ def trip_facts(trips: DataFrame, cut_early_s: int = 0) -> DataFrame:
     keyed = with_time_keys(trips, cut_early_s=cut_early_s)
     keyed = keyed.where(F.col("day").isNotNull() & F.col("hour").isNotNull())
     return keyed.withColumns({
-        "three_harsh": (F.col("acce_times") + F.col("dece_times") + F.col("turn_times")).cast("int"),
-        "over_3g": (F.col("acce_over_3g") + F.col("dece_over_3g")).cast("int"),
+        "three_harsh": F.expr("CAST(acce_times AS BIGINT) + dece_times + turn_times"),
+        "over_3g": F.expr("CAST(acce_over_3g AS BIGINT) + dece_over_3g"),
     })
 
 
@@ -80,9 +80,12 @@ def days_between(df: DataFrame, ts_col: str = "ts") -> DataFrame:
 
     Pass the *message* frame: the bounds then come from the envelope times
     alone (a one-column scan, no JSON parse), and a day on which only
-    malformed messages arrived still gets its zero row.
+    malformed messages arrived still gets its zero row.  Times outside the
+    accepted range (such messages are rejects) do not stretch the calendar, so
+    it never has more days than that range.
     """
-    bounds = df.agg(F.to_date(F.min(ts_col)).alias("lo"), F.to_date(F.max(ts_col)).alias("hi"))
+    bounds = df.where(time_in_range(F.col(ts_col))).agg(
+        F.to_date(F.min(ts_col)).alias("lo"), F.to_date(F.max(ts_col)).alias("hi"))
     return bounds.where(F.col("lo").isNotNull()).select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
 

@@ -1,8 +1,9 @@
 """Device heartbeat and liveness.
 
 A heartbeat is any raw message whose text contains
-``"terminalId":"<id>"`` -- a substring test on the undecoded payload, as the
-monitor does it, so it also sees messages that fail to parse.
+``"terminalId":"<id>"`` -- looked for in the undecoded payload, as the
+monitor does it, so it also sees messages that fail to parse.  Times outside
+the accepted range are no beats, which bounds the hourly grid.
 
 Liveness never orders the raw beats of a device in one task.  Beats are
 first rolled up by time bucket (partial aggregation, skew-proof); windows
@@ -21,28 +22,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmetrics.functions.timecols import epoch_s
+from tripmetrics.functions.timecols import epoch_s, time_in_range
 from tripmetrics.schema import HEARTBEAT_TTL_MAIN_S
 
 
-def heartbeat_pattern(terminal_id: str) -> str:
-    """Raw-text marker of a heartbeat from ``terminal_id`` (compact JSON)."""
-    return f'"terminalId":"{terminal_id}"'
+def heartbeat_filter(messages: DataFrame, terminal_ids: list[str] | DataFrame) -> DataFrame:
+    """``(event_id, ts, terminal_id)``, one row per message and monitored
+    id whose marker its text holds (a payload may hold several devices).
 
-
-def heartbeat_filter(messages: DataFrame, terminal_ids: list[str]) -> DataFrame:
-    """``(event_id, ts, terminal_id)`` of messages containing a monitored
-    id's marker; ``terminal_id`` names the first id that matched."""
-    if not terminal_ids:
+    ``terminal_ids``: a list, or a table ``(terminal_id)`` of any size.  All
+    ids are read from the text at once, so the work per message does not grow
+    with the number of monitored devices.
+    """
+    if isinstance(terminal_ids, list) and not terminal_ids:
         raise ValueError("heartbeat_filter needs at least one terminal id")
-    tag = F.lit(None).cast("string")
-    for tid in reversed(terminal_ids):
-        tag = F.when(F.col("value").contains(heartbeat_pattern(tid)), F.lit(tid)).otherwise(tag)
-    any_hit = None
-    for tid in terminal_ids:
-        hit = F.col("value").contains(heartbeat_pattern(tid))
-        any_hit = hit if any_hit is None else any_hit | hit
-    return messages.where(any_hit).select("event_id", "ts", tag.alias("terminal_id"))
+    found = messages.where(time_in_range(F.col("ts")) & F.col("value").contains('"terminalId":"')).select(
+        "event_id", "ts",
+        F.explode(F.array_distinct(F.expr(r"""regexp_extract_all(value, '"terminalId":"([^"]*)"', 1)"""))).alias("terminal_id"))
+    if isinstance(terminal_ids, list):
+        return found.where(F.col("terminal_id").isin(terminal_ids))
+    return found.join(terminal_ids.select("terminal_id").distinct(), "terminal_id", "left_semi").select(
+        "event_id", "ts", "terminal_id")
 
 
 def heartbeat_last(beats: DataFrame) -> DataFrame:
@@ -77,17 +77,25 @@ def heartbeat_status(beats: DataFrame, ttl_s: int = HEARTBEAT_TTL_MAIN_S) -> Dat
     the hour's last second, ``last_beat_s`` the latest beat at or before it,
     and ``alive`` means ``as_of_s < last_beat_s + ttl``.
     """
-    sec = beats.select("terminal_id", epoch_s(F.col("ts")).alias("s"))
-    per_hour = sec.groupBy("terminal_id", F.floor(F.col("s") / 3600).alias("h")).agg(F.max("s").alias("hour_max"))
-    span = per_hour.groupBy("terminal_id").agg(
-        F.min("h").alias("h_start"), F.floor((F.max("hour_max") + ttl_s) / 3600).alias("h_end"))
-    grid = span.select("terminal_id", F.explode(F.sequence("h_start", "h_end")).alias("h"))
+    hour = F.date_trunc("hour", F.col("ts"))
+    per_hour = beats.groupBy("terminal_id", hour.alias("h")).agg(F.max(epoch_s(F.col("ts"))).alias("hour_max"))
+    expiry = F.date_trunc("hour", F.timestamp_seconds(F.max("hour_max") + ttl_s))
+    span = per_hour.groupBy("terminal_id").agg(F.min("h").alias("h_start"), expiry.alias("h_end"))
+    grid = span.select("terminal_id", F.explode(F.sequence("h_start", "h_end", F.expr("INTERVAL 1 HOUR"))).alias("h"))
     w = Window.partitionBy("terminal_id").orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = grid.join(per_hour, ["terminal_id", "h"], "left").select(
         "terminal_id", "h", F.max("hour_max").over(w).alias("last_beat_s"))
-    as_of = F.col("h") * 3600 + 3599
-    ts = F.timestamp_seconds(F.col("h") * 3600)
+    as_of = F.unix_timestamp("h") + 3599
     return filled.select(
-        "terminal_id", F.to_date(ts).alias("day"), F.hour(ts).alias("hour"),
+        "terminal_id", F.to_date("h").alias("day"), F.hour("h").alias("hour"),
         as_of.alias("as_of_s"), "last_beat_s",
         (as_of < F.col("last_beat_s") + ttl_s).alias("alive"))
+
+
+def liveness_now(last: DataFrame, as_of_s: int, ttl_s: int = HEARTBEAT_TTL_MAIN_S) -> DataFrame:
+    """L1/L3 at one moment: ``last(terminal_id, .., last_beat_s)`` (any number of
+    rows per terminal) -> ``(terminal_id, last_beat_s, as_of_s, alive)``."""
+    latest = last.groupBy("terminal_id").agg(F.max("last_beat_s").alias("last_beat_s"))
+    as_of = F.lit(as_of_s).cast("long")
+    return latest.select("terminal_id", "last_beat_s", as_of.alias("as_of_s"),
+                         (as_of < F.col("last_beat_s") + ttl_s).alias("alive"))

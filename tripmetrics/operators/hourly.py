@@ -47,33 +47,31 @@ def day_hour_grid(days: DataFrame) -> DataFrame:
     return days.select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
 
 
-def terminal_hour_rollup(trips: DataFrame, cut_early_s: int = 0, extra_aggs=()) -> DataFrame:
-    """Counters per ``(day, hour, terminal_id)`` (pre-aggregated shuffle)."""
-    return trip_facts(trips, cut_early_s).groupBy("day", "hour", "terminal_id").agg(
-        *counter_aggs(), *extra_aggs)
-
-
-def hourly_from_rollup(rollup: DataFrame, extra_cols=()) -> DataFrame:
-    """Hourly counters and first-seen drivers from a terminal-hour rollup.
-
-    A terminal's first hour of the day is the least hour among its rollup
-    rows; the window partitions by ``(day, terminal_id)`` and so holds at most
-    24 rows, whatever the terminal's trip count.  One linear plan: the trips
-    are parsed once.
+def hourly_with_drivers(trips: DataFrame, cut_early_s: int = 0, extra_aggs=(), extra_cols=()) -> DataFrame:
+    """Hourly counters and first-seen drivers in one pass: ``(day, hour,
+    n_trips, <counters>, drivers, *extra_cols)``.
+
+    Grouping sets ``(day, hour)`` and ``(day, terminal)`` share one
+    pre-aggregated shuffle and one parse.  A terminal's group keeps its least
+    hour, in which it counts as a driver; the closing aggregate reads one row
+    per hour and per terminal of a day.
     """
-    w = Window.partitionBy("day", "terminal_id")
-    flagged = rollup.withColumn("_first", (F.col("hour") == F.min("hour").over(w)).cast("long"))
     sums = ["n_trips", *COUNTER_COLUMNS, *extra_cols]
-    return flagged.groupBy("day", "hour").agg(*[F.sum(c).alias(c) for c in sums],
-                                              F.sum("_first").alias("drivers"))
+    facts = trip_facts(trips, cut_early_s).withColumn("_hour", F.col("hour"))
+    both = facts.groupingSets([["day", "hour"], ["day", "terminal_id"]], "day", "hour", "terminal_id").agg(
+        *counter_aggs(), *extra_aggs, F.min("_hour").alias("_first"), F.grouping("hour").alias("_terminal"))
+    is_hour = F.col("_terminal") == 0
+    return (both.withColumn("hour", F.when(is_hour, F.col("hour")).otherwise(F.col("_first")))
+            .groupBy("day", "hour").agg(
+                *[F.sum(F.when(is_hour, F.col(c)).otherwise(F.lit(0).cast("long"))).alias(c) for c in sums],
+                F.sum(F.col("_terminal").cast("long")).alias("drivers")))
 
 
 def hourly_spine(trips: DataFrame, cut_early_s: int = 0, days: DataFrame | None = None) -> DataFrame:
     """H7: the six hourly series (and three-harsh) on a dense 24-hour grid
     for every day in range; empty hours are 0 (not stale values).
     ``days``: the calendar, see ``daily.daily_spine``."""
-    hourly = hourly_from_rollup(terminal_hour_rollup(trips, cut_early_s))
-    return spine_from_hourly(hourly, days)
+    return spine_from_hourly(hourly_with_drivers(trips, cut_early_s), days)
 
 
 def spine_from_hourly(hourly: DataFrame, days: DataFrame | None = None, extra_cols=()) -> DataFrame:
@@ -108,9 +106,10 @@ def hourly_long(hourly: DataFrame, value_name: str = "delta") -> DataFrame:
 
 def hourly_changed(trips: DataFrame, cut_early_s: int = 0, days: DataFrame | None = None) -> DataFrame:
     """H5/P5: only the (day, hour, metric) deltas that are non-zero -- the
-    writes the "emit only if changed" variant performs."""
-    delta = hourly_delta(hourly_cumulative(trips, cut_early_s, days)).select("day", "hour", *HOURLY_COLUMNS)
-    return hourly_long(delta).where(F.col("delta") != 0)
+    writes the "emit only if changed" variant performs.  The spine already
+    holds the deltas of the cumulative curve."""
+    return hourly_long(hourly_spine(trips, cut_early_s, days).select("day", "hour", *HOURLY_COLUMNS)).where(
+        F.col("delta") != 0)
 
 
 def hourly_skip23(trips: DataFrame, cut_early_s: int = 0, days: DataFrame | None = None) -> DataFrame:

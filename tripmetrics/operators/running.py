@@ -2,13 +2,15 @@
 
 A running sum over a whole day cannot be a window partitioned by ``day``:
 that puts a day -- or a hot terminal -- into one task.  Instead the rows are
-range-partitioned on the full order key (Spark samples the key, so slices are
-balanced whatever the skew), each slice computes its local running sums, and
-a small table of per-slice totals supplies the offset of every slice:
+cut into time slices.  The slice is computed from the row's own time, so it is
+data: no result depends on how an exchange is planned or reused.  Each
+slice computes its local running sums, and a small table of per-slice totals
+supplies the offset of every slice:
 
     running(row) = sum of earlier slices of the same day + local running(row)
 
-The slice-totals table has at most (slices + days) rows.
+The slice-totals table has at most (days x slices of a day) rows, and a task
+holds the rows of whole slices: choose ``slice_s`` so that one fits a task.
 """
 
 from __future__ import annotations
@@ -19,45 +21,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmetrics.operators.daily import COUNTER_COLUMNS, trip_facts
-from tripmetrics.session import checkpoint_root
 
 _SLICE = "_slice"
+DEFAULT_SLICE_S = 60
 _observations = itertools.count()
 
 
-def prefix_sums(df: DataFrame, partition_cols: list[str], order_cols: list[str], value_cols: list[str],
-                slices: int | None = None) -> DataFrame:
-    """Running sums of ``value_cols`` within ``partition_cols`` in
-    ``order_cols`` order (inclusive of the current row), skew-proof.
+def prefix_sums(df: DataFrame, partition_cols: list[str], time_col: str, order_cols: list[str],
+                value_cols: list[str], slice_s: int = DEFAULT_SLICE_S) -> DataFrame:
+    """Running sums of ``value_cols`` within ``partition_cols`` in the order of
+    ``time_col`` and ``order_cols`` (inclusive of the current row).
 
-    ``order_cols`` must make rows unique within a partition.
+    ``time_col`` and ``order_cols`` must make rows unique within a partition.
+    Rows are shuffled once, by partition and slice; the totals and the local
+    sums both read that shuffle.
     """
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *partition_cols, *order_cols).withColumn(_SLICE, F.spark_partition_id())
-    # Both branches below read ``ranged``; the observed row count stops
-    # column pruning from giving each branch its own range shuffle (and its
-    # own sampling pass), so the shuffle is computed once and reused.
-    ranged = ranged.observe(f"slices_{next(_observations)}", F.count(F.lit(1)).alias("rows"))
-
-    local_w = (Window.partitionBy(*partition_cols, _SLICE).orderBy(*order_cols)
+    slice_no = F.floor(F.unix_timestamp(time_col) / slice_s)
+    # the observed row count keeps column pruning from giving each branch
+    # a shuffle of its own
+    dealt = (df.withColumn(_SLICE, slice_no).repartition(*partition_cols, _SLICE)
+             .observe(f"slices_{next(_observations)}", F.count(F.lit(1)).alias("rows")))
+    local_w = (Window.partitionBy(*partition_cols, _SLICE).orderBy(time_col, *order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.select("*", *[F.sum(F.col(v).cast("long")).over(local_w).alias(f"_run_{v}") for v in value_cols])
-
-    totals = ranged.groupBy(*partition_cols, _SLICE).agg(
+    local = dealt.select("*", *[F.sum(F.col(v).cast("long")).over(local_w).alias(f"_run_{v}") for v in value_cols])
+    totals = dealt.groupBy(*partition_cols, _SLICE).agg(
         *[F.sum(F.col(v).cast("long")).alias(f"_tot_{v}") for v in value_cols])
     before_w = (Window.partitionBy(*partition_cols).orderBy(_SLICE)
                 .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*partition_cols, _SLICE, *[
         F.coalesce(F.sum(f"_tot_{v}").over(before_w), F.lit(0).cast("long")).alias(f"_off_{v}")
         for v in value_cols])
-
     out = local.join(offsets, [*partition_cols, _SLICE], "left")
     keep = [c for c in df.columns if c not in value_cols]
     return out.select(*keep, *[(F.col(f"_run_{v}") + F.col(f"_off_{v}")).alias(v) for v in value_cols])
 
 
-def running_totals(trips: DataFrame, slices: int | None = None, materialize: bool = True) -> DataFrame:
+def running_totals(trips: DataFrame, slice_s: int = DEFAULT_SLICE_S) -> DataFrame:
     """A10: every counter of the day as it stood right after each trip.
 
     Output ``(event_id, line_no, ts, day, n_trips, mileage, drivers,
@@ -66,15 +65,8 @@ def running_totals(trips: DataFrame, slices: int | None = None, materialize: boo
     a terminal at its first trip of the day: a marker row per
     ``(day, terminal)`` (from a pre-aggregated min) sorts just before that
     trip, so no join against the trips is needed.
-
-    The facts feed three reads (trip rows, markers, the range sampler), so
-    with ``materialize`` their narrow columns are checkpointed once to the
-    shared checkpoint folder instead of re-parsing the messages per read.
     """
     facts = trip_facts(trips).select("day", "ts", "event_id", "line_no", "terminal_id", *COUNTER_COLUMNS)
-    if materialize:
-        checkpoint_root(facts.sparkSession)
-        facts = facts.checkpoint(eager=True)
     values = ["n_trips", *COUNTER_COLUMNS, "drivers"]
     base = facts.select(
         "day", "ts", "event_id", "line_no", F.lit(1).alias("_kind"),
@@ -88,6 +80,6 @@ def running_totals(trips: DataFrame, slices: int | None = None, materialize: boo
         F.col("f.line_no").alias("line_no"), F.lit(0).alias("_kind"),
         *[F.lit(0).cast("long").alias(c) for c in ["n_trips", *COUNTER_COLUMNS]],
         F.lit(1).cast("long").alias("drivers"))
-    summed = prefix_sums(base.unionByName(markers), ["day"], ["ts", "event_id", "line_no", "_kind"],
-                         values, slices)
+    summed = prefix_sums(base.unionByName(markers), ["day"], "ts", ["event_id", "line_no", "_kind"],
+                         values, slice_s)
     return summed.where(F.col("_kind") == 1).select("event_id", "line_no", "ts", "day", *values)

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmetrics.functions.scoring import (bucket_bounds, bucket_label, score_bucket, share_basis_points,
-                                           share_text, subscore_bucket, trip_score, weighted_score)
+from tripmetrics.functions.scoring import (bucket_bounds, bucket_label, score_bucket, share_basis_points_sql,
+                                           share_text_sql, subscore_bucket, trip_score, weighted_score)
 from tripmetrics.functions.timecols import with_time_keys
 from tripmetrics.operators.daily import day_range
 from tripmetrics.schema import BUCKET_LABELS, SUBSCORE_COLUMNS
@@ -91,9 +91,9 @@ def score_share(distribution: DataFrame, count_col: str = "n_trips") -> DataFram
     w = Window.partitionBy("day")
     total = F.sum(count_col).over(w)
     with_total = distribution.withColumn("day_total", total)
-    bp = share_basis_points(F.col(count_col), F.col("day_total"))
+    bp = share_basis_points_sql(f"`{count_col}`", "day_total")
     return with_total.select(
         "day", "bucket", "label", count_col,
         F.when(F.col("day_total") > 0, F.col(count_col) / F.col("day_total")).alias("share"),
-        bp.alias("share_bp"),
-        share_text(bp).alias("share_text"))
+        F.expr(bp).alias("share_bp"),
+        F.expr(share_text_sql(bp)).alias("share_text"))

@@ -17,13 +17,14 @@ from tripmetrics.functions.parse import parse_lines, parse_trips, rejected_trips
 from tripmetrics.functions.timecols import epoch_s, time_buckets
 from tripmetrics.operators import daily, heartbeat, hourly, running, scores, serving
 from tripmetrics.schema import HOUR_CUT_EARLY_S, HOURLY_COLUMNS, TRIP_COLUMNS
-from tripmetrics.sources.fixtures import trip_messages, trip_payloads, widecol_cells
+from tripmetrics.sources.fixtures import trip_messages, trip_payloads, versioned_cells, widecol_cells
 from tripmetrics.sources.messages import split_payloads
 from tripmetrics.sources.tables import read_events
 from tripmetrics.sources.widecol import widecol_count, widecol_project
 
 # Terminal whose messages act as heartbeats in the fixture data.
 HEARTBEAT_TERMINAL = "7"
+MONITORED_TERMINALS = ["7", "8", "11"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,6 +180,17 @@ def q_widecol_project(spark, d):
     return widecol_project(_cells(spark, d))
 
 
+def q_widecol_versions(spark, d):
+    cells = versioned_cells(read_events(spark, d, ["ts"]))
+    return widecol_project(cells, qualifiers=["totalNum", "weakNum"])
+
+
+def q_heartbeat_multi(spark, d):
+    payloads = trip_payloads(_events(spark, d), by_terminal=False)
+    beats = heartbeat.heartbeat_filter(payloads, MONITORED_TERMINALS)
+    return beats.select("event_id", "terminal_id", epoch_s(F.col("ts")).alias("epoch_s"))
+
+
 def q_serving_kv(spark, d):
     messages = _messages(spark, d)
     beats = heartbeat.heartbeat_filter(messages, [HEARTBEAT_TERMINAL])
@@ -218,6 +230,8 @@ QUERIES: dict[str, Query] = {
     "heartbeat_status": q_heartbeat_status,
     "widecol_count": q_widecol_count,
     "widecol_project": q_widecol_project,
+    "widecol_versions": q_widecol_versions,
+    "heartbeat_multi": q_heartbeat_multi,
     "serving_kv": q_serving_kv,
     "trip_rejects": q_trip_rejects,
 }

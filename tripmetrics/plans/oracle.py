@@ -269,6 +269,21 @@ FROM st""",
        CAST(count(DISTINCT user_id) AS VARCHAR) AS onlineNum
 FROM events GROUP BY 1""",
 
+    "widecol_versions": """SELECT strftime(time_bucket(INTERVAL 10 MINUTE, ts), '%Y%m%d%H%M') AS row_key,
+       CASE WHEN count(*) % 2 = 1 THEN CAST(count(*) AS VARCHAR) END AS totalNum,
+       CAST(NULL AS VARCHAR) AS weakNum
+FROM events GROUP BY 1""",
+
+    "heartbeat_multi": """WITH p AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS day, event_id // 1024 AS block, min(event_id) AS event_id,
+         CAST(epoch_us(max(ts)) // 1000000 AS BIGINT) AS epoch_s
+  FROM events GROUP BY 1, 2
+), m AS (
+  SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day, event_id // 1024 AS block, CAST(user_id AS VARCHAR) AS terminal_id
+  FROM events WHERE user_id IN (7, 8, 11)
+)
+SELECT event_id, terminal_id, epoch_s FROM p JOIN m USING (day, block)""",
+
     # The dirty fixture damages every row whose id is a multiple of 97 (kind
     # by id % 3); Spark parses all rows and must reject exactly those.
     "trip_rejects": """SELECT CASE event_id % 3 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'mileage'
@@ -302,8 +317,8 @@ def _serving_sql() -> str:
   coalesce(CAST(share_bp // 10000 AS VARCHAR) || '.' || lpad(CAST(share_bp % 10000 AS VARCHAR), 4, '0'), '0.0')
 FROM (SELECT *, CASE WHEN day_total > 0 THEN (20000 * n_trips + day_total) // (2 * day_total) END AS share_bp
       FROM (SELECT *, sum(n_trips) OVER (PARTITION BY day) AS day_total FROM dist))""")
-    parts.append("SELECT strftime(ts, '%Y-%m-%d'), 'BIG_SCREEN_MONITOR', '', CAST(max(s) AS VARCHAR) "
-                 "FROM beats GROUP BY 1")
+    parts.append("SELECT strftime(ts, '%Y-%m-%d'), 'BIG_SCREEN_MONITOR', terminal_id, CAST(max(s) AS VARCHAR) "
+                 "FROM beats GROUP BY 1, terminal_id")
     return f"WITH {_TRIPS}, {_SPINE}, {_SCORED}, {_BEATS}\n" + "\nUNION ALL\n".join(parts)
 
 

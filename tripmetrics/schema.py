@@ -140,4 +140,5 @@ CELL_SCHEMA = T.StructType([
     T.StructField("family", T.StringType(), False),
     T.StructField("qualifier", T.StringType(), False),
     T.StructField("value", T.BinaryType(), True),
+    T.StructField("version", T.LongType(), True),
 ])

@@ -7,10 +7,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on: UTC day/hour boundaries, adaptive execution
-# (partition coalescing and skew-join splitting) and no web UI.
+# Settings every job relies on: adaptive execution (partition coalescing and
+# skew-join splitting) and no web UI.
 _DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -26,9 +25,12 @@ _DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tripmetrics", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "tripmetrics", extra: dict | None = None,
+                  time_zone: str = "UTC") -> SparkSession:
     """Get or create a session with the defaults above.
 
+    ``time_zone`` sets where days and hours begin, in batch and in streams.
+
     On a cluster call it without ``master``; the submitter's settings win for
     anything it already set (``getOrCreate`` keeps an existing session).
     """
@@ -42,7 +44,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.session.timeZone", time_zone)
     return spark
 
 
@@ -50,8 +52,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Stable shared folder for stream checkpoints and lineage cuts.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, durable
-    folder there).  Only when it is unset -- local runs and tests -- a fresh
-    scratch folder is created and registered.  The returned folder is the
+    folder there).  Only on a local master (tests) and when it is unset, a fresh
+    scratch folder is created and registered; elsewhere an unset folder is an
+    error, as executors and restarts would not see a local one.  The returned folder is the
     configured one itself, not the per-application subfolder Spark creates
     for ``DataFrame.checkpoint`` files, so a restarted stream finds its
     checkpoint again.
@@ -63,6 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return conf_dir or ""
     conf_dir = conf_dir or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tripmetrics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if not sc.getCheckpointDir():

@@ -100,9 +100,10 @@ def trip_messages(events: DataFrame, dirty: bool = False) -> DataFrame:
         "event_id", "ts", F.concat(F.col("_json"), F.lit("\r\n")).alias("value"))
 
 
-def trip_payloads(events: DataFrame) -> DataFrame:
+def trip_payloads(events: DataFrame, by_terminal: bool = True) -> DataFrame:
     """Multi-line payloads: per terminal, day and block of event ids, the trip
-    lines joined by CRLF in id order plus a trailing CRLF.
+    lines joined by CRLF in id order plus a trailing CRLF.  With ``by_terminal``
+    false, per day and block only: a payload then holds several terminals.
 
     Envelope id = first event id of the payload, envelope time = its last
     trip's time.  Groups are bounded by ``PAYLOAD_ID_BLOCK`` lines.
@@ -111,7 +112,7 @@ def trip_payloads(events: DataFrame) -> DataFrame:
         "event_id", "ts", "user_id", "_line",
         F.to_date("ts").alias("_day"),
         F.call_function("div", F.col("event_id"), F.lit(PAYLOAD_ID_BLOCK)).alias("_block"))
-    grouped = lines.groupBy("user_id", "_day", "_block").agg(
+    grouped = lines.groupBy(*(["user_id"] if by_terminal else []), "_day", "_block").agg(
         F.min("event_id").alias("event_id"),
         F.max("ts").alias("ts"),
         F.array_sort(F.collect_list(F.struct("event_id", "_line"))).alias("_lines"))
@@ -144,3 +145,22 @@ def widecol_cells(events: DataFrame) -> DataFrame:
         F.lit(WIDECOL_FAMILY).alias("family"),
         F.col("c.q").alias("qualifier"),
         F.encode(F.col("c.v").cast("string"), "UTF-8").alias("value"))
+
+
+def versioned_cells(events: DataFrame) -> DataFrame:
+    """Wide-column cells with versions, per 10-minute bucket of ``events``.
+
+    Two versions of ``totalNum``: the newest holds the number of events, the
+    older one a text that sorts after any digit, so a byte maximum would be
+    wrong.  Buckets with an even number of events have no cell but ``note``.
+    """
+    bucket = F.window("ts", "10 minutes").start
+    agg = events.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    older = F.struct(F.lit("totalNum").alias("q"), F.lit("zzz").alias("v"), F.lit(1).cast("long").alias("version"))
+    newer = F.struct(F.lit("totalNum").alias("q"), F.col("n").cast("string").alias("v"), F.lit(2).cast("long").alias("version"))
+    note = F.struct(F.lit("note").alias("q"), F.lit("x").alias("v"), F.lit(1).cast("long").alias("version"))
+    cells = F.when(F.col("n") % 2 == 0, F.array(note)).otherwise(F.array(note, older, newer))
+    return agg.select(
+        F.encode(F.date_format("bucket", "yyyyMMddHHmm"), "UTF-8").alias("row_key"), F.explode(cells).alias("c")
+    ).select("row_key", F.lit(WIDECOL_FAMILY).alias("family"), F.col("c.q").alias("qualifier"),
+             F.encode(F.col("c.v"), "UTF-8").alias("value"), F.col("c.version").alias("version"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmetrics.schema import MESSAGE_SCHEMA
 
 LINE_SEPARATOR = "\r\n"
+MAX_OFFSETS_PER_TRIGGER = 5_000_000
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -19,15 +20,30 @@ def kafka_available(spark: SparkSession) -> bool:
         return False
 
 
+def record_id(topics: list[str]) -> Column:
+    """A BIGINT that no two records of ``topics`` share: offsets repeat across
+    topics and partitions, so both are part of the id.  Up to 64 topics of
+    4,096 partitions and offsets below 2**45; beyond that it raises."""
+    if len(topics) > 64:
+        raise ValueError("at most 64 topics per stream")
+    names = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in sorted(topics))
+    return F.expr(
+        "CASE WHEN partition < 4096 AND offset < 35184372088832 "
+        f"THEN (offset * 64 + array_position(array({names}), topic) - 1) * 4096 + partition "
+        "ELSE raise_error('record outside the id range') END").cast("long")
+
+
 def message_stream(spark: SparkSession, *, topics: list[str] | None = None,
                    bootstrap_servers: str | None = None, path: str | None = None,
                    file_format: str = "parquet", max_files_per_trigger: int | None = None,
-                   starting_offsets: str = "latest") -> DataFrame:
+                   starting_offsets: str = "latest",
+                   max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
     """Streaming DataFrame ``(event_id, ts, value)`` of trip messages.
 
-    With ``topics`` and ``bootstrap_servers`` it reads Kafka (record offset
-    stands in for ``event_id``, record time for ``ts``, starting at the latest
-    offset like the original job).  With ``path`` it reads a folder of
+    With ``topics`` and ``bootstrap_servers`` it reads Kafka (``event_id`` is
+    made of record offset, topic and partition, see ``record_id``; ``ts`` is
+    the record time; starting at the latest offset like the original job).
+    ``max_offsets_per_trigger`` bounds a catch-up batch.  With ``path`` it reads a folder of
     message files with the fixed envelope schema -- the same downstream plan.
     """
     if topics:
@@ -37,9 +53,10 @@ def message_stream(spark: SparkSession, *, topics: list[str] | None = None,
                .option("kafka.bootstrap.servers", bootstrap_servers)
                .option("subscribe", ",".join(topics))
                .option("startingOffsets", starting_offsets)
+               .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
                .load())
         return raw.select(
-            F.col("offset").alias("event_id"),
+            record_id(topics).alias("event_id"),
             F.col("timestamp").alias("ts"),
             F.col("value").cast("string").alias("value"))
     if not path:
@@ -70,4 +87,5 @@ def split_payloads(messages: DataFrame) -> DataFrame:
 
 def print_messages(messages: DataFrame, truncate: bool = False):
     """S3: echo every raw message of a stream to the console (debug sink)."""
-    return messages.writeStream.format("console").option("truncate", str(truncate).lower())
+    return (messages.writeStream.format("console").option("numRows", str(2 ** 31 - 2))
+            .option("truncate", str(truncate).lower()))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,32 +14,6 @@ def read_table(spark: SparkSession, data_dir: str, name: str, columns: list[str]
     return df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute a scan over all cores when it has fewer input splits
-    than the cluster has task slots.
-
-    A small file stored as one parquet row group is read by one task, and the
-    per-row JSON work that follows is narrow, so it would all run on one core.
-    Large inputs already have many splits and pass through untouched (no
-    shuffle).  Hashing a unique key keeps the distribution deterministic
-    under task retries.  The row count observed after the shuffle also keeps
-    later filters above it: pushed into the scan, a filter on text built
-    from the row (a substring test on the message JSON) would build that
-    text for every row in the one scan task.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    if splits < slots:
-        return df.repartition(slots, key).observe(f"spread_{next(_spreads)}", F.count(F.lit(1)).alias("rows"))
-    return df
-
-
-_spreads = itertools.count()
-
-
 def read_events(spark: SparkSession, data_dir: str, columns: list[str] | None = None) -> DataFrame:
     """The ``events`` table with ``ts`` as a zoned TIMESTAMP (session zone).
 
@@ -52,6 +24,4 @@ def read_events(spark: SparkSession, data_dir: str, columns: list[str] | None =
     df = read_table(spark, data_dir, "events", cols)
     if "ts" in cols:
         df = df.withColumn("ts", F.col("ts").cast("timestamp"))
-    if "event_id" in cols:
-        df = spread(df, "event_id")
     return df

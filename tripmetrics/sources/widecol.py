@@ -1,7 +1,7 @@
 """Wide-column cell tables.
 
-A wide-column table is read as cells ``(row_key, family, qualifier, value)``
--- the layout any wide-column export or connector produces.  Projections
+A wide-column table is read as cells ``(row_key, family, qualifier, value,
+version)`` -- the layout any wide-column export or connector produces.  Projections
 pivot a fixed qualifier list into columns in a single hash aggregate keyed by
 ``row_key`` (the pivot values are given, so no extra job discovers them).
 """
@@ -40,13 +40,20 @@ def widecol_project(cells: DataFrame, family: str = WIDECOL_FAMILY,
                     qualifiers: list[str] | None = None,
                     decoders: dict[str, callable] | None = None) -> DataFrame:
     """``row_key`` as text plus one column per qualifier of
-    ``family``; a missing cell is NULL.  ``decoders`` maps a qualifier to a
-    bytes decoder (default UTF-8 text)."""
+    ``family``: the newest version of the cell (of equal versions the greater
+    bytes), NULL if the row has no such cell.  Every row of the table is
+    kept, also one that has none of the cells.  ``decoders`` maps a qualifier
+    to a bytes decoder (default UTF-8 text)."""
     quals = qualifiers or WIDECOL_QUALIFIERS
     decoders = decoders or {}
-    fam = cells.where((F.col("family") == family) & F.col("qualifier").isin(quals))
-    aggs = [F.max(F.when(F.col("qualifier") == q, F.col("value"))).alias(q) for q in quals]
-    pivoted = fam.groupBy("row_key").agg(*aggs)
+    version = F.col("version") if "version" in cells.columns else F.lit(0).cast("long")
+
+    def newest(q: str) -> Column:
+        own = (F.col("family") == family) & (F.col("qualifier") == q)
+        rank = F.struct(F.coalesce(version, F.lit(-(2 ** 63))).alias("version"), F.col("value"))
+        return F.max(F.when(own, rank)).getField("value").alias(q)
+
+    pivoted = cells.groupBy("row_key").agg(*[newest(q) for q in quals])
     return pivoted.select(
         utf8_text(F.col("row_key")).alias("row_key"),
         *[decoders.get(q, utf8_text)(F.col(q)).alias(q) for q in quals])

@@ -22,10 +22,35 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], fi
      .partitionBy(*partition_cols).save(path))
 
 
+class Publisher:
+    """Keeps the key/field/value rows of one group of metrics up to date.
+
+    After a batch has been written, ``read(days)`` loads the written table for
+    the touched days (a partition filter) and ``to_kv`` turns it into triples,
+    which replace the partitions ``(day, part)`` of the serving table.  Each
+    part is written by one stream only, so keys stay unique.
+    """
+
+    def __init__(self, path: str, part: str, read: Callable[[list], DataFrame],
+                 to_kv: Callable[[DataFrame], DataFrame]) -> None:
+        self.path, self.part, self.read, self.to_kv = path, part, read, to_kv
+
+    def __call__(self, days: list) -> None:
+        if days:
+            overwrite_partitions(self.to_kv(self.read(days)).withColumn("part", F.lit(self.part)),
+                                 self.path, ["day", "part"])
+
+
+def _touched(batch: DataFrame) -> list:
+    """Days of a batch; bounded by the accepted time range."""
+    return [r["day"] for r in batch.select("day").distinct().collect()]
+
+
 def partition_writer(path: str, partition_cols: list[str],
                      prepare: Callable[[DataFrame], DataFrame] | None = None,
-                     skip_empty: bool = False) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` callback: optional ``prepare``, then partition overwrite.
+                     skip_empty: bool = False, publish: Publisher | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` callback: optional ``prepare``, then partition overwrite,
+    then the serving rows of the touched days.
 
     ``skip_empty`` (P4) checks for rows first and writes nothing for an empty
     batch.  Not needed for correctness -- an empty batch overwrites no
@@ -35,11 +60,20 @@ def partition_writer(path: str, partition_cols: list[str],
         if skip_empty and batch.isEmpty():
             return
         out = prepare(batch) if prepare else batch
-        overwrite_partitions(out, path, partition_cols)
+        if publish is None:
+            overwrite_partitions(out, path, partition_cols)
+            return
+        out = out.persist()
+        try:
+            overwrite_partitions(out, path, partition_cols)
+            publish(_touched(out))
+        finally:
+            out.unpersist()
     return write
 
 
-def batch_log_writer(path: str, partition_cols: list[str]) -> Callable[[DataFrame, int], None]:
+def batch_log_writer(path: str, partition_cols: list[str],
+                     publish: Publisher | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback appending each micro-batch as its own
     ``batch_id`` partition (under ``partition_cols``).
 
@@ -50,6 +84,12 @@ def batch_log_writer(path: str, partition_cols: list[str]) -> Callable[[DataFram
     batch rewrite of old partitions.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        overwrite_partitions(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), path,
-                             [*partition_cols, "batch_id"])
+        batch = batch.persist()
+        try:
+            overwrite_partitions(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), path,
+                                 [*partition_cols, "batch_id"])
+            if publish is not None:
+                publish(_touched(batch))
+        finally:
+            batch.unpersist()
     return write
