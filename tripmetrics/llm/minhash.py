@@ -11,14 +11,14 @@ Bands of ``ROWS`` coordinates make buckets; at a resemblance of 0.8 a pair misse
 all of the 32 buckets with probability (1 - 0.8**4)**32 = 5e-8.  Every pair that
 is linked is confirmed on the full sets.
 
-Copies of one set are folded first.  A bucket's pairs are then never all
-listed: each turn some members of a bucket are hubs, compared with every
-member that is not yet in the hub's class, and leave the bucket.  A bucket ends
-when its members are all of one class.  The hubs of a bucket grow fourfold by
-turn, smallest classes first, so a group of mutual near copies ends after a few
-stars, while no pair of different classes is ever left out.  Members and pairs
-that cannot reach the threshold by the items they share with any other member
-are left out before (an exact bound).
+Copies of one set are folded first.  A bucket's pairs are never all listed:
+its smallest id is a hub that is compared with every member, which joins most of
+a group of near copies.  Buckets whose other members are then of one class are
+done.  For the members of the rest the pairs across classes are found exactly,
+by an index of the rarest items of each set: two sets of n items that resemble
+each other by 0.8 differ in n / 9 items at most, so they share one of their
+n / 9 + 1 rarest ones.  Members that share a bucket with thousands but resemble
+none have rare items of their own and meet few.
 
 Null or blank texts have an empty set and are linked with nothing; a row
 without doc_id is linked with nothing and has a null component and kept = true.
@@ -33,14 +33,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmetrics.llm.common import Tokeniser, cut, gram_hash, id_long, id_text, mix, text_chunks
-from tripmetrics.llm.components import components, one_step
+from tripmetrics.llm.components import components
 
 COORDS = 128
 ROWS = 4
+COUNTERS = 1 << 18
+_CLASS = 1.05
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -127,86 +129,139 @@ def _sets(text_col: str, size: int):
     return run
 
 
-def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Add ``m``, the number of items that some other member has too, and leave
-    out members that these items alone cannot link: a set of n items resembles
-    another by m / n at most.  Exact, and it spares all pairs of a member that
-    shares a bucket with many but resembles none."""
-    lone = (
-        sets.select("id", F.explode("items").alias("item"))
-        .groupBy("item")
-        .agg(F.count("*").alias("c"), F.min("id").alias("id"))
-        .where("c = 1")
-        .groupBy("id")
-        .agg(F.count("*").alias("lone"))
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that are linked, judged on their full sets."""
+    left = sets.select(F.col("id").alias("a"), F.col("items").alias("xs"))
+    right = sets.select(F.col("id").alias("b"), F.col("items").alias("ys"))
+    sizes = (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .select("a", "b", F.size("xs").alias("na"), F.size("ys").alias("nb"), F.size(F.array_intersect("xs", "ys")).alias("both"))
     )
-    known = members.join(lone, "id", "left").withColumn("m", F.expr("n - coalesce(lone, 0)")).drop("lone")
-    return known.where(f"100 * m >= {percent} * n")
+    return sizes.where(f"100 * both >= {percent} * (na + nb - both)").select("a", "b").distinct()
 
 
-def _hubs(members: DataFrame, turn: int) -> DataFrame:
-    """(key, hub, hub_label, hub_n, hub_m) of the members that are hubs this turn."""
-    out = [F.col("h." + c).alias(a) for c, a in (("id", "hub"), ("label", "hub_label"), ("n", "hub_n"), ("m", "hub_m"))]
-    row = F.struct("id", "label", "n", "m")
-    if turn == 0:
-        return members.groupBy("key").agg(F.min(row).alias("h")).select("key", *out)
-    order = [F.xxhash64("id", F.lit(turn)), F.col("id")]
-    if turn > 1:
-        sizes = members.groupBy("key", "label").agg(F.count("*").alias("size"))
-        members = members.join(sizes, ["key", "label"])
-        order = [F.col("size"), *order]
-    ranked = members.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order)))
-    return ranked.where(F.col("rank") <= 4**turn).select("key", row.alias("h")).select("key", *out)
+def _labelled(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """Add ``label``: the smallest id of the class that ``edges`` give each id."""
+    found = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return members.join(found, members["id"] == found["node"], "left").select(
+        *members.columns, F.coalesce("root", "id").alias("label")
+    )
+
+
+def _need(n1: str, n2: str, percent: int) -> str:
+    """Items that two linked sets of these sizes have in common at least."""
+    whole = 100 + percent
+    return f"(({percent} * ({n1} + {n2}) + {whole - 1}) div {whole})"
+
+
+def _item_counts(sets: DataFrame) -> np.ndarray:
+    """How often items occur, by hashed item: a fixed number of counters.  Only
+    the order that it gives matters, and any order is right."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(COUNTERS, np.int64)
+        for pdf in batches:
+            for items in pdf["items"]:
+                total += np.bincount(_counter(items), minlength=COUNTERS)
+        hit = np.flatnonzero(total)
+        yield pd.DataFrame({"slot": hit.astype(np.int32), "c": total[hit]})
+
+    out = np.zeros(COUNTERS, np.int64)
+    got = sets.select("items").mapInPandas(run, "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c")).toPandas()
+    out[got["slot"].to_numpy()] = got["c"].to_numpy()
+    return out
+
+
+def _counter(items: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (mix(np.asarray(items, np.int64).view(np.uint64)) % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _prefixes(counts: np.ndarray, percent: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for lo in range(0, len(pdf), 500):
+                part = pdf.iloc[lo : lo + 500]
+                items, sizes = [], []
+                for own in part["items"]:
+                    own = np.asarray(own, np.int64)
+                    order = np.lexsort((own, counts[_counter(own)]))
+                    size = len(own) - -(-percent * len(own) // 100) + 1
+                    items.append(own[order[:size]])
+                    sizes.append(size)
+                yield pd.DataFrame(
+                    {
+                        "item": np.concatenate(items),
+                        "id": np.repeat(part["id"].to_numpy(), sizes),
+                        "label": np.repeat(part["label"].to_numpy(), sizes),
+                        "n": np.repeat([len(x) for x in part["items"]], sizes),
+                        "pos": np.concatenate([np.arange(x) for x in sizes]),
+                    }
+                )
+
+    return run
+
+
+def _prefix_pairs(open_sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different classes that can be linked: with items in one order,
+    rare ones first, the first common item of two linked sets lies so early
+    in both that enough items follow.
+
+    Of an item's members only those outside its largest class ask; they ask by
+    size class, so an item that many members hold meets only those for which it is
+    early enough."""
+    counts = _item_counts(open_sets)
+    rows = cut(open_sets.mapInPandas(_prefixes(counts, percent), "item long, id long, label long, n long, pos long"))
+    rows = rows.withColumn("cls", F.expr(f"cast(floor(ln(n) / ln({_CLASS})) as int)"))
+    by_label = rows.groupBy("item", "label").agg(F.count("*").alias("c"))
+    tops = (
+        by_label.groupBy("item")
+        .agg(F.max_by("label", F.struct("c", "label")).alias("top"), F.count("*").alias("labels"))
+        .where("labels > 1")
+        .select("item", "top")
+    )
+    held = cut(rows.join(tops, "item"))
+    low = f"greatest(cast(floor(ln({percent} * n / 100) / ln({_CLASS})) as int) - 1, 0)"
+    high = f"cast(floor(ln(100 * n / {percent}) / ln({_CLASS})) as int) + 1"
+    asks = (
+        held.where("label != top")
+        .selectExpr("item", "id as a", "label as la", "n as na", "pos as pa", f"explode(sequence({low}, {high})) as cls")
+        # the smallest set of a class needs the fewest common items
+        .where(f"pa <= na - {_need('na', f'cast(floor(pow({_CLASS}, cls)) as long)', percent)}")
+    )
+    answers = held.selectExpr("item", "cls", "id as b", "label as lb", "n as nb", "pos as pb", "label = top as largest")
+    need = _need("na", "nb", percent)
+    pairs = asks.join(answers, ["item", "cls"]).where(
+        f"la != lb and (largest or a < b) and least(na, nb) >= {need} and pa <= na - {need} and pb <= nb - {need}"
+    )
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``members(key, id, n)``: bucket members with set sizes; ``sets(id,
     items)``.  Returns ``(id, label)`` for ids in a class of two or more,
     label = smallest id of the class (the smallest id itself is absent)."""
-    members = _linkable(members, sets, percent).withColumn("label", F.col("id"))
-    edges = None
-    turn = 0
-    while True:
-        open_keys = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-        members = cut(members.join(open_keys.select("key"), "key", "left_semi"))
-        if members.isEmpty():
-            break
-        hubs = cut(_hubs(members, turn))
-        # two sets have no more in common than the smaller of their m
-        most = F.least("m", "hub_m")
-        pairs = (
-            members.join(hubs, "key")
-            .where("label != hub_label")
-            .where(100 * most >= percent * (F.col("n") + F.col("hub_n") - most))
-            .select(
-                F.least("id", "hub").alias("a"),
-                F.greatest("id", "hub").alias("b"),
-                F.least("label", "hub_label").alias("la"),
-                F.greatest("label", "hub_label").alias("lb"),
-            )
-            .distinct()
-        )
-        left = sets.select(F.col("id").alias("a"), F.col("items").alias("xs"))
-        right = sets.select(F.col("id").alias("b"), F.col("items").alias("ys"))
-        linked = (
-            pairs.join(left, "a")
-            .join(right, "b")
-            .select("la", "lb", F.size("xs").alias("na"), F.size("ys").alias("nb"), F.size(F.array_intersect("xs", "ys")).alias("both"))
-            .where(f"100 * both >= {percent} * (na + nb - both)")
-        )
-        found = cut(linked.select(F.col("la").alias("u"), F.col("lb").alias("v")).distinct())
-        edges = found if edges is None else edges.union(found)
-        # classes so far: one step is enough here, as the edges of all turns are joined at the end
-        step = one_step(found).groupBy(F.col("u").alias("label")).agg(F.min("v").alias("root"))
-        members = (
-            members.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
-            .join(step, "label", "left")
-            .select("key", "id", "n", "m", F.coalesce("root", "label").alias("label"))
-        )
-        turn += 1
-    if edges is None:
-        return members.select("id", "label")
-    return components(edges).select(F.col("node").alias("id"), F.col("root").alias("label"))
+    hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"))
+    pairs = (
+        members.join(hubs, "key")
+        .where(f"id != hub.id and 100 * least(n, hub.n) >= {percent} * greatest(n, hub.n)")
+        .select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
+        .distinct()
+    )
+    stars = cut(_confirmed(pairs, sets, percent))
+    # a hub has met all members of its bucket; buckets of one class have nothing left to link
+    rest = _labelled(members, stars).join(
+        hubs.select("key", F.col("hub.id").alias("id")), ["key", "id"], "left_anti"
+    )
+    left = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
+    open_ids = rest.join(left.select("key"), "key", "left_semi").groupBy("id").agg(F.first("label").alias("label"))
+    open_sets = cut(sets.join(open_ids, "id"))
+    edges = stars
+    if not open_sets.isEmpty():
+        edges = stars.union(cut(_confirmed(_prefix_pairs(open_sets, percent), sets, percent)))
+    found = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return found.select(F.col("node").alias("id"), F.col("root").alias("label"))
 
 
 def near_duplicates(
