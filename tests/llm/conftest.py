@@ -1,0 +1,22 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def make(spark):
+    """Documents from ``(doc_id, text[, lang[, source]])`` rows."""
+
+    def docs(rows, slices=3):
+        full = [(*r, *[None] * (4 - len(r)))[:4] for r in rows]
+        full = [(i, t, la, s, None if t is None else len(t)) for i, t, la, s in full]
+        return spark.createDataFrame(full, DOCS).repartition(slices)
+
+    return docs

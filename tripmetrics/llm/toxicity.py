@@ -122,6 +122,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.
         yield pd.DataFrame({"w": [w.tobytes()], "b": [b]})
 
     row = sample.coalesce(1).mapInPandas(run, "w binary, b double").first()
+    if row is None:
+        return fit([], np.empty(0))
     return np.frombuffer(bytes(row["w"]), np.float32), row["b"]
 
 
