@@ -152,7 +152,9 @@ class SeekableReader:
 
 
 def _open(uri: str):
-    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    """The file system of a URI (or local path), and the path in it."""
+    path = re.sub("^file:/(?!/)", "/", uri)
+    return pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
 
 
 def read_record(archive: str, frame: int, offset: int, length: int) -> bytes:
