@@ -152,7 +152,9 @@ def _best_condition(rows: DataFrame, bounds: dict[str, list[float]]) -> tuple[Co
             p, n = p + by_bin.get(k, (0, 0))[0], n + by_bin.get(k, (0, 0))[1]
             for above, q, m in ((False, p, n), (True, whole[0] - p, whole[1] - n)):
                 gain = _gain(q, m, *whole)
-                if gain > best_gain + 1e-9:
+                # of bounds that cover the same rows the one that rejects least elsewhere
+                tie = best and above and gain > 0 and (s, True, q, m) == (names.index(best[0].statistic), best[0].above, *best[1:3])
+                if gain > best_gain + 1e-9 or tie:
                     best, best_gain = (Condition(names[s], above, bound), q, m, *whole), gain
     return best
 
