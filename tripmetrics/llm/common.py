@@ -7,7 +7,9 @@ Words are the maximal runs of ``[^\\x20\\x09-\\x0D]``: exactly what
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -22,9 +24,25 @@ _M2 = np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that
+    they can import it wherever they run."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parents[1]
+    if getattr(sc, "_llm_package", None) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="llm-package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._llm_package = str(archive)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a scratch folder
     only on a local master that names none (tests)."""
+    ship_package(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.conf.get("tripmetrics.llm.scratch", None)
@@ -46,6 +64,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 
