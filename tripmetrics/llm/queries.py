@@ -17,8 +17,11 @@ from tripmetrics.llm import sql
 from tripmetrics.llm.fingerprint import edited_neighbours
 from tripmetrics.llm.langid import identify
 from tripmetrics.llm.mixing import mix_sources
+from tripmetrics.llm.ngram_join import jaccard_join
 from tripmetrics.llm.quality import judge
 from tripmetrics.llm.quoting import thread
+from tripmetrics.llm.simplex import cluster_vectors
+from tripmetrics.llm.spelling import variant_groups
 from tripmetrics.llm.spiece import encode
 from tripmetrics.llm.substring import drop_repeats
 from tripmetrics.llm.toxicity import score_toxicity
@@ -34,7 +37,7 @@ def op1_minhash_near_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, data_dir: str) -> DataFrame:
     judged = judge(read_table(spark, data_dir, "documents"), read_table(spark, data_dir, "labels"))
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rule", "kept"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
     )
 
 
@@ -71,6 +74,18 @@ def op10_chat_threads(spark: SparkSession, data_dir: str) -> DataFrame:
     return thread(read_table(spark, data_dir, "conversations"))
 
 
+def op11_ngram_jaccard(spark: SparkSession, data_dir: str) -> DataFrame:
+    return jaccard_join(read_table(spark, data_dir, "documents"), size=5, percent=80)
+
+
+def op12_spelling_variants(spark: SparkSession, data_dir: str) -> DataFrame:
+    return variant_groups(read_table(spark, data_dir, "documents"))
+
+
+def op13_centroid_clusters(spark: SparkSession, data_dir: str) -> DataFrame:
+    return cluster_vectors(read_table(spark, data_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -82,10 +97,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_warc_bundles": op9_warc_bundles,
     "op10_chat_threads": op10_chat_threads,
+    "op11_ngram_jaccard": op11_ngram_jaccard,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": sql.NEAR_DEDUP,
     "op7_substring_dedup": sql.SUBSTRING_DEDUP,
     "op9_warc_bundles": sql.WARC,
+    "op11_ngram_jaccard": sql.JACCARD_JOIN,
+    "op12_spelling_variants": sql.VARIANTS,
+    "op13_centroid_clusters": sql.CLUSTERS,
 }

@@ -15,7 +15,7 @@ numbers reach the driver.  The vectors are never shuffled.
 
 Kept are vectors of exactly ``dims`` components, none null, NaN or infinite; others (a
 null vector too) are left out.  A row without id is never a start but is assigned like
-the rest; rows that repeat an id are vectors of their own, and as starts they are
+the rest (without any start there are no rows); rows that repeat an id are vectors of their own, and as starts they are
 ordered by hash, then components.  With fewer starts than ``k`` there are so
 many centroids; an empty table gives no rows.  A component whose
 integer is beyond 2**27 raises, as distances would leave the 64-bit range.
@@ -146,7 +146,8 @@ def _sums(centroids: np.ndarray, places: np.ndarray):
                 np.add.at(total, number, v)
                 counts += np.bincount(number, minlength=len(centroids))
         hit = np.flatnonzero(counts)
-        yield pd.DataFrame({"cluster": hit.astype(np.int32), "n": counts[hit], "total": list(total[hit])})
+        if len(hit):
+            yield pd.DataFrame({"cluster": hit.astype(np.int32), "n": counts[hit], "total": list(total[hit])})
 
     return run
 
