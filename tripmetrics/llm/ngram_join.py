@@ -41,7 +41,7 @@ from tripmetrics.llm.common import Tokeniser, cut, id_long, id_text, mix, ship_p
 from tripmetrics.llm.components import components
 from tripmetrics.llm.minhash import shingle_sets
 
-COUNTERS = 1 << 19
+COUNTERS = 1 << 18
 CELL = 50_000
 HUBS = 16
 ROUNDS = 1
@@ -97,8 +97,8 @@ def column_counts(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
     """How often shingles occur, by hashed shingle (``COUNTERS`` numbers)."""
     got = docs.select(text_col).mapInPandas(_counted(text_col, size), "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c"))
     out = np.zeros(COUNTERS, np.int64)
-    pdf = got.toPandas()
-    out[pdf["slot"].to_numpy()] = pdf["c"].to_numpy()
+    table = got.toArrow()
+    out[table["slot"].to_numpy()] = table["c"].to_numpy()
     return out
 
 
