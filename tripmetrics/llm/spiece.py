@@ -9,8 +9,13 @@ one, the first n are the n best.
 Pieces hold white space at their beginning only, so a lattice falls apart before each
 run of spaces, and wherever no piece holds two neighbouring characters side by side.  A part's forward and backward scores give its best segmentation and
 what the second best loses; the n best of a text can differ from the best one only
-in the n - 1 parts that lose least, and these are searched.  Scores are
-whole numbers (millionths of a nat), which keeps equal sums equal.
+in the n - 1 parts that lose least, and these are searched.  The other n - 1 segmentations of a
+text are given as edits of the first one: at a token, so many tokens go and others come.
+Scores are whole numbers (millionths of a nat), which keeps equal sums equal.
+
+The forward and backward scores of the parts that a chunk of texts brings anew are
+computed together, in arrays over parts of equal length; substrings are looked up
+by 64-bit hashes of their characters.
 
 Unigram models bring their scores.  BPE models bring merge ranks only; a piece
 then has the Zipf probability 1 / (rank + 2), normalised, and the result is the
@@ -29,17 +34,23 @@ import heapq
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import id_long, id_text, text_chunks
+from tripmetrics.llm.common import id_long, id_text, mix, ship_package, text_chunks
 
 N_BEST = 4
 SCALE = 1_000_000
 _MEMO_LIMIT = 300_000
+_TOGETHER = 48
+_CELLS = 1 << 21
+_CHUNK = 1 << 19
+_NONE = -(1 << 52)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 # fixed values of the model file: types of pieces, kinds of models
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
@@ -106,6 +117,13 @@ class Vocabulary:
         self.pairs = {p[j : j + 2] for p in self.score for j in range(len(p) - 1)}
         self.prefixes = {p[:j] for p in self.score for j in range(1, len(p))}
         self.fallback = min((s for _, s in self.score.values()), default=0) - 10 * SCALE
+        self._same = list(range(len(pieces)))  # one object per id, however often it is remembered
+        keys = np.concatenate([[np.uint64(0)], *[self._hashes(self._codes([p]))[-1][:, 0] for p in self.score]])
+        order = np.argsort(keys, kind="stable")
+        self._keys = keys[order]
+        self._found = np.array([(-1, _NONE), *self.score.values()], np.int64)[order]
+        if (np.diff(self._keys) == 0).any():
+            raise ValueError("two pieces share a hash")
 
     @classmethod
     def parse(cls, model: bytes) -> Vocabulary:
@@ -201,6 +219,75 @@ class Vocabulary:
             ids += [k] if k >= 0 else self.char_ids(text[i:j])
         return tuple(ids), top, top - second
 
+    @staticmethod
+    def _codes(texts: list[str]) -> np.ndarray:
+        """Characters of texts of one length, a row each."""
+        flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+        return flat.reshape(len(texts), -1).astype(np.uint64)
+
+    def _hashes(self, codes: np.ndarray) -> list[np.ndarray]:
+        """For each size up to the longest piece: hashes of the substrings of that size."""
+        n, out = codes.shape[1], []
+        with np.errstate(over="ignore"):
+            single = mix(codes + np.uint64(1))
+            for size in range(1, min(n, self.longest) + 1):
+                before = out[-1][:, : n - size + 1] * _STEP if out else np.uint64(0)
+                out.append(before + single[:, size - 1 :])
+        return out
+
+    def solve(self, texts: list[str]) -> list[tuple[tuple[int, ...], int, int]]:
+        """``first_two`` of many texts of one length at once."""
+        n, m = len(texts[0]), len(texts)
+        codes = self._codes(texts)
+        ids, scores = [], []
+        for size, h in enumerate(self._hashes(codes), 1):
+            at = np.minimum(np.searchsorted(self._keys, h), len(self._keys) - 1)
+            hit = self._keys[at] == h
+            k, s = np.where(hit, self._found[at, 0], -1), np.where(hit, self._found[at, 1], _NONE)
+            ids.append(k)
+            scores.append(np.ascontiguousarray((np.where(k < 0, self.fallback, s) if size == 1 else s).T))
+        longest = len(scores)
+        # a place per row; a path over a piece that is none stays far below any other
+        ahead = np.full((n + 1, m), _NONE)
+        behind = np.full((n + 1, m), _NONE)
+        ahead[0] = behind[n] = 0
+        for j in range(1, n + 1):
+            for size in range(1, min(j, longest) + 1):
+                np.maximum(ahead[j], ahead[j - size] + scores[size - 1][j - size], out=ahead[j])
+        for i in range(n - 1, -1, -1):
+            for size in range(1, min(n - i, longest) + 1):
+                np.maximum(behind[i], behind[i + size] + scores[size - 1][i], out=behind[i])
+        top = ahead[n]
+        # from the end the longest piece of a best segmentation, as the search of one text does it
+        on, second = np.full(m, n), np.full(m, _NONE)
+        path = np.full((m, n, 2), -2)
+        count = np.zeros(m, np.int64)
+        for j in range(n, 0, -1):
+            step = np.zeros(m, np.int64)
+            for size in range(min(j, longest), 0, -1):
+                total = ahead[j - size] + scores[size - 1][j - size] + behind[j]
+                rows = np.flatnonzero(total == top)
+                rows = rows[(on[rows] == j) & (step[rows] == 0)]
+                step[rows] = size
+                path[rows, count[rows], 0] = ids[size - 1][rows, j - size]
+                path[rows, count[rows], 1] = j - 1
+                total[rows] = _NONE
+                np.maximum(second, total, out=second)
+            count += step > 0
+            on -= step
+        lost = np.where(second < _NONE // 2, top + (1 << 62), top - second)
+        out, same = [], self._same
+        rows, plain = path[:, :, 0].tolist(), (path[:, :, 0] != -1).all(1)
+        for r, (c, t, x) in enumerate(zip(count.tolist(), top.tolist(), lost.tolist())):
+            if plain[r]:
+                own = [same[k] for k in rows[r][c - 1 :: -1]]
+            else:
+                own = []
+                for k, end in path[r, :c][::-1].tolist():
+                    own += [k] if k >= 0 else self.char_ids(texts[r][end])
+            out.append((tuple(own), t, x))
+        return out
+
     def best(self, text: str, n: int) -> list[tuple[int, list[int]]]:
         """The n best segmentations of a text as (score, ids), best first."""
         edges, ahead = self.lattice(text)
@@ -243,6 +330,39 @@ class Encoder:
         self._old: dict[str, tuple] = {}
         self._others: dict[str, list[int]] = {}
 
+    def _keep(self, part: str, got: tuple) -> tuple:
+        if len(self._new) >= _MEMO_LIMIT:
+            self._old, self._new = self._new, {}
+        self._new[part] = got
+        return got
+
+    def meet(self, parts: set[str]) -> None:
+        """Solve the parts that are not remembered, many at once."""
+        vocabulary, new, old = self.vocabulary, self._new, self._old
+        split = {p: vocabulary.split(p) for p in parts if p not in new and p not in old}
+        solved = {q: new.get(q) or old.get(q) for q in set(chain.from_iterable(split.values()))}
+        sizes: dict[int, list[str]] = {}
+        for q, got in solved.items():
+            if got is None and len(q) <= _TOGETHER:
+                sizes.setdefault(len(q), []).append(q)
+        for size, own in sizes.items():
+            most = max(1, _CELLS // size**2)
+            for lo in range(0, len(own), most):
+                solved.update(zip(own[lo : lo + most], vocabulary.solve(own[lo : lo + most])))
+        for part, own in split.items():
+            if len(own) == 1:
+                self._keep(part, solved[part] or vocabulary.first_two(part))
+            else:
+                ids, scores, losses = zip(*[solved[q] or vocabulary.first_two(q) for q in own])
+                self._keep(part, (tuple(chain.from_iterable(ids)), sum(scores), min(losses)))
+
+    def many(self, texts: list[str | None]) -> Iterator[tuple]:
+        """The texts' segmentations (see ``__call__``)."""
+        parts = [self.vocabulary.parts(t or "") for t in texts]
+        new = self._new
+        self.meet({p for own in parts for p in own if p not in new})
+        return map(self._encoded, parts)
+
     def _part(self, part: str) -> tuple:
         got = self._old.get(part)
         if got is None:
@@ -252,40 +372,56 @@ class Encoder:
             else:
                 each = [self._new.get(p) or self._part(p) for p in own]
                 got = (sum([e[0] for e in each], ()), sum([e[1] for e in each]), min([e[2] for e in each]))
-        if len(self._new) >= _MEMO_LIMIT:
-            self._old, self._new = self._new, {}
-        self._new[part] = got
-        return got
+        return self._keep(part, got)
 
-    def _losses(self, part: str) -> list[int]:
-        """What the n best segmentations of a part lose against the first."""
+    def _choices(self, part: str) -> list[tuple[int, list[int]]]:
+        """The n best segmentations of a part: what they lose against the first, and their ids."""
         got = self._others.get(part)
         if got is None:
             if len(self._others) >= _MEMO_LIMIT // 10:
                 self._others.clear()
-            scores = [s for s, _ in self.vocabulary.best(part, self.n)]
-            got = self._others[part] = [scores[0] - s for s in scores]
+            found = self.vocabulary.best(part, self.n)
+            got = self._others[part] = [(found[0][0] - s, ids) for s, ids in found]
         return got
 
-    def __call__(self, text: str | None) -> tuple[list[int], list[int]]:
-        """(ids of the best segmentation, scores of the n best)."""
-        parts = self.vocabulary.parts(text or "")
+    def __call__(self, text: str | None) -> tuple[list[int], list[tuple[int, list[tuple[int, int, list[int]]]]]]:
+        """(ids of the best segmentation, the n best as (score, edits of the best))."""
+        return self._encoded(self.vocabulary.parts(text or ""))
+
+    def _encoded(self, parts: list[str]) -> tuple[list[int], list[tuple]]:
         if not parts:
             return [], []
         new, part = self._new, self._part
         ids: list[int] = []
-        top, losses = 0, []
+        top, losses, starts = 0, [], []
         for p in parts:
             own, score, loss = new.get(p) or part(p)
             new = self._new
+            starts.append(len(ids))
             ids += own
             top += score
             losses.append(loss)
+        starts.append(len(ids))
         # only the n - 1 parts that lose least by their second choice can differ in the n best
-        sums = [0]
-        for k in heapq.nsmallest(self.n - 1, range(len(parts)), key=losses.__getitem__):
-            sums = heapq.nsmallest(self.n, [a + b for a in sums for b in self._losses(parts[k])])
-        return ids, [top - x for x in sums]
+        least = heapq.nsmallest(self.n - 1, zip(losses, range(len(losses))))
+        found: list[tuple[int, tuple[tuple[int, int], ...]]] = [(0, ())]
+        for _, k in sorted(least, key=lambda x: x[1]):
+            more = [(lost + x, (*made, (k, r)) if r else made) for lost, made in found for r, (x, _) in enumerate(self._choices(parts[k]))]
+            found = sorted(more)[: self.n]
+
+        def edit(k: int, r: int) -> tuple[int, int, list[int]]:
+            return starts[k], starts[k + 1] - starts[k], self._choices(parts[k])[r][1]
+
+        return ids, [(top - lost, [edit(k, r) for k, r in made]) for lost, made in found]
+
+
+def edited(ids: list[int], edits: list[tuple[int, int, list[int]]]) -> list[int]:
+    """A segmentation made from the best one by its edits."""
+    out, done = [], 0
+    for at, drop, own in edits:
+        out += [*ids[done:at], *own]
+        done = at + drop
+    return out + list(ids[done:])
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -313,33 +449,37 @@ def read_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
 def encode(
     docs: DataFrame, model_path: str, n: int = N_BEST, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(id_col, n_tokens, token_ids, nbest_scores, round_trip)`` per row: the best
-    segmentation, the scores of the n best, and whether the ids decode to the text."""
+    """``(id_col, n_tokens, token_ids, nbest_scores, nbest_edits, round_trip)`` per row: the
+    best segmentation, the scores of the n best, how each of them is made from the best one (see
+    ``edited``), and whether the ids decode to the text."""
     spark = docs.sparkSession
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(read_vocabulary(spark, model_path))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = shared.value
         encoder = _encoder(vocabulary, n)
         for pdf in batches:
-            for lo, hi in text_chunks(pdf["text"]):
-                rows = []
-                for text in pdf["text"].iloc[lo:hi]:
-                    ids, scores = encoder(text)
-                    rows.append((len(ids), ids, [s / SCALE for s in scores], vocabulary.decode(ids) == (text or "")))
-                out = pd.DataFrame(rows, columns=["n_tokens", "token_ids", "nbest_scores", "round_trip"])
+            for lo, hi in text_chunks(pdf["text"], _CHUNK):
+                rows, texts = [], pdf["text"].iloc[lo:hi].tolist()
+                for text, (ids, found) in zip(texts, encoder.many(texts)):
+                    edits = [[{"at": a, "drop": d, "ids": own} for a, d, own in e] for _, e in found]
+                    rows.append((len(ids), ids, [s / SCALE for s, _ in found], edits, vocabulary.decode(ids) == (text or "")))
+                out = pd.DataFrame(rows, columns=["n_tokens", "token_ids", "nbest_scores", "nbest_edits", "round_trip"])
                 out["token_ids"] = [np.array(x, np.int32) for x in out["token_ids"]]
                 out.insert(0, id_col, pdf[id_col].iloc[lo:hi].array)
                 yield out
 
     own = docs.select(id_text(id_col), F.col(text_col).cast("string").alias("text"))
-    schema = f"{id_col} string, n_tokens long, token_ids array<int>, nbest_scores array<double>, round_trip boolean"
+    edits = "array<array<struct<at: int, drop: int, ids: array<int>>>>"
+    schema = f"{id_col} string, n_tokens long, token_ids array<int>, nbest_scores array<double>, nbest_edits {edits}, round_trip boolean"
     return id_long(own.mapInPandas(run, schema), id_col)
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "token_ids") -> DataFrame:
     """``encoded`` with the column ``text`` decoded from ``ids_col`` (null: null)."""
     spark = encoded.sparkSession
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(read_vocabulary(spark, model_path))
 
     @F.pandas_udf("string")
