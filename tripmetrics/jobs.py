@@ -33,6 +33,7 @@ def _ckpt(spark: SparkSession, job: str, name: str) -> str:
 def live_job(spark: SparkSession, messages: DataFrame, out_root: str, *,
              monitored: list[str] | DataFrame | None = None, ttl_s: int = HEARTBEAT_TTL_MAIN_S,
              watermark: str = streams.DEFAULT_WATERMARK, cut_early_s: int = 0,
+             max_files_per_trigger: int = streams.MAX_FILES_PER_TRIGGER,
              trigger: dict | None = None, job: str = "live") -> dict[str, StreamingQuery]:
     """Start the live job on a streaming message source.
 
@@ -41,7 +42,9 @@ def live_job(spark: SparkSession, messages: DataFrame, out_root: str, *,
     ``score`` and, with ``monitored`` terminal ids (a list or a table),
     ``last_beat`` and ``heartbeat`` sessions; ``serving`` holds the published
     key/field/value rows ``(day, part, key, field, value)`` of every day with
-    trips, refreshed by the batch that changes a day.  With an
+    trips, refreshed by the batch that changes a day, and ``serving_changes`` the feed of the keys
+    that each batch changed.  ``max_files_per_trigger`` bounds a rollup's batch and changes no
+    result; ``watermark`` is that of the sessions.  With an
     ``availableNow`` trigger the landing query finishes before the rollups
     start (catch-up run).
     """
@@ -55,19 +58,19 @@ def live_job(spark: SparkSession, messages: DataFrame, out_root: str, *,
         queries["land"].awaitTermination()
 
     def options(name: str) -> dict:
-        return {"watermark": watermark, "checkpoint": _ckpt(spark, job, name), "trigger": trigger}
+        return {"checkpoint": _ckpt(spark, job, name), "trigger": trigger}
 
     if monitored is not None:
         def beats() -> DataFrame:
             return streams.landed_beats(spark, path["landed"])
 
         queries["heartbeat"] = streams.stream_heartbeat(beats(), path["heartbeat"], monitored, ttl_s=ttl_s,
-                                                        **options("heartbeat"))
+                                                        watermark=watermark, **options("heartbeat"))
         queries["last_beat"] = streams.stream_last_beat(beats(), path["last_beat"], publish=path["serving"],
                                                         **options("last_beat"))
 
     def trips() -> DataFrame:
-        return streams.landed_trips(spark, path["landed"])
+        return streams.landed_trips(spark, path["landed"], max_files_per_trigger)
 
     queries["daily"] = streams.stream_daily(trips(), path["daily"], **options("daily"))
     queries["hourly"] = streams.stream_hourly(trips(), path["hourly"], cut_early_s=cut_early_s,

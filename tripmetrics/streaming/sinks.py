@@ -11,10 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder in the store the path names, so that readers can open it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], file_format: str = "parquet") -> None:
     """Replace the partitions of ``path`` present in ``df`` with its rows."""
     (df.write.format(file_format).mode("overwrite")
@@ -22,22 +28,70 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], fi
      .partitionBy(*partition_cols).save(path))
 
 
+KV_SCHEMA = "day date, key string, field string, value string, part string"
+FEED_SCHEMA = "key string, field string, value string, op string, day date, part string, batch_id long"
+
+
+def kv_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """P5 on key/field/value rows: ``(day, key, field, value, op)`` of the keys whose value
+    is new or another one (``upsert``) or that are gone (``delete``).  Keys are unique on
+    both sides; a null field or value is equal to a null one."""
+    key = ["day", "key", "field"]
+    a = old.select(*[F.col(c).alias(f"old_{c}") for c in key], F.struct("value").alias("was"))
+    b = new.select(*key, F.struct("value").alias("now"))
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(f"old_{c}").eqNullSafe(F.col(c))
+    both = a.join(b, same, "full_outer").where(~F.col("was").eqNullSafe(F.col("now")))
+    gone = F.col("now").isNull()
+    return both.select(
+        *[F.when(gone, F.col(f"old_{c}")).otherwise(F.col(c)).alias(c) for c in key], F.col("now.value").alias("value"),
+        F.when(gone, "delete").otherwise("upsert").alias("op"))
+
+
+def apply_changes(feed: DataFrame) -> DataFrame:
+    """The key/field/value rows that a change feed adds up to: the last change of each key."""
+    last = feed.groupBy("part", "day", "key", "field").agg(F.max_by(F.struct("value", "op"), "batch_id").alias("c"))
+    return last.where("c.op = 'upsert'").selectExpr("day", "part", "key", "field", "c.value as value")
+
+
 class Publisher:
     """Keeps the key/field/value rows of one group of metrics up to date.
 
     After a batch has been written, ``read(days)`` loads the written table for
-    the touched days (a partition filter) and ``to_kv`` turns it into triples,
-    which replace the partitions ``(day, part)`` of the serving table.  Each
-    part is written by one stream only, so keys stay unique.
+    the touched days (a partition filter) and ``to_kv`` turns it into triples.  They are
+    compared with the rows published before.  The keys that differ are appended to the change
+    feed ``<path>_changes``, one partition per day, part and batch, and only days with a
+    change are written again: their triples replace the partitions ``(day, part)`` of the serving
+    table.  Each part is written by one stream only, so keys stay unique.
+
+    A batch that is run again finds no difference if it had got through; if it had
+    stopped between feed and table, it writes the same feed partition again.
     """
 
     def __init__(self, path: str, part: str, read: Callable[[list], DataFrame],
                  to_kv: Callable[[DataFrame], DataFrame]) -> None:
         self.path, self.part, self.read, self.to_kv = path, part, read, to_kv
 
-    def __call__(self, days: list) -> None:
-        if days:
-            overwrite_partitions(self.to_kv(self.read(days)).withColumn("part", F.lit(self.part)),
+    def _published(self, spark: SparkSession, days: list) -> DataFrame:
+        make_folder(spark, self.path)
+        rows = spark.read.schema(KV_SCHEMA).parquet(self.path)
+        return rows.where(F.col("day").isin(days) & (F.col("part") == self.part))
+
+    def __call__(self, days: list, batch_id: int) -> None:
+        if not days:
+            return
+        new = self.to_kv(self.read(days)).select("day", "key", "field", F.col("value").cast("string").alias("value"))
+        spark = new.sparkSession
+        # written table before the serving table is replaced: the comparison reads what it replaces
+        feed = kv_changes(self._published(spark, days), new).withColumns(
+            {"part": F.lit(self.part), "batch_id": F.lit(batch_id).cast("long")})
+        overwrite_partitions(feed, f"{self.path}_changes", ["day", "part", "batch_id"])
+        written = spark.read.schema(FEED_SCHEMA).parquet(f"{self.path}_changes").where(
+            F.col("day").isin(days) & (F.col("part") == self.part) & (F.col("batch_id") == batch_id))
+        changed = [r["day"] for r in written.select("day").distinct().collect()]
+        if changed:
+            overwrite_partitions(new.where(F.col("day").isin(changed)).withColumn("part", F.lit(self.part)),
                                  self.path, ["day", "part"])
 
 
@@ -56,7 +110,7 @@ def partition_writer(path: str, partition_cols: list[str],
     batch.  Not needed for correctness -- an empty batch overwrites no
     partition -- but it saves the write job's set-up on idle triggers.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - foreachBatch signature
+    def write(batch: DataFrame, batch_id: int) -> None:
         if skip_empty and batch.isEmpty():
             return
         out = prepare(batch) if prepare else batch
@@ -66,30 +120,30 @@ def partition_writer(path: str, partition_cols: list[str],
         out = out.persist()
         try:
             overwrite_partitions(out, path, partition_cols)
-            publish(_touched(out))
+            publish(_touched(out), batch_id)
         finally:
             out.unpersist()
     return write
 
 
-def batch_log_writer(path: str, partition_cols: list[str],
-                     publish: Publisher | None = None) -> Callable[[DataFrame, int], None]:
+def batch_log_writer(path: str, partition_cols: list[str], publish: Publisher | None = None,
+                     prepare: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback appending each micro-batch as its own
     ``batch_id`` partition (under ``partition_cols``).
 
-    An update-mode aggregate emits only the keys that changed, so the log
-    grows with the changes, never rewrites earlier data, and a replayed batch
-    (same id, same rows) replaces exactly its own partition.  Readers reduce
+    An update-mode aggregate emits only the keys that changed; ``prepare`` reduces a batch
+    that comes without state.  So the log grows with the batches, never rewrites earlier data, and
+    a replayed batch (same id, same rows) replaces exactly its own partition.  Readers reduce
     the log per key (see ``streams.first_seen_table``); compaction is a
     batch rewrite of old partitions.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = (prepare(batch) if prepare else batch).persist()
         try:
             overwrite_partitions(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), path,
                                  [*partition_cols, "batch_id"])
             if publish is not None:
-                publish(_touched(batch))
+                publish(_touched(batch), batch_id)
         finally:
             batch.unpersist()
     return write

@@ -8,12 +8,18 @@ of parsed trips landed by ``stream_land`` (``landed_trips``), and returns a
 
 * State is Spark's state store (per-key, on executors, checkpointed), not an
   external key-value server; updates are exact (no lost read-add-write).
-* Watermarks bound the state (default 1 hour of lateness); a row whose
-  window had closed before its batch started (judged by the previous
-  batch's watermark) is dropped and counted in the query progress.
-* Exact distinct drivers come from the ``(day, terminal)``-keyed first-seen
-  stream (streaming ``count(DISTINCT)`` is not supported, and a per-day set
-  would be one unbounded state row); a HyperLogLog++ estimate is optional.
+* No rollup loses a row, however late it is or however a catch-up is cut into
+  batches.  Day, hour and bucket rollups have few keys (bounded by the accepted
+  time range), so their state needs no watermark.  First-seen drivers and last beats
+  are minima and maxima: batches append to a log that readers reduce.
+* With ``watermark`` given, state is evicted instead: a row whose window had closed before
+  its batch started (judged by the previous batch's watermark) is dropped
+  and counted in the query progress.  That is safe only where the source is read
+  in about the order of time.  Sessions always need one; they read whole
+  landing batches, so no file limit can cut a batch below the watermark.
+* Exact distinct drivers come from the first-seen log (streaming
+  ``count(DISTINCT)`` is not supported, and a per-day set would be one
+  unbounded state row); a HyperLogLog++ estimate is optional.
 """
 
 from __future__ import annotations
@@ -34,7 +40,7 @@ from tripmetrics.session import checkpoint_root
 from tripmetrics.sources.messages import split_payloads
 from tripmetrics.functions.timecols import time_in_range
 from tripmetrics.operators.serving import kv_from_first_hours, kv_from_hourly, kv_from_last_beats, kv_from_scores
-from tripmetrics.streaming.sinks import Publisher, batch_log_writer, overwrite_partitions, partition_writer
+from tripmetrics.streaming.sinks import Publisher, batch_log_writer, make_folder, overwrite_partitions, partition_writer
 
 DEFAULT_WATERMARK = "1 hour"
 
@@ -84,22 +90,24 @@ def as_trips(source: DataFrame) -> DataFrame:
     return parse_trips(source) if "value" in source.columns else source
 
 
-def _trips(source: DataFrame, watermark: str, cut_early_s: int = 0) -> DataFrame:
+def _bounded(df: DataFrame, column: str, watermark: str | None) -> DataFrame:
+    return df.withWatermark(column, watermark) if watermark else df
+
+
+def _trips(source: DataFrame, watermark: str | None, cut_early_s: int = 0) -> DataFrame:
     trips = as_trips(source)
-    return trip_facts(trips.withColumn("_local", _local(trips)).withWatermark("_local", watermark), cut_early_s)
+    return trip_facts(_bounded(trips.withColumn("_local", _local(trips)), "_local", watermark), cut_early_s)
 
 
-def stream_daily(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WATERMARK,
+def stream_daily(messages: DataFrame, path: str, *, watermark: str | None = None,
                  approx_drivers: bool = False, checkpoint: str | None = None,
                  trigger: dict | None = None) -> StreamingQuery:
     """A1, A3-A7 live: table ``(day, n_trips, <counters>)`` partitioned by
     ``day``; every batch rewrites only the days it touched.
 
-    State is one row of counters per open day.  Exact distinct drivers are
+    State is one row of counters per day.  Exact distinct drivers are
     *not* kept here -- a set of every terminal of the day would be one
-    unbounded state row -- but in the first-seen stream, whose state is keyed
-    by ``(day, terminal)`` and spreads over all tasks
-    (``drivers_from_first_seen``).  ``approx_drivers`` adds a HyperLogLog++
+    unbounded state row -- but in the first-seen log (``drivers_from_first_seen``).  ``approx_drivers`` adds a HyperLogLog++
     estimate (fixed-size state) as ``drivers_approx``.
     """
     trips = _trips(messages, watermark)
@@ -115,7 +123,7 @@ def drivers_from_first_seen(first_seen: DataFrame) -> DataFrame:
     return first_seen.groupBy("day").agg(F.count(F.lit(1)).alias("drivers"))
 
 
-def stream_hourly(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WATERMARK,
+def stream_hourly(messages: DataFrame, path: str, *, watermark: str | None = None,
                   cut_early_s: int = 0, checkpoint: str | None = None,
                   trigger: dict | None = None, publish: str | None = None) -> StreamingQuery:
     """H1 live: table ``(day, hour, n_trips, <counters>)`` partitioned by
@@ -129,7 +137,7 @@ def stream_hourly(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WA
     moved = ts + F.make_interval(secs=F.lit(cut_early_s))
     last_hour = F.date_trunc("day", ts) + F.expr("INTERVAL 23 HOURS")
     label_ts = F.when(F.to_date(moved) > F.to_date(ts), last_hour).otherwise(moved) if cut_early_s else ts
-    labelled = trip_facts(trips.withColumn("_label_ts", _local(trips, label_ts)).withWatermark("_label_ts", watermark))
+    labelled = trip_facts(_bounded(trips.withColumn("_label_ts", _local(trips, label_ts)), "_label_ts", watermark))
     agg = labelled.groupBy(F.window("_label_ts", "1 hour").alias("w")).agg(*counter_aggs())
     out = agg.select(_window_day(), _window_hour(),
                      "n_trips", *COUNTER_COLUMNS)
@@ -143,23 +151,29 @@ def stream_hourly(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WA
                   checkpoint, trigger)
 
 
-def stream_first_seen(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WATERMARK,
+def stream_first_seen(messages: DataFrame, path: str, *, watermark: str | None = None,
                       checkpoint: str | None = None, trigger: dict | None = None,
                       publish: str | None = None, cut_early_s: int = 0) -> StreamingQuery:
     """H2 live: log of ``(day, terminal_id, first_ts)`` -- each terminal's
-    earliest trip per day by event time (not by arrival).  State is keyed by
-    ``(day, terminal)``; each batch appends only the keys whose minimum
-    changed.  Read it with ``first_seen_table``."""
+    earliest trip per day by event time (not by arrival).  Each batch appends its
+    own minima, without state.  With a watermark, state keyed by ``(day, terminal)`` keeps
+    the log to keys whose minimum changed.  Read it with ``first_seen_table``."""
     trips = _trips(messages, watermark)
-    agg = trips.groupBy(F.window("_local", "1 day").alias("w"), "terminal_id").agg(F.min("ts").alias("first_ts"))
-    out = agg.select(_window_day(), "terminal_id", "first_ts")
+    key = [F.window("_local", "1 day").alias("w"), "terminal_id"]
+
+    def earliest(rows: DataFrame) -> DataFrame:
+        agg = rows.groupBy(*key).agg(F.min("ts").alias("first_ts"))
+        return agg.select(_window_day(), "terminal_id", "first_ts")
+
+    out = earliest(trips) if watermark else trips.select("_local", "terminal_id", "ts")
     spark = messages.sparkSession
 
     def read(days: list) -> DataFrame:
         return hourly_from_first_seen(first_seen_table(spark, path, days=days), cut_early_s)
 
     own = Publisher(publish, "drivers", read, kv_from_first_hours) if publish else None
-    return _start(out, "first_seen", batch_log_writer(path, ["day"], own), "update", checkpoint, trigger)
+    return _start(out, "first_seen", batch_log_writer(path, ["day"], own, None if watermark else earliest), "update",
+                  checkpoint, trigger)
 
 
 def first_seen_table(spark, path: str, compact_path: str | None = None, days: list | None = None) -> DataFrame:
@@ -190,7 +204,7 @@ def hourly_from_first_seen(first_seen: DataFrame, cut_early_s: int = 0) -> DataF
             .groupBy("day", "hour").agg(F.count(F.lit(1)).alias("drivers")))
 
 
-def stream_score(messages: DataFrame, path: str, *, watermark: str = DEFAULT_WATERMARK,
+def stream_score(messages: DataFrame, path: str, *, watermark: str | None = None,
                  checkpoint: str | None = None, trigger: dict | None = None,
                  publish: str | None = None) -> StreamingQuery:
     """A8 live: table ``(day, bucket, n_trips)`` partitioned by
@@ -236,24 +250,29 @@ def stream_heartbeat(messages: DataFrame, path: str, terminal_ids: list[str], *,
 
 
 def stream_last_beat(source: DataFrame, path: str, terminal_ids: list[str] | DataFrame | None = None, *,
-                     watermark: str = DEFAULT_WATERMARK, checkpoint: str | None = None,
+                     watermark: str | None = None, checkpoint: str | None = None,
                      trigger: dict | None = None, publish: str | None = None) -> StreamingQuery:
     """L1 live: log of ``(day, terminal_id, last_beat_s)``, written in the batch
     in which a beat arrives (no wait for the watermark), so an open session
     and a device that has gone silent both show.  Read it with
     ``last_beats``; ``heartbeat.liveness_now`` tells who is alive."""
     beats = source if "value" not in source.columns else heartbeat_filter(source, terminal_ids)
-    beats = beats.withColumn("_local", _local(beats)).withWatermark("_local", watermark)
-    agg = beats.groupBy(F.window("_local", "1 day").alias("w"), "terminal_id").agg(
-        F.max(F.unix_timestamp("ts")).alias("last_beat_s"))
-    out = agg.select(_window_day(), "terminal_id", "last_beat_s")
+    beats = _bounded(beats.withColumn("_local", _local(beats)), "_local", watermark)
+    key = [F.window("_local", "1 day").alias("w"), "terminal_id"]
+
+    def latest(rows: DataFrame) -> DataFrame:
+        agg = rows.groupBy(*key).agg(F.max(F.unix_timestamp("ts")).alias("last_beat_s"))
+        return agg.select(_window_day(), "terminal_id", "last_beat_s")
+
+    out = latest(beats) if watermark else beats.select("_local", "terminal_id", "ts")
     spark = source.sparkSession
 
     def read(days: list) -> DataFrame:
         return last_beats(spark, path, days)
 
     own = Publisher(publish, "monitor", read, kv_from_last_beats) if publish else None
-    return _start(out, "last_beat", batch_log_writer(path, ["day"], own), "update", checkpoint, trigger)
+    return _start(out, "last_beat", batch_log_writer(path, ["day"], own, None if watermark else latest), "update",
+                  checkpoint, trigger)
 
 
 def last_beats(spark, path: str, days: list | None = None) -> DataFrame:
@@ -301,12 +320,6 @@ def _exists(spark, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def make_folder(spark, path: str) -> None:
-    """Create a folder in the store the path names, so that readers can open it."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
-
-
 def refuse_lost_checkpoint(spark, path: str, checkpoint: str) -> None:
     """A file sink numbers its batches by its checkpoint.  With output of an
     earlier run but no checkpoint, new batches would pass for old ones and be
@@ -357,10 +370,11 @@ def stream_land(messages: DataFrame, path: str, *, monitored: list[str] | DataFr
     return _append_files(dealt, "land", path, ["kind", "day"], checkpoint, trigger)
 
 
-def _landed_stream(spark, path: str, kind: str, max_files_per_trigger: int) -> DataFrame:
-    return (spark.readStream.format("parquet").schema(LANDED_SCHEMA)
-            .option("maxFilesPerTrigger", str(max_files_per_trigger)).load(path)
-            .where(F.col("kind") == kind))
+def _landed_stream(spark, path: str, kind: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.format("parquet").schema(LANDED_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path).where(F.col("kind") == kind)
 
 
 def landed_trips(spark, path: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
@@ -369,8 +383,11 @@ def landed_trips(spark, path: str, max_files_per_trigger: int = MAX_FILES_PER_TR
         "event_id", "line_no", "ts", *TRIP_COLUMNS)
 
 
-def landed_beats(spark, path: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Streaming read of the heartbeats that ``stream_land`` has committed."""
+def landed_beats(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of the heartbeats that ``stream_land`` has committed.
+
+    Without a limit a batch holds whole landing batches, as the sink's log lists their files
+    at once; a query with a watermark (sessions) must read it so."""
     return _landed_stream(spark, path, "beat", max_files_per_trigger).select("event_id", "ts", "terminal_id")
 
 
