@@ -8,6 +8,7 @@ Days are presented as ``yyyy-MM-dd`` text and times as epoch seconds.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +16,20 @@ from pyspark.sql import functions as F
 
 from tripmetrics.functions.parse import parse_lines, parse_trips, rejected_trips
 from tripmetrics.functions.timecols import epoch_s, time_buckets
-from tripmetrics.operators import daily, heartbeat, hourly, running, scores, serving
+from tripmetrics.operators import asof, daily, dedup, heartbeat, hourly, running, scores, serving
 from tripmetrics.schema import HOUR_CUT_EARLY_S, HOURLY_COLUMNS, TRIP_COLUMNS
-from tripmetrics.sources.fixtures import trip_messages, trip_payloads, versioned_cells, widecol_cells
+from tripmetrics.session import checkpoint_root
+from tripmetrics.sources.fixtures import (
+    counter_readings, retried_messages, trip_messages, trip_payloads, versioned_cells, widecol_cells)
 from tripmetrics.sources.messages import split_payloads
 from tripmetrics.sources.tables import read_events
-from tripmetrics.sources.widecol import widecol_count, widecol_project
+from tripmetrics.sources.widecol import key_range, read_cells, widecol_count, widecol_project, write_sorted
 
 # Terminal whose messages act as heartbeats in the fixture data.
 HEARTBEAT_TERMINAL = "7"
 MONITORED_TERMINALS = ["7", "8", "11"]
+# Row keys of the range scan: from 10 January, 06:00, up to 13 January.
+RANGE_START, RANGE_STOP = "202401100600", "20240113"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,6 +208,30 @@ def q_trip_rejects(spark, d):
     return rej.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rejects"))
 
 
+def q_payload_dedup(spark, d):
+    trips = parse_trips(dedup.first_copies(retried_messages(_messages(spark, d))))
+    return _day_text(daily.daily_totals(trips)).select("day", "n_trips", "mileage", "over_3g")
+
+
+def q_trip_liveness(spark, d):
+    messages = _messages(spark, d)
+    beats = heartbeat.heartbeat_filter(messages.where("event_id % 3 = 0"), MONITORED_TERMINALS)
+    trips = parse_trips(messages).select("event_id", "terminal_id", "ts")
+    return asof.trip_liveness(trips, beats).select(
+        "event_id", "terminal_id", epoch_s(F.col("last_beat")).alias("last_beat_s"), "alive")
+
+
+def q_reading_delta(spark, d):
+    readings = counter_readings(read_events(spark, d, ["event_id", "ts", "user_id"]))
+    return _day_text(asof.hourly_reading_deltas(readings))
+
+
+def q_widecol_range(spark, d):
+    path = f"{checkpoint_root(spark)}/widecol/{uuid.uuid4().hex}"
+    write_sorted(_cells(spark, d).withColumn("version", F.lit(1).cast("long")), path)
+    return widecol_project(key_range(read_cells(spark, path), RANGE_START, RANGE_STOP))
+
+
 QUERIES: dict[str, Query] = {
     "payload_lines": q_payload_lines,
     "trip_parse": q_trip_parse,
@@ -234,6 +263,10 @@ QUERIES: dict[str, Query] = {
     "heartbeat_multi": q_heartbeat_multi,
     "serving_kv": q_serving_kv,
     "trip_rejects": q_trip_rejects,
+    "payload_dedup": q_payload_dedup,
+    "trip_liveness": q_trip_liveness,
+    "reading_delta": q_reading_delta,
+    "widecol_range": q_widecol_range,
 }
 
 __all__ = ["QUERIES", "HEARTBEAT_TERMINAL", "HOURLY_COLUMNS"]

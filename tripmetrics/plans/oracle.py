@@ -323,3 +323,40 @@ FROM (SELECT *, CASE WHEN day_total > 0 THEN (20000 * n_trips + day_total) // (2
 
 
 ORACLE_SQL["serving_kv"] = _serving_sql()
+
+ORACLE_SQL["widecol_range"] = ORACLE_SQL["widecol_project"] + "\nHAVING row_key >= '202401100600' AND row_key < '20240113'"
+
+# The payload text depends on the event id through its remainders by 16 and 5.
+ORACLE_SQL["payload_dedup"] = f"""WITH {_TRIPS},
+sent AS (
+  SELECT f.* EXCLUDE (ts, event_id), f.event_id % 80 AS same, k, f.event_id * 4 + try AS event_id, f.ts + after * INTERVAL 1 SECOND AS ts
+  FROM f JOIN (SELECT event_id, k FROM e) USING (event_id)
+  JOIN (VALUES (0, 0, 1), (1, 40, 7), (2, 740, 21)) r(try, after, every_) ON f.event_id % every_ = 0
+),
+kept AS (
+  SELECT * FROM (
+    SELECT *, lag(ts) OVER (PARTITION BY terminal_id, mileage, k, same ORDER BY ts, event_id) AS before_ FROM sent)
+  WHERE before_ IS NULL OR ts - before_ > INTERVAL 600 SECOND
+)
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_trips, CAST(sum(mileage) AS BIGINT) AS mileage,
+       CAST(sum(over_3g) AS BIGINT) AS over_3g
+FROM kept GROUP BY 1"""
+
+ORACLE_SQL["trip_liveness"] = f"""WITH {_TRIPS},
+beats AS (
+  SELECT CAST(user_id AS VARCHAR) AS terminal_id, ts AS beat_ts FROM events WHERE event_id % 3 = 0 AND user_id IN (7, 8, 11)
+)
+SELECT event_id, f.terminal_id, CAST(epoch_us(beat_ts) // 1000000 AS BIGINT) AS last_beat_s,
+       coalesce(epoch_us(ts) - epoch_us(beat_ts) < 600000000, false) AS alive
+FROM f ASOF LEFT JOIN beats ON f.terminal_id = beats.terminal_id AND f.ts >= beats.beat_ts"""
+
+ORACLE_SQL["reading_delta"] = """WITH r AS (
+  SELECT event_id, user_id, ts, (CAST(epoch_us(ts) // 1000000 AS BIGINT) // 60 + user_id * 37) % 1000 AS reading
+  FROM events WHERE event_id % 3 <> 0
+), d AS (
+  SELECT ts, reading, lag(reading) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM r
+)
+SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n_readings,
+       count(*) FILTER (WHERE reading < was) AS resets,
+       CAST(sum(CASE WHEN was IS NULL THEN 0 WHEN reading < was THEN reading ELSE reading - was END) AS BIGINT) AS delta
+FROM d GROUP BY 1, 2"""

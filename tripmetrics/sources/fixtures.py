@@ -164,3 +164,21 @@ def versioned_cells(events: DataFrame) -> DataFrame:
         F.encode(F.date_format("bucket", "yyyyMMddHHmm"), "UTF-8").alias("row_key"), F.explode(cells).alias("c")
     ).select("row_key", F.lit(WIDECOL_FAMILY).alias("family"), F.col("c.q").alias("qualifier"),
              F.encode(F.col("c.v"), "UTF-8").alias("value"), F.col("c.version").alias("version"))
+
+
+def retried_messages(messages: DataFrame) -> DataFrame:
+    """Messages of a producer that retries: every seventh is sent again 40 seconds
+    later, every 21st once more 700 seconds after that, as records with ids of their own
+    (``4 * event_id`` and the number of the try)."""
+    tries = F.expr("CASE WHEN event_id % 21 = 0 THEN array(0, 40, 740) WHEN event_id % 7 = 0 THEN array(0, 40) ELSE array(0) END")
+    return messages.select("event_id", "ts", "value", F.posexplode(tries).alias("try", "after")).select(
+        (F.col("event_id") * 4 + F.col("try")).alias("event_id"),
+        (F.col("ts") + F.make_interval(secs=F.col("after"))).alias("ts"), "value")
+
+
+def counter_readings(events: DataFrame) -> DataFrame:
+    """Irregular cumulative readings ``(event_id, terminal_id, ts, reading)``: a counter per
+    user that grows by one a minute and begins again after 1,000, read at two of three events."""
+    reading = F.expr("CAST(pmod(unix_seconds(ts) div 60 + user_id * 37, 1000) AS BIGINT)")
+    return events.where("event_id % 3 != 0").select(
+        "event_id", F.col("user_id").cast("string").alias("terminal_id"), "ts", reading.alias("reading"))

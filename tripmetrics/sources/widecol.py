@@ -59,6 +59,26 @@ def widecol_project(cells: DataFrame, family: str = WIDECOL_FAMILY,
         *[decoders.get(q, utf8_text)(F.col(q)).alias(q) for q in quals])
 
 
+def write_sorted(cells: DataFrame, path: str, files: int | None = None) -> None:
+    """Lay a cell table out for range scans: files hold disjoint ranges of row
+    keys, sorted, so the least and greatest keys of files and row groups are narrow.  All cells
+    of a row key are in one file (a range never splits equal keys)."""
+    dealt = cells.repartitionByRange(files, "row_key") if files else cells.repartitionByRange("row_key")
+    dealt.sortWithinPartitions("row_key", "family", "qualifier").write.mode("overwrite").parquet(path)
+
+
+def key_range(cells: DataFrame, start: str | None = None, stop: str | None = None) -> DataFrame:
+    """S7/S8 over part of the table: the cells with ``start <= row_key < stop`` (UTF-8
+    bytes, null: open).  The bounds are plain comparisons with binary literals, so they
+    reach the Parquet row groups."""
+    rows = cells
+    if start is not None:
+        rows = rows.where(F.col("row_key") >= F.lit(bytearray(start.encode())))
+    if stop is not None:
+        rows = rows.where(F.col("row_key") < F.lit(bytearray(stop.encode())))
+    return rows
+
+
 def ensure_table(spark: SparkSession, name: str, schema=CELL_SCHEMA, path: str | None = None) -> bool:
     """Create the cell table if it does not exist; True when created."""
     if spark.catalog.tableExists(name):
