@@ -6,10 +6,10 @@ Columns are taken in one order for all sets, rare ones first (by a fixed number
 hashed counters; any order is right).  The first block of a set's columns is as
 long as its size asks for: a set of n items that is linked with any other shares
 one of its first n - ceil(n * percent / 100) + 1 columns with it.  The product of the
-first blocks is computed sparsely, column by column, for sets of near size.  The counts
-of a pair are added up over its columns; pairs whose first common column
-comes too late, or whose count with the most that the rest of the columns can add is below
-the overlap that their two sizes ask for, are discarded.  For the
+first blocks is computed sparsely, column by column, for sets of near size and columns that
+leave enough columns after them in both.  The counts of a pair are added up over these
+columns; pairs whose count with all that can follow is below the overlap that their two
+sizes ask for are discarded.  For the
 others the product over all columns is the size of the intersection of the full sets.
 
 A column of many sets is never squared.  Columns are cut into cells by size class
@@ -153,23 +153,18 @@ def _blocks(text_col: str, size: int, percent: int, counts: np.ndarray):
     return run
 
 
-def _near_size(percent: int) -> str:
-    return f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
+def _early(percent: int) -> str:
+    """Near sizes, and a common column so early in both sets that enough columns follow."""
+    least = need("na", "nb", percent)
+    return f"100 * least(na, nb) >= {percent} * greatest(na, nb) and pa <= na - {least} and pb <= nb - {least}"
 
 
 def _accumulated(pairs: DataFrame, percent: int) -> DataFrame:
-    """Add up a pair's columns and keep the pairs that can reach their overlap: the first
-    common column leaves enough columns in both sets, and the common ones
-    with the most that the columns after the first blocks can add are enough."""
-
-    def rest(n: str) -> str:
-        return f"(({percent} * {n} + 99) div 100 - 1)"
-
+    """Add up a pair's early columns and keep the pairs that can reach their overlap: the
+    columns met so far and all that follow the last of them in the shorter rest."""
     summed = pairs.groupBy("a", "b").agg(
-        F.first("na").alias("na"), F.first("nb").alias("nb"), F.min("pa").alias("pa"), F.min("pb").alias("pb"), F.count("*").alias("common"))
-    least = need("na", "nb", percent)
-    return summed.where(
-        f"pa <= na - {least} and pb <= nb - {least} and common + greatest({rest('na')}, {rest('nb')}) >= {least}").select("a", "b")
+        F.first("na").alias("na"), F.first("nb").alias("nb"), F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.count("*").alias("common"))
+    return summed.where(f"common + least(na - pa, nb - pb) - 1 >= {need('na', 'nb', percent)}").select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -304,7 +299,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cells = cut(cell.where("lo != hi or salt > 0").drop("lo", "hi", "hash"))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        found = cut(_accumulated(pairs.where(_near_size(percent)), percent))
+        found = cut(_accumulated(pairs.where(_early(percent)), percent))
         wanted = reps.join(found.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
         return cut(_confirmed(found, _sets_of(named, id_col, text_col, size, wanted), percent))
 
