@@ -21,16 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import id_long, id_text, mix
+from tripmetrics.llm.common import id_long, id_text, mix, ship_package
 from tripmetrics.llm.toxicity import held_out
 
 BITS = 13
 SIZES = 3
 CLUSTERS = 3
 FIT_ROWS = 1_500
+PARTS = 4
 ROUNDS = 12
 REJECTED = 0.005
 UNKNOWN = "und"
@@ -116,11 +117,14 @@ def train(docs: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, list[str],
     ).where("lang is not null and text is not null and doc_id is not null")
     known = known.where(~held_out("doc_id", 4, 2))
     idf = inverse_frequencies(known.select("text"))
-    shares = known.groupBy("lang").agg(F.count("*").alias("n"))
-    bound = F.expr(f"least({rows} / n, 1.0) * 4294967296")
-    chosen = known.join(shares.select("lang", bound.alias("bound")), "lang").where(
-        F.pmod(F.xxhash64("doc_id"), F.lit(4294967296)) < F.col("bound")
-    )
+    # ids are chosen without their texts: the first by hash of each language, ranked in parts so
+    # that a task sends on no more than it could place
+    ids = known.select("doc_id", "lang").distinct().withColumn("hash", F.xxhash64("doc_id"))
+    part = F.pmod("hash", F.lit(PARTS))
+    rank = F.row_number().over(Window.partitionBy("lang", part).orderBy("hash", "doc_id"))
+    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= -(-rows // PARTS)).select("doc_id", "lang")
+    # bounded: so many ids for each language; only the sample's texts move
+    sample = known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf[[has_letter(t) for t in pdf["text"]]].sort_values(["doc_id", "text"])
@@ -129,7 +133,7 @@ def train(docs: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, list[str],
         centre, floor = cluster(vectors(list(pdf["text"]), idf))
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centre": [c.tobytes() for c in centre], "floor": floor})
 
-    got = chosen.groupBy("lang").applyInPandas(run, "lang string, centre binary, floor double").collect()
+    got = sample.groupBy("lang").applyInPandas(run, "lang string, centre binary, floor double").collect()
     got.sort(key=lambda r: (r["lang"], bytes(r["centre"])))
     centres = np.array([np.frombuffer(bytes(r["centre"]), np.float32) for r in got], np.float32).reshape(len(got), 1 << BITS)
     return idf, [r["lang"] for r in got], centres, np.array([r["floor"] for r in got])
@@ -167,4 +171,5 @@ def predict(docs: DataFrame, model: tuple) -> DataFrame:
 
 
 def identify(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    ship_package(docs.sparkSession)
     return predict(docs, train(docs, rows))

@@ -30,7 +30,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmetrics.llm.common import cut, mix
@@ -122,6 +122,12 @@ def _blocks(seed: int):
     return block
 
 
+def _tie() -> Column:
+    """Tells rows of one id apart: by source and text."""
+    source = F.col("source").cast("string")
+    return F.xxhash64(F.coalesce(source, F.lit("")), source.isNull(), F.col("text").cast("string"))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -137,7 +143,7 @@ def mix_sources(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             F.expr(f"cast(coalesce(regexp_count(text, '{_WORD}'), 0) as long)").alias("size"),
-            F.xxhash64(F.col("text").cast("string")).alias("tie"),
+            _tie().alias("tie"),
         )
     )
     totals = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs")).collect()
@@ -211,20 +217,20 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         .selectExpr("doc_id", "tie", "src", "start", "lo", "hi", "explode(turns) as turn")
         .groupBy("doc_id", "tie", "src", "start", "turn")
         .agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("cuts"))
-        .groupBy(F.xxhash64("doc_id", "tie").alias("row"), F.col("doc_id").alias("id"))
-        .agg(F.collect_list("cuts").alias("passes"))
+        .groupBy(F.xxhash64("doc_id", "tie").alias("_mix_key"), F.col("doc_id").alias("_mix_id"))
+        .agg(F.collect_list("cuts").alias("_mix_passes"))
     )
-    tie = F.xxhash64(F.col("text").cast("string"))
-    texts = docs.withColumn("row", F.xxhash64(F.col("doc_id").cast("long"), tie)).dropDuplicates(["row", "doc_id"])
+    row = F.xxhash64(F.col("doc_id").cast("long"), _tie())
+    texts = docs.withColumn("_mix_row", row).dropDuplicates(["_mix_row", "doc_id"])
     # the words of a document, its spans joined back in the order of the text
     words = f"regexp_extract_all(text, '{_WORD}', 0)"
     text = (
-        f"case when aggregate(p, 0L, (n, c) -> n + c.hi - c.lo) = regexp_count(text, '{_WORD}') then text else "
-        f"array_join(flatten(transform(p, c -> slice({words}, int(c.lo) + 1, int(c.hi - c.lo)))), ' ') end"
+        f"case when aggregate(_mix_pass, 0L, (n, c) -> n + c.hi - c.lo) = regexp_count(text, '{_WORD}') then text else "
+        f"array_join(flatten(transform(_mix_pass, c -> slice({words}, int(c.lo) + 1, int(c.hi - c.lo)))), ' ') end"
     )
     return (
-        texts.join(cuts, (texts["row"] == cuts["row"]) & texts["doc_id"].eqNullSafe(cuts["id"]))
-        .withColumn("p", F.explode("passes"))
+        texts.join(cuts, (texts["_mix_row"] == cuts["_mix_key"]) & texts["doc_id"].eqNullSafe(cuts["_mix_id"]))
+        .withColumn("_mix_pass", F.explode("_mix_passes"))
         .withColumn("text", F.expr(text))
         .withColumn("n_chars", F.length("text").cast("long"))
         .select(*docs.columns)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import id_long, id_text, mix
+from tripmetrics.llm.common import id_long, id_text, mix, ship_package
 
 FIT_ROWS = 4_000
 BITS = 20
@@ -110,18 +110,19 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got, ys, ids = [], [], []
+        got, ys, ids = [], [], []  # one task holds the bounded sample
         for pdf in batches:
             for doc_id, text, toxic in zip(pdf["doc_id"], pdf["text"], pdf["toxic"], strict=True):
                 with np.errstate(over="ignore"):
                     got.append(features(text))
                 ys.append(toxic)
-                ids.append(doc_id)
-        order = np.argsort(ids, kind="stable")  # the fit must not depend on the order of arrival
+                ids.append((doc_id, text or ""))
+        order = sorted(range(len(ids)), key=ids.__getitem__)  # the fit must not depend on the order of arrival
         w, b = fit([got[k] for k in order], np.array(ys, float)[order])
         yield pd.DataFrame({"w": [w.tobytes()], "b": [b]})
 
-    row = sample.coalesce(1).mapInPandas(run, "w binary, b double").first()
+    # repartition, not coalesce: the scan and the join keep their tasks, only the sample moves
+    row = sample.repartition(1).mapInPandas(run, "w binary, b double").first()
     if row is None:
         return fit([], np.empty(0))
     return np.frombuffer(bytes(row["w"]), np.float32), row["b"]
@@ -150,4 +151,5 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    ship_package(docs.sparkSession)
     return score(docs, train(docs, labels, rows))
