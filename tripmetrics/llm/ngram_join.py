@@ -9,7 +9,8 @@ one of its first n - ceil(n * percent / 100) + 1 columns with it.  The product o
 first blocks is computed sparsely, column by column, for sets of near size and columns that
 leave enough columns after them in both.  The counts of a pair are added up over these
 columns; pairs whose count with all that can follow is below the overlap that their two
-sizes ask for are discarded.  For the
+sizes ask for are discarded, then those whose whole first blocks have too little in
+common.  For the
 others the product over all columns is the size of the intersection of the full sets.
 
 A column of many sets is never squared.  Columns are cut into cells by size class
@@ -167,6 +168,21 @@ def _accumulated(pairs: DataFrame, percent: int) -> DataFrame:
     return summed.where(f"common + least(na - pa, nb - pb) - 1 >= {need('na', 'nb', percent)}").select("a", "b")
 
 
+def _blocks_met(pairs: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose first blocks have so much in common that, with the most the
+    columns after them can add, the overlap can be reached.  ``blocks(node, n, grams)``
+    holds the shared columns; others are of one set."""
+    left = blocks.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("grams").alias("xs"))
+    right = blocks.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("ys"))
+    common = F.size(F.array_intersect("xs", "ys")).alias("common")
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", common)
+
+    def rest(n: str) -> str:
+        return f"(({percent} * {n} + 99) div 100 - 1)"
+
+    return met.where(f"common + greatest({rest('na')}, {rest('nb')}) >= {need('na', 'nb', percent)}").select("a", "b")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that are linked: the product over all their columns."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("xs"))
@@ -298,9 +314,12 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "min(node) over (partition by gram, salt) as lo", "max(node) over (partition by gram, salt) as hi")
     cells = cut(cell.where("lo != hi or salt > 0").drop("lo", "hi", "hash"))
 
+    blocks = cells.groupBy("node").agg(F.first("n").alias("n"), F.collect_list("gram").alias("grams"))
+
     def linked(pairs: DataFrame) -> DataFrame:
-        found = cut(_accumulated(pairs.where(_early(percent)), percent))
-        wanted = reps.join(found.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+        early = cut(_accumulated(pairs.where(_early(percent)), percent))
+        found = cut(_blocks_met(early, blocks, percent))
+        wanted = cut(reps.join(found.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"))
         return cut(_confirmed(found, _sets_of(named, id_col, text_col, size, wanted), percent))
 
     links, held = linked(_star_pairs(cells)), cells
