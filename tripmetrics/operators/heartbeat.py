@@ -68,6 +68,21 @@ def heartbeat_outages(beats: DataFrame, ttl_s: int = HEARTBEAT_TTL_MAIN_S) -> Da
         (F.col("next_s") - F.col("last_s") - ttl_s).alias("outage_s"))
 
 
+def heartbeat_runs(beats: DataFrame, ttl_s: int = HEARTBEAT_TTL_MAIN_S) -> DataFrame:
+    """L3: the times a device was alive, ``(terminal_id, first_beat_s, last_beat_s,
+    expired_s)``: beats at most a TTL apart are one run, and the key expires a TTL after
+    the last of them.  Runs are cut on buckets of a TTL's width, as outages are."""
+    sec = beats.select("terminal_id", epoch_s(F.col("ts")).alias("s")).where(F.col("s").isNotNull())
+    per_bucket = sec.groupBy("terminal_id", F.floor(F.col("s") / ttl_s).alias("bucket")).agg(
+        F.min("s").alias("first_s"), F.max("s").alias("last_s"))
+    w = Window.partitionBy("terminal_id").orderBy("bucket")
+    begins = F.coalesce(F.col("first_s") - F.lag("last_s").over(w) > ttl_s, F.lit(True))
+    numbered = per_bucket.withColumn("_new", begins.cast("int")).withColumn("_run", F.sum("_new").over(w))
+    runs = numbered.groupBy("terminal_id", "_run").agg(
+        F.min("first_s").alias("first_beat_s"), F.max("last_s").alias("last_beat_s"))
+    return runs.select("terminal_id", "first_beat_s", "last_beat_s", (F.col("last_beat_s") + ttl_s).alias("expired_s"))
+
+
 def heartbeat_status(beats: DataFrame, ttl_s: int = HEARTBEAT_TTL_MAIN_S) -> DataFrame:
     """L3: is the liveness key alive at the end of each hour?
 

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tripmetrics.functions.parse import parse_lines, parse_trips, rejected_trips
 from tripmetrics.functions.timecols import epoch_s, time_buckets
-from tripmetrics.operators import asof, daily, dedup, heartbeat, hourly, running, scores, serving
+from tripmetrics.operators import (
+    asof, audience, daily, dedup, heartbeat, hourly, running, running_log, scores, serving)
 from tripmetrics.schema import HOUR_CUT_EARLY_S, HOURLY_COLUMNS, TRIP_COLUMNS
 from tripmetrics.session import checkpoint_root
 from tripmetrics.sources.fixtures import (
@@ -232,6 +233,30 @@ def q_widecol_range(spark, d):
     return widecol_project(key_range(read_cells(spark, path), RANGE_START, RANGE_STOP))
 
 
+def q_heartbeat_runs(spark, d):
+    return heartbeat.heartbeat_runs(heartbeat.heartbeat_filter(_messages(spark, d), MONITORED_TERMINALS))
+
+
+def q_drivers_trailing_week(spark, d):
+    trips, days = _trips_and_days(spark, d)
+    root = f"{checkpoint_root(spark)}/audience/{uuid.uuid4().hex}"
+    seen = trips.select("terminal_id", "ts")
+    audience.terminal_numbers(seen).write.parquet(f"{root}/numbers")
+    audience.day_bitmaps(seen, spark.read.parquet(f"{root}/numbers")).write.parquet(f"{root}/bitmaps")
+    ranges = audience.trailing_days(days, 7)
+    return _day_text(audience.range_drivers(spark.read.parquet(f"{root}/bitmaps"), ranges))
+
+
+def q_running_incremental(spark, d):
+    """Every trip is appended: most at once, then a batch of trips that come late."""
+    trips = _trips(spark, d)
+    root = f"{checkpoint_root(spark)}/running/{uuid.uuid4().hex}"
+    late = F.expr("CAST(terminal_id AS BIGINT) % 2 = 1 AND event_id % 5 = 0")
+    for batch_id, part in enumerate((trips.where(~late), trips.where(late))):
+        running_log.append_trips(part, root, batch_id)
+    return _day_text(running_log.running_between(spark, root)).drop("line_no", "ts")
+
+
 QUERIES: dict[str, Query] = {
     "payload_lines": q_payload_lines,
     "trip_parse": q_trip_parse,
@@ -267,6 +292,9 @@ QUERIES: dict[str, Query] = {
     "trip_liveness": q_trip_liveness,
     "reading_delta": q_reading_delta,
     "widecol_range": q_widecol_range,
+    "heartbeat_runs": q_heartbeat_runs,
+    "drivers_trailing_week": q_drivers_trailing_week,
+    "running_incremental": q_running_incremental,
 }
 
 __all__ = ["QUERIES", "HEARTBEAT_TERMINAL", "HOURLY_COLUMNS"]

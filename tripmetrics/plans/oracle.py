@@ -360,3 +360,21 @@ SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(hour(ts) AS INTEGER) AS hour, count
        count(*) FILTER (WHERE reading < was) AS resets,
        CAST(sum(CASE WHEN was IS NULL THEN 0 WHEN reading < was THEN reading ELSE reading - was END) AS BIGINT) AS delta
 FROM d GROUP BY 1, 2"""
+
+ORACLE_SQL["heartbeat_runs"] = """WITH b AS (
+  SELECT CAST(user_id AS VARCHAR) AS terminal_id, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS s
+  FROM events WHERE user_id IN (7, 8, 11)
+), marked AS (
+  SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY terminal_id ORDER BY s) <= 600 THEN 0 ELSE 1 END AS begins FROM b
+), numbered AS (
+  SELECT *, sum(begins) OVER (PARTITION BY terminal_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS run FROM marked
+)
+SELECT terminal_id, min(s) AS first_beat_s, max(s) AS last_beat_s, max(s) + 600 AS expired_s
+FROM numbered GROUP BY terminal_id, run"""
+
+ORACLE_SQL["drivers_trailing_week"] = f"""WITH {_TRIPS}, {_DAYS}
+SELECT days.day, count(DISTINCT terminal_id) AS drivers
+FROM days LEFT JOIN f ON CAST(f.ts AS DATE) BETWEEN CAST(days.day AS DATE) - 6 AND CAST(days.day AS DATE)
+GROUP BY days.day"""
+
+ORACLE_SQL["running_incremental"] = ORACLE_SQL["running_totals"]
