@@ -18,7 +18,8 @@ and, where the counters say that one is hot, by salt; the first ``HUBS`` sets of
 one hashed order, are its hubs.  A first product takes hubs against members only, and
 what it links becomes a class.  Another round takes hubs of a column's largest class
 against the sets outside it.  In the last product only sets that are still outside
-the largest class ask, and no pair within a class is listed.  So a group of near copies
+the largest class ask, and no pair within a class is listed.  In both, sets whose parities
+(``_parities``) differ in more bits than linked sets of their sizes differ in items do not meet.  So a group of near copies
 costs a few rows per member, and columns of up to ``HUBS`` sets are multiplied whole at once.
 
 Equal sets are one row of the matrix.  Sets are told apart by a 64-bit hash, as
@@ -47,6 +48,7 @@ CELL = 50_000
 HUBS = 16
 ROUNDS = 1
 BITS = 1 << 25
+PARITY_WORDS = 8
 _WORD = 1 << 15
 _COLUMN = "gram long, salt int, cls int, node long, n int, pos int"
 
@@ -60,6 +62,17 @@ def _texts_to_sets(pdf: pd.DataFrame, text_col: str, size: int, words: Tokeniser
         yield lo, shingle_sets(pdf[text_col].iloc[lo:hi], size, words)
 
 
+def _parities(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Per set ``64 * PARITY_WORDS`` bits: is the number of its items in each hashed class odd?
+    Two sets that differ in d items differ in d bits at most."""
+    bits = 64 * PARITY_WORDS
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    with np.errstate(over="ignore"):
+        at = (mix(np.concatenate(sets) + np.uint64(1)) % np.uint64(bits)).astype(np.int64) if len(owner) else owner
+    odd = (np.bincount(owner * bits + at, minlength=len(sets) * bits) & 1).astype(np.uint8)
+    return list(np.packbits(odd.reshape(len(sets), bits), axis=1).view(np.int64))
+
+
 def _described(id_col: str, text_col: str, size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Tokeniser()
@@ -70,6 +83,7 @@ def _described(id_col: str, text_col: str, size: int):
                         id_col: pdf[id_col].iloc[lo : lo + len(sets)].array,
                         "n_shingles": np.array([len(s) for s in sets], np.int64),
                         "node": pd.array([_digest(s) if len(s) else None for s in sets], dtype="Int64"),
+                        "parity": _parities(sets),
                     }
                 )
 
@@ -244,8 +258,16 @@ def _rank(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("node"))
 
 
-def _entry(name: str) -> Column:
-    return F.struct("node", "n", "pos").alias(name)
+def _entry(name: str, *more: str) -> Column:
+    return F.struct("node", "n", "pos", *more).alias(name)
+
+
+def _can_link(percent: int) -> str:
+    """Near sizes, and no more unequal parities than linked sets of these sizes have items
+    that only one of them holds."""
+    unequal = " + ".join(f"bit_count(x.parity[{k}] ^ y.parity[{k}])" for k in range(PARITY_WORDS))
+    return (f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and "
+            f"{unequal} <= x.n + y.n - 2 * {need('x.n', 'y.n', percent)}")
 
 
 def _star_pairs(cells: DataFrame) -> DataFrame:
@@ -260,11 +282,12 @@ def _star_pairs(cells: DataFrame) -> DataFrame:
     return inner.select(*_pair("x", "y")).union(outer.select(*_pair("x", "y")))
 
 
-def _largest_class_pairs(held: DataFrame, seed: int) -> DataFrame:
+def _largest_class_pairs(held: DataFrame, seed: int, percent: int) -> DataFrame:
     """Some sets of a column's largest class against all sets outside it."""
     order = Window.partitionBy("gram").orderBy(_rank(seed), "node")
     hubs = held.where("label = top").withColumn("rank", F.row_number().over(order)).where(f"rank <= {HUBS}")
-    return held.where("label != top").select("gram", _entry("y")).join(hubs.select("gram", _entry("x")), "gram").select(*_pair("x", "y"))
+    outside = held.where("label != top").select("gram", _entry("y", "parity"))
+    return outside.join(hubs.select("gram", _entry("x", "parity")), "gram").where(_can_link(percent)).select(*_pair("x", "y"))
 
 
 def _labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -273,7 +296,8 @@ def _labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _open_cells(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Cells of columns that hold several classes, with the largest class of each."""
+    """Cells of columns that hold several classes, with the largest class of each
+    and the parities of the sets (``labels(node, label, parity)``)."""
     held = cells.select("gram", "cls", "node", "n", "pos").join(labels, "node")
     by_label = held.groupBy("gram", "label").agg(F.count("*").alias("c"))
     tops = (
@@ -289,12 +313,12 @@ def _class_pairs(held: DataFrame, percent: int) -> DataFrame:
     """The columns' products between classes: who is outside a column's largest
     class asks the sets of its size class and the next ones."""
     asks = held.where("label != top").select(
-        "gram", F.struct("node", "n", "pos").alias("x"), F.col("label").alias("lx"),
+        "gram", _entry("x", "parity"), F.col("label").alias("lx"),
         F.explode(F.expr("sequence(cls - 1, cls + 1)")).alias("cls"))
-    answers = held.select("gram", "cls", F.struct("node", "n", "pos").alias("y"), F.col("label").alias("ly"), F.expr("label = top").alias("largest"))
+    answers = held.select("gram", "cls", _entry("y", "parity"), F.col("label").alias("ly"), F.expr("label = top").alias("largest"))
     # two sets that both ask meet once
     met = asks.join(answers, ["gram", "cls"]).where(
-        f"lx != ly and (largest or x.node < y.node) and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+        f"lx != ly and (largest or x.node < y.node) and {_can_link(percent)}")
     return met.select(*_pair("x", "y"))
 
 
@@ -302,9 +326,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(id_col, n_shingles, component_id)`` per row of ``docs``."""
     ship_package(docs.sparkSession)
     own = docs.select(id_text(id_col), F.col(text_col).cast("string").alias(text_col))
-    base = cut(id_long(own.mapInPandas(_described(id_col, text_col, size), f"{id_col} string, n_shingles long, node long"), id_col))
+    base = cut(id_long(own.mapInPandas(_described(id_col, text_col, size), f"{id_col} string, n_shingles long, node long, parity array<long>"), id_col))
     named = own.where(F.col(id_col).isNotNull())
-    reps = base.where(F.col("node").isNotNull() & F.col(id_col).isNotNull()).groupBy("node").agg(F.min(id_col).alias("id"))
+    described = base.where(F.col("node").isNotNull() & F.col(id_col).isNotNull())
+    reps = described.groupBy("node").agg(F.min(id_col).alias("id"))
+    parities = described.select("node", "parity").dropDuplicates(["node"])
     counts = column_counts(named, text_col, size)
     entries = named.select(text_col).mapInPandas(_blocks(text_col, size, percent, counts), _COLUMN)
     # equal sets fall together here; a column of one set is of no use
@@ -324,9 +350,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     links, held = linked(_star_pairs(cells)), cells
     for seed in range(1, ROUNDS + 1):
-        held = cut(_open_cells(held, _labelled(held.select("node").distinct(), links)))
-        links = links.union(linked(_largest_class_pairs(held, seed)))
-    held = cut(_open_cells(held, _labelled(held.select("node").distinct(), links)))
+        held = cut(_open_cells(held, _labelled(held.select("node").distinct(), links).join(parities, "node")))
+        links = links.union(linked(_largest_class_pairs(held, seed, percent)))
+    held = cut(_open_cells(held, _labelled(held.select("node").distinct(), links).join(parities, "node")))
     links = links.union(linked(_class_pairs(held, percent)))
     found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     rooted = reps.join(found, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
