@@ -48,7 +48,7 @@ CELL = 50_000
 HUBS = 16
 ROUNDS = 1
 BITS = 1 << 25
-PARITY_WORDS = 8
+PARITY_WORDS = 4
 _WORD = 1 << 15
 _COLUMN = "gram long, salt int, cls int, node long, n int, pos int"
 
