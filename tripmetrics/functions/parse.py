@@ -70,7 +70,6 @@ def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     read from it.  Expressions are SQL text: one call into the JVM per
     stage instead of one per column operator.
     """
-    keep = [f"`{c}`" for c in lines.columns]
     outer = lines.selectExpr("*", f"{_sql_from_json(f'`{line_col}`', OUTER_SCHEMA)} AS {_O}")
     events = outer.selectExpr(
         "*",
@@ -79,6 +78,13 @@ def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
         f"{_sql_from_json(f'{_O}.{JSON_TURN}', TURN_SCHEMA)} AS {_T}",
         f"{_sql_from_json(f'{_O}.{JSON_OVERSPEED}', SCORE_SCHEMA)} AS {_OV}",
         f"{_sql_from_json(f'{_O}.{JSON_TIRED}', SCORE_SCHEMA)} AS {_TI}")
+    return typed_lines(events, lines.columns)
+
+
+def typed_lines(events: DataFrame, columns: list[str]) -> DataFrame:
+    """Typed trip columns and ``reject_reason`` from the parsed objects of a line: the outer
+    object and the five event objects as structs of text (null: no such object).  Keeps ``columns``."""
+    keep = [f"`{c}`" for c in columns]
     sub_names = {"control_score": JSON_SUBSCORES[0], "economy_score": JSON_SUBSCORES[1],
                  "focus_score": JSON_SUBSCORES[2], "road_score": JSON_SUBSCORES[3],
                  "envir_score": JSON_SUBSCORES[4]}

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from tripmetrics.functions.parse import parse_lines, parse_trips, rejected_trips
 from tripmetrics.functions.timecols import epoch_s, time_buckets
+from tripmetrics.functions.variants import ParseRules, raw_lines, variant_trips
 from tripmetrics.operators import (
-    asof, audience, daily, dedup, heartbeat, hourly, running, running_log, scores, serving)
+    asof, audience, daily, dedup, heartbeat, hourly, repair, running, running_log, scores, serving)
 from tripmetrics.schema import HOUR_CUT_EARLY_S, HOURLY_COLUMNS, TRIP_COLUMNS
 from tripmetrics.session import checkpoint_root
 from tripmetrics.sources.fixtures import (
-    counter_readings, retried_messages, trip_messages, trip_payloads, versioned_cells, widecol_cells)
+    counter_readings, drifted_messages, retried_messages, trip_messages, trip_payloads, versioned_cells, widecol_cells)
 from tripmetrics.sources.messages import split_payloads
 from tripmetrics.sources.tables import read_events
 from tripmetrics.sources.widecol import key_range, read_cells, widecol_count, widecol_project, write_sorted
@@ -257,6 +258,29 @@ def q_running_incremental(spark, d):
     return _day_text(running_log.running_between(spark, root)).drop("line_no", "ts")
 
 
+# Rules that know the mileage's second name and the firmware's build number.
+DRIFT_RULES = ParseRules(2, {"mileage": ("mileageKm",)}, {"firmware_build": ("$.firmware.build", "bigint")})
+
+
+def q_trip_variant(spark, d):
+    """Messages of mixed firmware, landed as variants before the rules that read them."""
+    path = f"{checkpoint_root(spark)}/raw/{uuid.uuid4().hex}"
+    raw_lines(drifted_messages(_events(spark, d))).write.parquet(path)
+    return variant_trips(spark.read.parquet(path), DRIFT_RULES).select(
+        "event_id", "line_no", *TRIP_COLUMNS, *DRIFT_RULES.extra)
+
+
+def q_trip_repair(spark, d):
+    """Damaged messages, their rejects repaired from corrected lines, in two runs that overlap."""
+    path = f"{checkpoint_root(spark)}/repaired/{uuid.uuid4().hex}"
+    spark.createDataFrame([], repair.REPAIRED_SCHEMA).write.parquet(path)
+    dirty = _messages(spark, d, dirty=True)
+    corrected = split_payloads(_messages(spark, d)).select("event_id", "line_no", "line")
+    for part in (corrected.where("event_id % 2 = 0"), corrected):
+        repair.repair(rejected_trips(dirty), path, ParseRules(), part)
+    return repair.with_repairs(parse_trips(dirty), repair.read_repaired(spark, path)).drop("ts")
+
+
 QUERIES: dict[str, Query] = {
     "payload_lines": q_payload_lines,
     "trip_parse": q_trip_parse,
@@ -295,6 +319,8 @@ QUERIES: dict[str, Query] = {
     "heartbeat_runs": q_heartbeat_runs,
     "drivers_trailing_week": q_drivers_trailing_week,
     "running_incremental": q_running_incremental,
+    "trip_variant": q_trip_variant,
+    "trip_repair": q_trip_repair,
 }
 
 __all__ = ["QUERIES", "HEARTBEAT_TERMINAL", "HOURLY_COLUMNS"]

@@ -118,6 +118,19 @@ SELECT event_id, 0 AS line_no, mileage, terminal_id, acce_times, acce_score, dec
        control_score, economy_score, focus_score, road_score, envir_score
 FROM f""",
 
+    "trip_variant": f"""WITH {_TRIPS}
+SELECT event_id, 0 AS line_no, mileage, terminal_id, acce_times, acce_score, dece_times, dece_score,
+       turn_times, turn_score, overspeed_score, tired_score, acce_over_3g, dece_over_3g,
+       control_score, economy_score, focus_score, road_score, envir_score,
+       CASE WHEN event_id % 3 <> 0 THEN event_id % 7 END AS firmware_build
+FROM f""",
+
+    "trip_repair": f"""WITH {_TRIPS}
+SELECT event_id, 0 AS line_no, mileage, terminal_id, acce_times, acce_score, dece_times, dece_score,
+       turn_times, turn_score, overspeed_score, tired_score, acce_over_3g, dece_over_3g,
+       control_score, economy_score, focus_score, road_score, envir_score
+FROM f""",
+
     "heartbeat_filter": f"""WITH {_BEATS}
 SELECT event_id, terminal_id, s AS epoch_s FROM beats""",
 

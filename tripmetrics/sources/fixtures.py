@@ -182,3 +182,11 @@ def counter_readings(events: DataFrame) -> DataFrame:
     reading = F.expr("CAST(pmod(unix_seconds(ts) div 60 + user_id * 37, 1000) AS BIGINT)")
     return events.where("event_id % 3 != 0").select(
         "event_id", F.col("user_id").cast("string").alias("terminal_id"), "ts", reading.alias("reading"))
+
+
+def drifted_messages(events: DataFrame) -> DataFrame:
+    """Trip messages of mixed firmware: every third names the mileage ``mileageKm`` and
+    every message but these has a field ``firmware`` with an object ``{"build": n}``."""
+    drift = ("CASE WHEN event_id % 3 = 0 THEN replace(_json, '\"mileage\":', '\"mileageKm\":') "
+             "ELSE concat('{\"firmware\":{\"build\":', CAST(event_id % 7 AS STRING), '},', substring(_json, 2)) END")
+    return with_trip_json(events).selectExpr("event_id", "ts", f"concat({drift}, '\r\n') AS value")
