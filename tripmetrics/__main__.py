@@ -18,6 +18,7 @@ import argparse
 import sys
 
 from tripmetrics import jobs
+from tripmetrics.functions.variants import ParseRules
 from tripmetrics.schema import HEARTBEAT_TTL_MAIN_S, HEARTBEAT_TTL_MONITOR_S
 from tripmetrics.session import build_session
 from tripmetrics.sources.messages import message_stream
@@ -38,6 +39,14 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         s.add_argument("--job", default=name,
                        help="job name: its stream checkpoints live under <spark.checkpoint.dir>/jobs/<job>")
+        if name == "live":
+            s.add_argument("--expiry", action="store_true", help="write a row when a device falls silent")
+    r = sub.add_parser("repair")
+    r.add_argument("--out", required=True, help="output root of the live job")
+    r.add_argument("--corrections", help="parquet folder of corrected lines (event_id, line_no, line)")
+    r.add_argument("--version", type=int, default=1, help="version of the parse rules")
+    r.add_argument("--name", action="append", default=[], metavar="FIELD=OTHER",
+                   help="another name of a JSON field, e.g. mileage=mileageKm")
     w = sub.add_parser("widecol")
     w.add_argument("--cells", required=True)
     w.add_argument("--to", help="where to write the projection (default: print every row)")
@@ -64,6 +73,14 @@ def main(argv: list[str] | None = None) -> int:
             for row in projection.toLocalIterator():
                 print("\t".join("" if v is None else str(v) for v in row))
         return 0
+    if args.command == "repair":
+        names: dict[str, tuple[str, ...]] = {}
+        for pair in args.name:
+            field, _, other = pair.partition("=")
+            names[field] = (*names.get(field, ()), other)
+        corrections = spark.read.parquet(args.corrections) if args.corrections else None
+        jobs.repair_rejects(spark, args.out, ParseRules(args.version, names), corrections)
+        return 0
     if args.command == "compact":
         jobs.compact(spark, args.out, args.before)
         return 0
@@ -77,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
     trigger = {"availableNow": True} if args.available_now else None
     if args.command == "live":
         queries = list(jobs.live_job(spark, messages, args.out, monitored=args.monitor or None,
-                                     ttl_s=args.ttl, trigger=trigger, job=args.job).values())
+                                     ttl_s=args.ttl, expiry=args.expiry, trigger=trigger, job=args.job).values())
     else:
         if not args.monitor:
             raise SystemExit("monitor needs --monitor ID")

@@ -35,6 +35,7 @@ from tripmetrics.functions.parse import parse_lines, parse_trips
 from tripmetrics.functions.scoring import score_bucket, trip_score
 from tripmetrics.operators.daily import COUNTER_COLUMNS, counter_aggs, trip_facts
 from tripmetrics.operators.heartbeat import heartbeat_filter
+from tripmetrics.operators.repair import REPAIRED_SCHEMA
 from tripmetrics.schema import HEARTBEAT_TTL_MAIN_S, TRIGGER_INTERVAL, TRIP_COLUMNS, TRIP_FIELDS
 from tripmetrics.session import checkpoint_root
 from tripmetrics.sources.messages import split_payloads
@@ -383,6 +384,13 @@ def landed_trips(spark, path: str, max_files_per_trigger: int = MAX_FILES_PER_TR
         "event_id", "line_no", "ts", *TRIP_COLUMNS)
 
 
+def repaired_trips(spark, path: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Streaming read of the repaired trips (``operators.repair``)."""
+    return (spark.readStream.format("parquet").schema(REPAIRED_SCHEMA)
+            .option("maxFilesPerTrigger", str(max_files_per_trigger)).load(path).select(
+                "event_id", "line_no", "ts", *TRIP_COLUMNS))
+
+
 def landed_beats(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of the heartbeats that ``stream_land`` has committed.
 
