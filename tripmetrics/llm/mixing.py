@@ -4,16 +4,18 @@ The words of a source, its documents in a fixed pseudorandom order, form one
 stream that is cut into blocks of ``block_words`` (the last one may be shorter).
 Targets share the words of all sources by weight; a target stops at ``cap``
 times its source's size and the excess is shared again by weight.  A source
-gets as many output slots as blocks of its mean length meet its target.  Each
-output shard draws how many of its slots go to which source: a multinomial draw
-with the remaining slots as weights, cut at what remains and drawn again for the
-rest, so that all shards together give every source exactly its slots.  Slot j of
+gets as many output slots as blocks of its mean length meet its target.  How many
+slots of an output shard go to which source is drawn down a tree over the shards: a
+range of shards draws what its first half holds, a multinomial draw with its slots as weights,
+cut at what there is and drawn again for the rest, and the other half has what remains.  So
+all shards together give every source exactly its slots, and each task draws its own
+shards from the root down: no list of shards exists anywhere.  Slot j of
 a source takes block perm(j mod n) of its n blocks, where perm is a keyed
 Feistel permutation for the pass j div n: within a pass no block repeats, so no
 document is taken more than ``cap`` times.  Slots and blocks are joined by index.
 
-Everything is seeded, so runs agree.  The order inside a source comes from
-slices of hashed ids, whose running sums need no task to see a whole source.
+Everything is seeded, so runs agree.  The order inside a source is that of hashed ids (without
+an id, of source and text); running sums over slices of the hashes need no task to see a whole source.
 Only the table of sources (name, size) comes to the driver.
 
 Null text counts as empty; a document without words has nothing to take.
@@ -39,9 +41,10 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 BLOCK_WORDS = 128
 SHARD_BLOCKS = 65_536
-_SLICES = 1024
+_SLICE_BITS = 10
 _BROADCAST_ROWS = 10_000
 _TASK_SLOTS = 200_000
+_TASK_SHARDS = 16
 _WORD = r"[^\\x20\\x09-\\x0D]+"
 
 
@@ -76,21 +79,49 @@ def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return out
 
 
-def shard_counts(slots: list[int], shard_blocks: int, seed: int) -> Iterator[np.ndarray]:
-    """Slots of each source in each output shard."""
-    left = np.array(slots, np.int64)
-    shard = 0
-    while left.sum():
-        rng = np.random.default_rng([seed, shard])
-        counts = np.zeros(len(left), np.int64)
-        short = int(min(shard_blocks, left.sum()))
-        while short:
-            rest = left - counts
-            counts += np.minimum(rng.multinomial(short, rest / rest.sum()), rest)
-            short = int(min(shard_blocks, left.sum()) - counts.sum())
-        left -= counts
-        shard += 1
-        yield counts
+def _draw(have: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """n slots drawn from ``have``: multinomial, cut at what there is and drawn again for the rest."""
+    counts = np.zeros(len(have), np.int64)
+    while short := int(n - counts.sum()):
+        rest = have - counts
+        counts += np.minimum(rng.multinomial(short, rest / rest.sum()), rest)
+    return counts
+
+
+def shard_counts(
+    slots: list[int], shard_blocks: int, seed: int, low: int = 0, high: int | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(shard, slots of each source, slots of each source in earlier shards)`` of the output shards
+    ``low`` to ``high`` - 1.  Draws form a tree over the shards: a range of shards draws what
+    its first half holds, the second half has the rest.  A draw depends on the seed and its range alone, so any part
+    of the tree can be walked by itself."""
+    n = -(-sum(slots) // shard_blocks)
+    high = n if high is None else high
+    none = np.zeros(len(slots), np.int64)
+    todo = [(0, n, np.array(slots, np.int64), none)] if n else []
+    while todo:
+        a, b, have, before = todo.pop()
+        if b <= low or a >= high:
+            continue
+        if b - a == 1:
+            yield a, have, before
+            continue
+        mid = (a + b) // 2
+        first = _draw(have, (mid - a) * shard_blocks, np.random.default_rng([seed, a, b]))
+        todo += [(mid, b, have - first, before + first), (a, mid, first, before)]
+
+
+def _drawn_shards(slots: list[int], n_blocks: list[int], shard_blocks: int, seed: int):
+    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for low in pdf["id"]:
+                for shard, counts, before in shard_counts(slots, shard_blocks, seed, low, low + _TASK_SHARDS):
+                    src = np.flatnonzero(counts)
+                    yield pd.DataFrame(
+                        {"shard": shard, "src": src, "n_blocks": np.array(n_blocks)[src], "first": before[src], "count": counts[src]}
+                    )
+
+    return drawn
 
 
 def permute(place: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -159,16 +190,18 @@ def mix_sources(
         "src int, source string, source_size long, target double, n_blocks long",
     )
     small = F.broadcast(table) if len(totals) <= _BROADCAST_ROWS else table
-    n_slices = max(_SLICES, 1 << max(0, sum(r["docs"] for r in totals) // 100_000).bit_length())
+    # slices are cuts of the order by hash, so their number changes no result
+    bits = max(_SLICE_BITS, (sum(r["docs"] for r in totals) // 100_000).bit_length())
+    place = f"xxhash64(doc_id, {seed}, case when doc_id is null then tie end)"
 
     named = sized.join(small.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))).select(
-        "doc_id", "size", "tie", "src", "source_size", "target", F.expr(f"pmod(xxhash64(doc_id, {seed}), {n_slices})").alias("slice")
-    )
+        "doc_id", "size", "tie", "src", "source_size", "target", F.expr(place).alias("place")
+    ).withColumn("slice", F.expr(f"shiftright(place, {64 - bits})"))
     filled = named.where("size > 0")
     parts = filled.groupBy("src", "slice").agg(F.sum("size").alias("part"))
     bases = parts.selectExpr("src", "slice", "sum(part) over (partition by src order by slice) - part as base")
     placed = filled.selectExpr(
-        "*", "sum(size) over (partition by src, slice order by doc_id, tie rows unbounded preceding) - size as own"
+        "*", "sum(size) over (partition by src, slice order by place, doc_id, tie rows unbounded preceding) - size as own"
     ).join(bases, ["src", "slice"]).selectExpr("doc_id", "tie", "size", "src", "source_size", "target", "base + own as start")
     pieces = placed.selectExpr(
         "*", f"explode(sequence(start div {block_words}, (start + size - 1) div {block_words})) as block"
@@ -178,13 +211,11 @@ def mix_sources(
         f"least((block + 1) * {block_words} - start, size) as hi",
     )
 
-    at = [0] * len(slots)
-    plan = []
-    for shard, counts in enumerate(shard_counts(slots, shard_blocks, seed)):
-        for k in np.flatnonzero(counts):
-            plan.append((shard, int(k), n_blocks[k], at[k], int(counts[k])))
-            at[k] += int(counts[k])
-    drawn = spark.createDataFrame(plan, "shard int, src int, n_blocks long, first long, count long")
+    n_shards = -(-sum(slots) // shard_blocks)
+    ranges = spark.range(0, n_shards, _TASK_SHARDS, max(1, -(-n_shards // _TASK_SHARDS)))
+    drawn = ranges.mapInPandas(
+        _drawn_shards(slots, n_blocks, shard_blocks, seed), "shard long, src int, n_blocks long, first long, count long"
+    )
     # a shard's slots are listed in steps, so that no one task lists a large share
     step = 4096
     steps = drawn.selectExpr("*", f"explode(sequence(0L, count - 1, {step}L)) as skip").repartition(
