@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import ensure_checkpoint_dir, read_table
+from tripmetrics.llm.common import cut, ensure_checkpoint_dir, read_table
 from tripmetrics.llm.minhash import near_duplicates
 from tripmetrics.llm.mixing import mixed_documents
 from tripmetrics.llm.quality import learn_rules, text_counts, verdicts
@@ -30,11 +30,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def quality_rules(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
     """Documents that fail the base rules or meet a learned rule go."""
     labels = read_table(spark, data_dir, "labels")
-    # counted once and written beside the texts: learning reads the columns of counts only
-    path = f"{ensure_checkpoint_dir(spark)}/pipeline/{uuid.uuid4().hex}/counts"
-    text_counts(docs, carry=("text", "lang", "source", "n_chars")).write.parquet(path)
-    counts = spark.read.parquet(path)
-    rules = learn_rules(counts.drop("text", "lang", "source", "n_chars"), labels)
+    # rules are learned from labelled documents: only these are counted for it
+    marked = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("id")).distinct()
+    labelled = docs.join(marked, docs["doc_id"].cast("long") == marked["id"], "left_semi")
+    rules = learn_rules(cut(text_counts(labelled)), labels)
+    # the learned expression runs where the texts are, so that none is shuffled
+    counts = text_counts(docs, carry=("text", "lang", "source", "n_chars"))
     return verdicts(counts, rules).where("kept").select(*COLUMNS)
 
 
