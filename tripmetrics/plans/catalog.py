@@ -259,7 +259,7 @@ def q_running_incremental(spark, d):
 
 
 # Rules that know the mileage's second name and the firmware's build number.
-DRIFT_RULES = ParseRules(2, {"mileage": ("mileageKm",)}, {"firmware_build": ("$.firmware.build", "bigint")})
+DRIFT_RULES = ParseRules(2, {"mileage": ("mileageKm",)}, {"firmware_build": ("$.firmware.build", "string")})
 
 
 def q_trip_variant(spark, d):

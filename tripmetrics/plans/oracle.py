@@ -122,7 +122,7 @@ FROM f""",
 SELECT event_id, 0 AS line_no, mileage, terminal_id, acce_times, acce_score, dece_times, dece_score,
        turn_times, turn_score, overspeed_score, tired_score, acce_over_3g, dece_over_3g,
        control_score, economy_score, focus_score, road_score, envir_score,
-       CASE WHEN event_id % 3 <> 0 THEN event_id % 7 END AS firmware_build
+       CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 7 AS VARCHAR) END AS firmware_build
 FROM f""",
 
     "trip_repair": f"""WITH {_TRIPS}
