@@ -11,20 +11,23 @@ supplies the offset of every slice:
 
 The slice-totals table has at most (days x slices of a day) rows, and a task
 holds the rows of whole slices: choose ``slice_s`` so that one fits a task.
+
+First trips, totals and local sums each read the trips.  Their facts are therefore
+stored once below the checkpoint folder, so that messages are parsed once.
 """
 
 from __future__ import annotations
 
-import itertools
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmetrics.operators.daily import COUNTER_COLUMNS, trip_facts
+from tripmetrics.session import checkpoint_root
 
 _SLICE = "_slice"
 DEFAULT_SLICE_S = 60
-_observations = itertools.count()
 
 
 def prefix_sums(df: DataFrame, partition_cols: list[str], time_col: str, order_cols: list[str],
@@ -33,18 +36,14 @@ def prefix_sums(df: DataFrame, partition_cols: list[str], time_col: str, order_c
     ``time_col`` and ``order_cols`` (inclusive of the current row).
 
     ``time_col`` and ``order_cols`` must make rows unique within a partition.
-    Rows are shuffled once, by partition and slice; the totals and the local
-    sums both read that shuffle.
+    Rows are read twice: shuffled by partition and slice for the local sums, and
+    summed up before the shuffle for the totals.
     """
-    slice_no = F.floor(F.unix_timestamp(time_col) / slice_s)
-    # the observed row count keeps column pruning from giving each branch
-    # a shuffle of its own
-    dealt = (df.withColumn(_SLICE, slice_no).repartition(*partition_cols, _SLICE)
-             .observe(f"slices_{next(_observations)}", F.count(F.lit(1)).alias("rows")))
+    sliced = df.withColumn(_SLICE, F.floor(F.unix_timestamp(time_col) / slice_s))
     local_w = (Window.partitionBy(*partition_cols, _SLICE).orderBy(time_col, *order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = dealt.select("*", *[F.sum(F.col(v).cast("long")).over(local_w).alias(f"_run_{v}") for v in value_cols])
-    totals = dealt.groupBy(*partition_cols, _SLICE).agg(
+    local = sliced.select("*", *[F.sum(F.col(v).cast("long")).over(local_w).alias(f"_run_{v}") for v in value_cols])
+    totals = sliced.groupBy(*partition_cols, _SLICE).agg(
         *[F.sum(F.col(v).cast("long")).alias(f"_tot_{v}") for v in value_cols])
     before_w = (Window.partitionBy(*partition_cols).orderBy(_SLICE)
                 .rowsBetween(Window.unboundedPreceding, -1))
@@ -66,7 +65,10 @@ def running_totals(trips: DataFrame, slice_s: int = DEFAULT_SLICE_S) -> DataFram
     ``(day, terminal)`` (from a pre-aggregated min) sorts just before that
     trip, so no join against the trips is needed.
     """
-    facts = trip_facts(trips).select("day", "ts", "event_id", "line_no", "terminal_id", *COUNTER_COLUMNS)
+    spark = trips.sparkSession
+    path = f"{checkpoint_root(spark)}/running_facts/{uuid.uuid4().hex}"
+    trip_facts(trips).select("day", "ts", "event_id", "line_no", "terminal_id", *COUNTER_COLUMNS).write.parquet(path)
+    facts = spark.read.parquet(path)
     values = ["n_trips", *COUNTER_COLUMNS, "drivers"]
     base = facts.select(
         "day", "ts", "event_id", "line_no", F.lit(1).alias("_kind"),
