@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmetrics.schema import (ACCE_THRESHOLD, DECE_THRESHOLD, JSON_ACCE, JSON_DECE, JSON_MILEAGE,
                                 JSON_OVERSPEED, JSON_SUBSCORES, JSON_TERMINAL, JSON_TIRED, JSON_TURN,
-                                TRIP_COLUMNS)
+                                TRIP_COLUMNS, TRIP_FIELDS)
 from tripmetrics.functions.timecols import EARLIEST, LATEST
 from tripmetrics.sources.messages import split_payloads
 
@@ -29,6 +30,11 @@ OUTER_SCHEMA = ", ".join(f"{f} STRING" for f in _OUTER_FIELDS) + f", {_CORRUPT}
 RAPID_SCHEMA = f"times STRING, score STRING, points ARRAY<STRUCT<acceValue: STRING>>, {_CORRUPT} STRING"
 TURN_SCHEMA = f"times STRING, score STRING, {_CORRUPT} STRING"
 SCORE_SCHEMA = f"score STRING, {_CORRUPT} STRING"
+LANDED_SCHEMA = T.StructType(
+    [T.StructField("event_id", T.LongType()), T.StructField("line_no", T.IntegerType()),
+     T.StructField("ts", T.TimestampType()), T.StructField("line", T.StringType())]
+    + [T.StructField(n, t) for n, t in TRIP_FIELDS]
+    + [T.StructField("reject_reason", T.StringType()), T.StructField("rejected", T.BooleanType())])
 _JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
 
 
@@ -156,6 +162,25 @@ def in_time_range(messages: DataFrame, since: str | None = None, until: str | No
     return messages
 
 
+def land_lines(messages: DataFrame, path: str) -> None:
+    """Parse messages once for several readers: rows of ``parse_lines`` as a table at ``path``,
+    partitioned by ``rejected``.  Only rejects keep their text."""
+    rejected = F.col("reject_reason").isNotNull()
+    parsed = parse_lines(split_payloads(messages)).withColumns(
+        {"line": F.when(rejected, F.col("line")), "rejected": rejected})
+    parsed.select(*LANDED_SCHEMA.names).write.partitionBy("rejected").parquet(path)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """What ``land_lines`` stored at ``path``."""
+    return spark.read.schema(LANDED_SCHEMA).parquet(path)
+
+
+def _parsed(messages: DataFrame) -> DataFrame:
+    """Parsed lines of messages, or of rows that are parsed already."""
+    return messages if "reject_reason" in messages.columns else parse_lines(split_payloads(messages))
+
+
 def parse_trips(messages: DataFrame, mode: str = "permissive", since: str | None = None,
                 until: str | None = None) -> DataFrame:
     """Messages -> good trips ``(event_id, line_no, ts, <17 trip fields>)``.
@@ -164,9 +189,9 @@ def parse_trips(messages: DataFrame, mode: str = "permissive", since: str | None
 
     ``mode="failfast"`` raises on the first malformed line (the original
     job's behaviour); ``"permissive"`` drops rejects, which
-    ``rejected_trips`` returns.
+    ``rejected_trips`` returns.  Both also take the rows that ``land_lines`` stored.
     """
-    parsed = parse_lines(split_payloads(in_time_range(messages, since, until)))
+    parsed = _parsed(in_time_range(messages, since, until))
     if mode.lower() == "failfast":
         parsed = parsed.withColumn(
             "reject_reason",
@@ -180,7 +205,7 @@ def parse_trips(messages: DataFrame, mode: str = "permissive", since: str | None
 
 def rejected_trips(messages: DataFrame) -> DataFrame:
     """Quarantine: ``(event_id, line_no, ts, line, reject_reason)`` of bad lines."""
-    parsed = parse_lines(split_payloads(messages))
+    parsed = _parsed(messages)
     return parsed.where(F.col("reject_reason").isNotNull()).select(
         "event_id", "line_no", "ts", "line", "reject_reason")
 

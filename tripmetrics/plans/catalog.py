@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmetrics.functions.parse import parse_lines, parse_trips, rejected_trips
+from tripmetrics.functions.parse import land_lines, parse_lines, parse_trips, read_lines, rejected_trips
 from tripmetrics.functions.timecols import epoch_s, time_buckets
 from tripmetrics.functions.variants import ParseRules, raw_lines, variant_trips
 from tripmetrics.operators import (
@@ -272,13 +272,15 @@ def q_trip_variant(spark, d):
 
 def q_trip_repair(spark, d):
     """Damaged messages, their rejects repaired from corrected lines, in two runs that overlap."""
-    path = f"{checkpoint_root(spark)}/repaired/{uuid.uuid4().hex}"
+    root = f"{checkpoint_root(spark)}/repaired/{uuid.uuid4().hex}"
+    path = f"{root}/repaired"
     spark.createDataFrame([], repair.REPAIRED_SCHEMA).write.parquet(path)
-    dirty = _messages(spark, d, dirty=True)
+    land_lines(_messages(spark, d, dirty=True), f"{root}/lines")
+    dirty = read_lines(spark, f"{root}/lines")
     corrected = split_payloads(_messages(spark, d)).select("event_id", "line_no", "line")
     for part in (corrected.where("event_id % 2 = 0"), corrected):
-        repair.repair(rejected_trips(dirty), path, ParseRules(), part)
-    return repair.with_repairs(parse_trips(dirty), repair.read_repaired(spark, path)).drop("ts")
+        repair.repair(rejected_trips(dirty.where("rejected")), path, ParseRules(), part)
+    return repair.with_repairs(parse_trips(dirty.where("not rejected")), repair.read_repaired(spark, path)).drop("ts")
 
 
 QUERIES: dict[str, Query] = {
