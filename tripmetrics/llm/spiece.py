@@ -30,26 +30,32 @@ are ignored.  The vocabulary (bounded by its file) is broadcast.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import math
 import re
 from collections.abc import Iterator
-from itertools import chain
+from contextlib import contextmanager
+from itertools import accumulate, chain, groupby
+from operator import add
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmetrics.llm.common import id_long, id_text, mix, ship_package, text_chunks
+from tripmetrics.llm.common import chunks, id_long, id_text, mix, ship_package
 
 N_BEST = 4
 SCALE = 1_000_000
 _MEMO_LIMIT = 300_000
 _TOGETHER = 48
 _CELLS = 1 << 21
-_CHUNK = 1 << 19
+_CHUNK = 1 << 21
 _NONE = -(1 << 52)
+_HELD_BITS = 20
+_HELD_SHIFT = np.uint64(64 - _HELD_BITS)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # fixed values of the model file: types of pieces, kinds of models
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -122,6 +128,9 @@ class Vocabulary:
         order = np.argsort(keys, kind="stable")
         self._keys = keys[order]
         self._found = np.array([(-1, _NONE), *self.score.values()], np.int64)[order]
+        # most substrings are no pieces: a table of the hashes' first bits tells so for nearly all
+        self._held = np.zeros(1 << _HELD_BITS, bool)
+        self._held[self._keys >> _HELD_SHIFT] = True
         if (np.diff(self._keys) == 0).any():
             raise ValueError("two pieces share a hash")
 
@@ -157,13 +166,11 @@ class Vocabulary:
     def split(self, part: str) -> list[str]:
         """A part cut between characters that no piece holds side by side: the
         lattice has a node there that every segmentation passes."""
-        pairs, out, at = self.pairs, [], 0
-        for j in range(1, len(part)):
-            if part[j - 1 : j + 1] not in pairs:
-                out.append(part[at:j])
-                at = j
-        out.append(part[at:])
-        return out
+        held = list(map(self.pairs.__contains__, map(add, part, part[1:])))
+        if all(held):
+            return [part]
+        cuts = [0, *[j for j, x in enumerate(held, 1) if not x], len(part)]
+        return [part[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
     def lattice(self, text: str) -> tuple[list[list[tuple[int, int, int]]], list[int]]:
         """For each end position the pieces that end there, (begin, score, id) with
@@ -235,17 +242,25 @@ class Vocabulary:
                 out.append(before + single[:, size - 1 :])
         return out
 
+    def _look_up(self, hashes: np.ndarray, missing: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the pieces with these hashes; -1 and ``missing`` for no piece."""
+        flat = np.ascontiguousarray(hashes).ravel()
+        ids, scores = np.full(len(flat), -1), np.full(len(flat), missing)
+        may = np.flatnonzero(self._held[flat >> _HELD_SHIFT])
+        at = np.minimum(np.searchsorted(self._keys, flat[may]), len(self._keys) - 1)
+        hit = (self._keys[at] == flat[may]) & (self._found[at, 0] >= 0)
+        ids[may[hit]], scores[may[hit]] = self._found[at[hit], 0], self._found[at[hit], 1]
+        return ids.reshape(hashes.shape), scores.reshape(hashes.shape)
+
     def solve(self, texts: list[str]) -> list[tuple[tuple[int, ...], int, int]]:
         """``first_two`` of many texts of one length at once."""
         n, m = len(texts[0]), len(texts)
         codes = self._codes(texts)
         ids, scores = [], []
         for size, h in enumerate(self._hashes(codes), 1):
-            at = np.minimum(np.searchsorted(self._keys, h), len(self._keys) - 1)
-            hit = self._keys[at] == h
-            k, s = np.where(hit, self._found[at, 0], -1), np.where(hit, self._found[at, 1], _NONE)
+            k, s = self._look_up(h.T, self.fallback if size == 1 else _NONE)
             ids.append(k)
-            scores.append(np.ascontiguousarray((np.where(k < 0, self.fallback, s) if size == 1 else s).T))
+            scores.append(s)
         longest = len(scores)
         # a place per row; a path over a piece that is none stays far below any other
         ahead = np.full((n + 1, m), _NONE)
@@ -269,7 +284,7 @@ class Vocabulary:
                 rows = np.flatnonzero(total == top)
                 rows = rows[(on[rows] == j) & (step[rows] == 0)]
                 step[rows] = size
-                path[rows, count[rows], 0] = ids[size - 1][rows, j - size]
+                path[rows, count[rows], 0] = ids[size - 1][j - size, rows]
                 path[rows, count[rows], 1] = j - 1
                 total[rows] = _NONE
                 np.maximum(second, total, out=second)
@@ -338,29 +353,39 @@ class Encoder:
 
     def meet(self, parts: set[str]) -> None:
         """Solve the parts that are not remembered, many at once."""
-        vocabulary, new, old = self.vocabulary, self._new, self._old
-        split = {p: vocabulary.split(p) for p in parts if p not in new and p not in old}
-        solved = {q: new.get(q) or old.get(q) for q in set(chain.from_iterable(split.values()))}
-        sizes: dict[int, list[str]] = {}
-        for q, got in solved.items():
-            if got is None and len(q) <= _TOGETHER:
-                sizes.setdefault(len(q), []).append(q)
-        for size, own in sizes.items():
+        vocabulary = self.vocabulary
+        fresh = parts.difference(self._new, self._old)
+        if self._new and len(self._new) + len(fresh) > _MEMO_LIMIT:
+            self._old, self._new = self._new, {}
+        new, old = self._new, self._old
+        split = dict(zip(fresh, map(vocabulary.split, fresh)))
+        wanted = set(chain.from_iterable(split.values()))
+        unknown = wanted.difference(new, old)
+        solved = {q: new.get(q) or old[q] for q in wanted - unknown}
+        for size, same in groupby(sorted(unknown, key=len), len):
+            own = list(same)
+            if size > _TOGETHER:
+                solved.update(zip(own, map(vocabulary.first_two, own)))
+                continue
             most = max(1, _CELLS // size**2)
             for lo in range(0, len(own), most):
                 solved.update(zip(own[lo : lo + most], vocabulary.solve(own[lo : lo + most])))
-        for part, own in split.items():
-            if len(own) == 1:
-                self._keep(part, solved[part] or vocabulary.first_two(part))
-            else:
-                ids, scores, losses = zip(*[solved[q] or vocabulary.first_two(q) for q in own])
-                self._keep(part, (tuple(chain.from_iterable(ids)), sum(scores), min(losses)))
+        for part, (first, *others) in split.items():
+            got = solved[first]
+            if others:
+                ids, score, loss = list(got[0]), got[1], got[2]
+                for q in others:
+                    more, s, x = solved[q]
+                    ids += more
+                    score += s
+                    loss = min(loss, x)
+                got = tuple(ids), score, loss
+            new[part] = got
 
     def many(self, texts: list[str | None]) -> Iterator[tuple]:
         """The texts' segmentations (see ``__call__``)."""
         parts = [self.vocabulary.parts(t or "") for t in texts]
-        new = self._new
-        self.meet({p for own in parts for p in own if p not in new})
+        self.meet(set().union(*parts))
         return map(self._encoded, parts)
 
     def _part(self, part: str) -> tuple:
@@ -391,17 +416,13 @@ class Encoder:
     def _encoded(self, parts: list[str]) -> tuple[list[int], list[tuple]]:
         if not parts:
             return [], []
-        new, part = self._new, self._part
-        ids: list[int] = []
-        top, losses, starts = 0, [], []
-        for p in parts:
-            own, score, loss = new.get(p) or part(p)
-            new = self._new
-            starts.append(len(ids))
-            ids += own
-            top += score
-            losses.append(loss)
-        starts.append(len(ids))
+        got = list(map(self._new.get, parts))
+        if not all(got):
+            got = [g or self._new.get(p) or self._part(p) for g, p in zip(got, parts)]
+        pieces, scores, losses = zip(*got)
+        ids = list(chain.from_iterable(pieces))
+        top = sum(scores)
+        starts = list(accumulate(map(len, pieces), initial=0))
         # only the n - 1 parts that lose least by their second choice can differ in the n best
         least = heapq.nsmallest(self.n - 1, zip(losses, range(len(losses))))
         found: list[tuple[int, tuple[tuple[int, int], ...]]] = [(0, ())]
@@ -424,6 +445,18 @@ def edited(ids: list[int], edits: list[tuple[int, int, list[int]]]) -> list[int]
     return out + list(ids[done:])
 
 
+@contextmanager
+def _no_collection() -> Iterator[None]:
+    """What an encoder remembers has no cycles: spare the collector from walking through it."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -436,6 +469,27 @@ def _encoder(vocabulary: Vocabulary, n: int) -> Encoder:
     return _ENCODERS[key]
 
 
+def _lists(sizes: list[int], values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), pa.int32()), values)
+
+
+def _numbers(lists: list[list[int]]) -> pa.Array:
+    return _lists(list(map(len, lists)), pa.array(np.fromiter(chain.from_iterable(lists), np.int32)))
+
+
+def _columns(rows: list[tuple]) -> list[pa.Array]:
+    """Number of tokens, tokens, scores and edits of encoded texts."""
+    tokens = [ids for ids, _ in rows]
+    found = [f for _, f in rows]
+    each = list(chain.from_iterable(found))
+    edits = list(chain.from_iterable(e for _, e in each))
+    scores = np.array([s for s, _ in each], np.float64) / SCALE
+    fields = [pa.array([e[0] for e in edits], pa.int32()), pa.array([e[1] for e in edits], pa.int32()), _numbers([e[2] for e in edits])]
+    sizes = list(map(len, found))
+    of_each = _lists([len(e) for _, e in each], pa.StructArray.from_arrays(fields, ["at", "drop", "ids"]))
+    return [pa.array(list(map(len, tokens)), pa.int64()), _numbers(tokens), _lists(sizes, pa.array(scores)), _lists(sizes, of_each)]
+
+
 def read_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
     """The model file at ``path``: a URI that Spark reads, or the driver's file."""
     if "://" in path:
@@ -455,25 +509,25 @@ def encode(
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(read_vocabulary(spark, model_path))
+    names = [id_col, "n_tokens", "token_ids", "nbest_scores", "nbest_edits", "round_trip"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         encoder = _encoder(vocabulary, n)
-        for pdf in batches:
-            for lo, hi in text_chunks(pdf["text"], _CHUNK):
-                rows, texts = [], pdf["text"].iloc[lo:hi].tolist()
-                for text, (ids, found) in zip(texts, encoder.many(texts)):
-                    edits = [[{"at": a, "drop": d, "ids": own} for a, d, own in e] for _, e in found]
-                    rows.append((len(ids), ids, [s / SCALE for s, _ in found], edits, vocabulary.decode(ids) == (text or "")))
-                out = pd.DataFrame(rows, columns=["n_tokens", "token_ids", "nbest_scores", "nbest_edits", "round_trip"])
-                out["token_ids"] = [np.array(x, np.int32) for x in out["token_ids"]]
-                out.insert(0, id_col, pdf[id_col].iloc[lo:hi].array)
-                yield out
+        for batch in batches:
+            every = batch.column(1).to_pylist()
+            for lo, hi in chunks([len(t) if t else 1 for t in every], _CHUNK):
+                texts = every[lo:hi]
+                with _no_collection():
+                    rows = list(encoder.many(texts))
+                    same = [vocabulary.decode(ids) == (text or "") for text, (ids, _) in zip(texts, rows)]
+                    columns = _columns(rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *columns, pa.array(same, pa.bool_())], names)
 
     own = docs.select(id_text(id_col), F.col(text_col).cast("string").alias("text"))
     edits = "array<array<struct<at: int, drop: int, ids: array<int>>>>"
     schema = f"{id_col} string, n_tokens long, token_ids array<int>, nbest_scores array<double>, nbest_edits {edits}, round_trip boolean"
-    return id_long(own.mapInPandas(run, schema), id_col)
+    return id_long(own.mapInArrow(run, schema), id_col)
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "token_ids") -> DataFrame:
