@@ -79,10 +79,13 @@ def id_long(df: DataFrame, *cols: str) -> DataFrame:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
-    x = x + _GOLD
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
+    x = x + _GOLD  # a copy, worked on in place
+    x ^= x >> np.uint64(30)
+    x *= _M1
+    x ^= x >> np.uint64(27)
+    x *= _M2
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def gram_hash(h: np.ndarray, n: int) -> np.ndarray:

@@ -59,7 +59,8 @@ def shingle_sets(texts: pd.Series, size: int, words: Tokeniser) -> list[np.ndarr
             elif n < size:
                 out.append(gram_hash(h[at : at + n], n))
             else:
-                out.append(np.unique(grams[at : at + n - size + 1]))
+                own = np.sort(grams[at : at + n - size + 1])
+                out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
             at += n
     return out
 

@@ -73,46 +73,46 @@ def _parities(sets: list[np.ndarray]) -> list[np.ndarray]:
     return list(np.packbits(odd.reshape(len(sets), bits), axis=1).view(np.int64))
 
 
+def _slot(items: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (mix(items) % np.uint64(COUNTERS)).astype(np.int64)
+
+
 def _described(id_col: str, text_col: str, size: int):
+    """Per text its size, hash and parities; then, in one row of each task, how often the
+    shingles of the rows with an id occur, by hashed shingle."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Tokeniser()
+        words, total = Tokeniser(), np.zeros(COUNTERS, np.int64)
         for pdf in batches:
             for lo, sets in _texts_to_sets(pdf, text_col, size, words):
+                ids = pdf[id_col].iloc[lo : lo + len(sets)]
+                counted = [s for s, known in zip(sets, ids.notna()) if known]
+                if counted:
+                    total += np.bincount(_slot(np.concatenate(counted)), minlength=COUNTERS)
                 yield pd.DataFrame(
                     {
-                        id_col: pdf[id_col].iloc[lo : lo + len(sets)].array,
+                        id_col: ids.array,
                         "n_shingles": np.array([len(s) for s in sets], np.int64),
                         "node": pd.array([_digest(s) if len(s) else None for s in sets], dtype="Int64"),
                         "parity": _parities(sets),
+                        "slot": None,
+                        "c": None,
                     }
                 )
-
-    return run
-
-
-def _slot(items: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (mix(items) % np.uint64(COUNTERS)).astype(np.int64)
-
-
-def _counted(text_col: str, size: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, total = Tokeniser(), np.zeros(COUNTERS, np.int64)
-        for pdf in batches:
-            for _, sets in _texts_to_sets(pdf, text_col, size, words):
-                if sets:
-                    total += np.bincount(_slot(np.concatenate(sets)), minlength=COUNTERS)
         hit = np.flatnonzero(total)
-        yield pd.DataFrame({"slot": hit.astype(np.int32), "c": total[hit]})
+        yield pd.DataFrame(
+            {id_col: [None], "n_shingles": [0], "node": pd.array([None], dtype="Int64"), "parity": [None], "slot": [hit.astype(np.int32)], "c": [total[hit]]}
+        )
 
     return run
 
 
-def column_counts(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
-    """How often shingles occur, by hashed shingle (``COUNTERS`` numbers)."""
-    got = docs.select(text_col).mapInPandas(_counted(text_col, size), "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c"))
+def column_counts(described: DataFrame) -> np.ndarray:
+    """How often shingles occur, by hashed shingle (``COUNTERS`` numbers): the tasks' counts added up."""
+    each = described.where("slot IS NOT NULL").select(F.explode(F.arrays_zip("slot", "c")).alias("x"))
     out = np.zeros(COUNTERS, np.int64)
-    table = got.toArrow()
+    table = each.groupBy(F.col("x.slot").alias("slot")).agg(F.sum("x.c").alias("c")).toArrow()
     out[table["slot"].to_numpy()] = table["c"].to_numpy()
     return out
 
@@ -145,7 +145,7 @@ def _blocks(text_col: str, size: int, percent: int, counts: np.ndarray):
                 owner = np.repeat(np.arange(len(sets)), sizes)
                 items = np.concatenate(sets)
                 often = counts[_slot(items)]
-                order = np.lexsort((items, often, owner))
+                order = np.lexsort((often, owner))  # stable, and items ascend within a set
                 pos = np.arange(len(items)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 first = pos < np.repeat(first_block(sizes, percent), sizes)
                 at, pos = order[first], pos[first]
@@ -326,12 +326,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(id_col, n_shingles, component_id)`` per row of ``docs``."""
     ship_package(docs.sparkSession)
     own = docs.select(id_text(id_col), F.col(text_col).cast("string").alias(text_col))
-    base = cut(id_long(own.mapInPandas(_described(id_col, text_col, size), f"{id_col} string, n_shingles long, node long, parity array<long>"), id_col))
+    schema = f"{id_col} string, n_shingles long, node long, parity array<long>, slot array<int>, c array<long>"
+    told = cut(id_long(own.mapInPandas(_described(id_col, text_col, size), schema), id_col))
+    base = told.where("slot IS NULL").drop("slot", "c")
     named = own.where(F.col(id_col).isNotNull())
     described = base.where(F.col("node").isNotNull() & F.col(id_col).isNotNull())
     reps = described.groupBy("node").agg(F.min(id_col).alias("id"))
     parities = described.select("node", "parity").dropDuplicates(["node"])
-    counts = column_counts(named, text_col, size)
+    counts = column_counts(told)
     entries = named.select(text_col).mapInPandas(_blocks(text_col, size, percent, counts), _COLUMN)
     # equal sets fall together here; a column of one set is of no use
     once = entries.repartition("gram", "salt").groupBy("gram", "salt", "cls", "node").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
