@@ -24,6 +24,8 @@ from tripmetrics.llm.queries import PIECE_MODEL
 from tripmetrics.llm.spiece import encode
 from tripmetrics.llm.substring import drop_repeats
 
+#: of the encoding: its workers share their executors with the other stages' memory
+MEMO, CHUNK = 100_000, 1 << 19
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -58,7 +60,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFr
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
     """Token ids of the best segmentation of every mixed text."""
-    return encode(docs, PIECE_MODEL)
+    return encode(docs, PIECE_MODEL, memo=MEMO, chunk=CHUNK)
 
 
 STAGES = [

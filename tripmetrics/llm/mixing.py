@@ -32,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,13 +145,14 @@ def permute(place: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def _blocks(seed: int):
-    @F.pandas_udf("long")
-    def block(place: pd.Series, n: pd.Series, src: pd.Series, turn: pd.Series) -> pd.Series:
-        with np.errstate(over="ignore"):
-            key = mix(mix(src.to_numpy().astype(np.uint64) + np.uint64(seed)) + turn.to_numpy().astype(np.uint64))
-        return pd.Series(permute(place.to_numpy(), n.to_numpy(), key))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            with np.errstate(over="ignore"):
+                key = mix(mix(pdf["src"].to_numpy().astype(np.uint64) + np.uint64(seed)) + pdf["turn"].to_numpy().astype(np.uint64))
+            block = permute(pdf["place"].to_numpy(), pdf["n_blocks"].to_numpy(), key)
+            yield pdf[["shard", "src", "slot", "turn"]].assign(block=block)
 
-    return block
+    return run
 
 
 def _tie() -> Column:
@@ -185,10 +187,15 @@ def mix_sources(
         min(math.floor(g * n / r["words"] + Fraction(1, 2)), cap * n) if n else 0
         for g, n, r in zip(goal, n_blocks, totals, strict=True)
     ]
-    table = spark.createDataFrame(
-        [(k, r["source"], r["words"], float(g), n) for k, (r, g, n) in enumerate(zip(totals, goal, n_blocks, strict=True))],
-        "src int, source string, source_size long, target double, n_blocks long",
-    )
+    # from Arrow columns: a list of rows would start Python workers of another kind, beside those of the other steps
+    columns = {
+        "src": pa.array(range(len(totals)), pa.int32()),
+        "source": pa.array([r["source"] for r in totals], pa.string()),
+        "source_size": pa.array([r["words"] for r in totals], pa.int64()),
+        "target": pa.array([float(g) for g in goal], pa.float64()),
+        "n_blocks": pa.array(n_blocks, pa.int64()),
+    }
+    table = spark.createDataFrame(pa.table(columns))
     small = F.broadcast(table) if len(totals) <= _BROADCAST_ROWS else table
     # slices are cuts of the order by hash, so their number changes no result
     bits = max(_SLICE_BITS, (sum(r["docs"] for r in totals) // 100_000).bit_length())
@@ -224,9 +231,7 @@ def mix_sources(
     slot_rows = steps.selectExpr(
         "shard", "src", "n_blocks", f"explode(sequence(first + skip, first + least(skip + {step}, count) - 1)) as slot"
     ).selectExpr("shard", "src", "n_blocks", "slot", "slot div n_blocks as turn", "slot % n_blocks as place")
-    slot_table = slot_rows.withColumn("block", _blocks(seed)("place", "n_blocks", "src", "turn")).select(
-        "shard", "src", "slot", "turn", "block"
-    )
+    slot_table = slot_rows.mapInPandas(_blocks(seed), "shard long, src int, slot long, turn long, block long")
     times = slot_table.groupBy("src", "block").agg(F.collect_list("turn").alias("turns"))
     # the planner takes the listed slots for a small table; they are as many as the blocks
     pieces = pieces.join(times.hint("merge"), ["src", "block"], "left")

@@ -42,6 +42,7 @@ from operator import add
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -337,16 +338,18 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes texts part by part; remembers the parts that it met last."""
+    """Encodes texts part by part; remembers the parts that it met last: one to two times
+    ``memo`` of them, some 400 bytes each, and those that one call brings."""
 
-    def __init__(self, vocabulary: Vocabulary, n: int) -> None:
+    def __init__(self, vocabulary: Vocabulary, n: int, memo: int | None = None) -> None:
         self.vocabulary, self.n = vocabulary, n
+        self.memo = memo or _MEMO_LIMIT
         self._new: dict[str, tuple] = {}
         self._old: dict[str, tuple] = {}
         self._others: dict[str, list[int]] = {}
 
     def _keep(self, part: str, got: tuple) -> tuple:
-        if len(self._new) >= _MEMO_LIMIT:
+        if len(self._new) >= self.memo:
             self._old, self._new = self._new, {}
         self._new[part] = got
         return got
@@ -355,7 +358,7 @@ class Encoder:
         """Solve the parts that are not remembered, many at once."""
         vocabulary = self.vocabulary
         fresh = parts.difference(self._new, self._old)
-        if self._new and len(self._new) + len(fresh) > _MEMO_LIMIT:
+        if self._new and len(self._new) + len(fresh) > self.memo:
             self._old, self._new = self._new, {}
         new, old = self._new, self._old
         split = dict(zip(fresh, map(vocabulary.split, fresh)))
@@ -403,7 +406,7 @@ class Encoder:
         """The n best segmentations of a part: what they lose against the first, and their ids."""
         got = self._others.get(part)
         if got is None:
-            if len(self._others) >= _MEMO_LIMIT // 10:
+            if len(self._others) >= self.memo // 10:
                 self._others.clear()
             found = self.vocabulary.best(part, self.n)
             got = self._others[part] = [(found[0][0] - s, ids) for s, ids in found]
@@ -460,12 +463,12 @@ def _no_collection() -> Iterator[None]:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def _encoder(vocabulary: Vocabulary, n: int) -> Encoder:
+def _encoder(vocabulary: Vocabulary, n: int, memo: int) -> Encoder:
     """The encoder of this Python worker: what it remembers serves its later tasks too."""
-    key = (vocabulary.digest, n)
+    key = (vocabulary.digest, n, memo)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(vocabulary, n)
+        _ENCODERS[key] = Encoder(vocabulary, n, memo)
     return _ENCODERS[key]
 
 
@@ -501,11 +504,20 @@ def read_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
 
 
 def encode(
-    docs: DataFrame, model_path: str, n: int = N_BEST, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model_path: str,
+    n: int = N_BEST,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    memo: int = _MEMO_LIMIT,
+    chunk: int = _CHUNK,
 ) -> DataFrame:
     """``(id_col, n_tokens, token_ids, nbest_scores, nbest_edits, round_trip)`` per row: the
     best segmentation, the scores of the n best, how each of them is made from the best one (see
-    ``edited``), and whether the ids decode to the text."""
+    ``edited``), and whether the ids decode to the text.
+
+    A Python worker keeps its memory for the jobs after this one: ``memo`` (parts remembered) and
+    ``chunk`` (characters encoded together) bound it against time.  They change no row."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(read_vocabulary(spark, model_path))
@@ -513,11 +525,12 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
-        encoder = _encoder(vocabulary, n)
+        encoder = _encoder(vocabulary, n, memo)
         for batch in batches:
-            every = batch.column(1).to_pylist()
-            for lo, hi in chunks([len(t) if t else 1 for t in every], _CHUNK):
-                texts = every[lo:hi]
+            every = batch.column(1)
+            sizes = pc.fill_null(pc.utf8_length(every), 0).to_pylist()
+            for lo, hi in chunks([size or 1 for size in sizes], chunk):
+                texts = every.slice(lo, hi - lo).to_pylist()
                 with _no_collection():
                     rows = list(encoder.many(texts))
                     same = [vocabulary.decode(ids) == (text or "") for text, (ids, _) in zip(texts, rows)]
