@@ -13,9 +13,11 @@ in the n - 1 parts that lose least, and these are searched.  The other n - 1 seg
 text are given as edits of the first one: at a token, so many tokens go and others come.
 Scores are whole numbers (millionths of a nat), which keeps equal sums equal.
 
-The forward and backward scores of the parts that a chunk of texts brings anew are
+The texts of a chunk are cut at all these places at once, in an array of their bytes, and equal
+parts become one number.  The forward and backward scores of the parts that the chunk brings anew are
 computed together, in arrays over parts of equal length; substrings are looked up
-by 64-bit hashes of their characters.
+by 64-bit hashes of their characters.  Tokens, scores and what is least to lose are then
+gathered from the parts in arrays over the chunk.
 
 Unigram models bring their scores.  BPE models bring merge ranks only; a piece
 then has the Zipf probability 1 / (rank + 2), normalised, and the result is the
@@ -54,6 +56,7 @@ _MEMO_LIMIT = 300_000
 _TOGETHER = 48
 _CELLS = 1 << 21
 _CHUNK = 1 << 21
+_PAIR_CELLS = 1 << 24
 _NONE = -(1 << 52)
 _HELD_BITS = 20
 _HELD_SHIFT = np.uint64(64 - _HELD_BITS)
@@ -110,6 +113,7 @@ class Vocabulary:
                 self.spell.append(piece.replace("▁", " ").encode())
             else:
                 self.spell.append(b"")
+        self._spell = pa.array(self.spell, pa.large_binary())
         self.unknown = next((k for k, p in enumerate(pieces) if p[2] == _UNKNOWN), 0)
         self.whole = False  # a piece with a space after another character: lattices then stay whole
         for k, piece, s in usable:
@@ -120,8 +124,19 @@ class Vocabulary:
         # white space that no piece holds is spelled in bytes and ends a part too
         held = set("".join(self.score))
         alone = "".join(c for c in "\n\r\t" if c not in held)
+        self._alone = np.zeros(256, bool)
+        self._alone[[ord(c) for c in alone]] = True
         self._part = re.compile(f" +[^ {alone}]*|[^ {alone}]+" + (f"|[{alone}]" if alone else ""))
         self.pairs = {p[j : j + 2] for p in self.score for j in range(len(p) - 1)}
+        # a number for each character (0: in no pair), and for two of them whether they make a pair
+        ends = sorted(set("".join(self.pairs)))
+        self._number = np.zeros(0x110000, np.int32)
+        self._number[[ord(c) for c in ends]] = np.arange(1, len(ends) + 1)
+        self._numbers = len(ends) + 1
+        x, y = (self._number[[ord(p[k]) for p in self.pairs]].astype(np.int64) for k in (0, 1))
+        self._beside = np.sort(x * self._numbers + y)
+        if self._numbers**2 <= _PAIR_CELLS:
+            self._beside = np.isin(np.arange(self._numbers**2), self._beside)
         self.prefixes = {p[:j] for p in self.score for j in range(1, len(p))}
         self.fallback = min((s for _, s in self.score.values()), default=0) - 10 * SCALE
         self._same = list(range(len(pieces)))  # one object per id, however often it is remembered
@@ -164,6 +179,39 @@ class Vocabulary:
         text = " " + text if self.prefix else text
         return [text] if self.whole else self._part.findall(text)
 
+    def cut_all(self, texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+        """``parts`` of many texts, each ``split``: all pieces of parts in one array, the first piece of each
+        part, and the number of parts of each text.  White space, which patterns look for, is one byte."""
+        if self.prefix:
+            texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+        _, where, data = texts.buffers()
+        begin = np.frombuffer(where, np.int32, len(texts) + 1, texts.offset * 4)
+        low, high = int(begin[0]), int(begin[-1])
+        if low == high:
+            return pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        chars = np.frombuffer(data, np.uint8, high - low, low)
+        first = np.zeros(high - low, bool)
+        if not self.whole:
+            space, alone = chars == 32, self._alone[chars]
+            first |= space | alone
+            first[1:] &= ~space[:-1] | alone[1:]
+            first[1:] |= alone[:-1]
+        first[(begin[:-1] - low)[np.diff(begin) > 0]] = True
+        places = np.flatnonzero((chars & 0xC0) != 0x80)
+        cut = first.copy()
+        cut[places[1:][~self._side_by_side(np.frombuffer(chars.tobytes().decode().encode("utf-32-le"), "<u4"))]] = True
+        starts = np.flatnonzero(cut)
+        of_part = np.flatnonzero(first[starts])
+        count = np.diff(np.searchsorted(starts[of_part], begin - low))
+        offsets = pa.py_buffer(np.append(starts + low, high).astype(np.int32))
+        return pa.StringArray.from_buffers(len(starts), offsets, data), of_part, count
+
+    def _side_by_side(self, codes: np.ndarray) -> np.ndarray:
+        """Per character but the last: does a piece hold it and the next one side by side?"""
+        numbers = self._number[codes].astype(np.int64)
+        pairs = numbers[:-1] * self._numbers + numbers[1:]
+        return self._beside[pairs] if self._beside.dtype == bool else np.isin(pairs, self._beside)
+
     def split(self, part: str) -> list[str]:
         """A part cut between characters that no piece holds side by side: the
         lattice has a node there that every segmentation passes."""
@@ -337,9 +385,30 @@ class Vocabulary:
         return raw.decode("utf-8", "replace")
 
 
+    def decodes(self, ids: np.ndarray, begin: np.ndarray, texts: pa.StringArray) -> np.ndarray:
+        """Per text: do its ids, which begin at ``begin``, decode to it?"""
+        spelled = self._spell.take(pa.array(ids, pa.int64()))
+        _, where, data = spelled.buffers()
+        where = np.frombuffer(where, np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+        raw = np.frombuffer(data, np.uint8) if len(ids) and data.size else np.empty(0, np.uint8)
+        ends = where[begin]
+        _, offsets, chars = texts.buffers()
+        own = np.frombuffer(offsets, np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
+        chars = np.frombuffer(chars, np.uint8) if chars is not None and chars.size else np.empty(0, np.uint8)
+        out = np.zeros(len(texts), bool)
+        for k in range(len(texts)):
+            a, b, lo, hi = ends[k], ends[k + 1], own[k], own[k + 1]
+            if self.prefix and b > a and raw[a] == 32:
+                a += 1
+            # texts are valid, so other bytes can only decode to them where they are none
+            out[k] = np.array_equal(raw[a:b], chars[lo:hi]) or self.decode(ids[begin[k] : begin[k + 1]].tolist()) == texts[k].as_py()
+        return out
+
+
 class Encoder:
     """Encodes texts part by part; remembers the parts that it met last: one to two times
-    ``memo`` of them, some 400 bytes each, and those that one call brings."""
+    ``memo`` of them, some 400 bytes each, and those that one call brings.  Texts encoded together
+    have only parts remembered that do not fall apart."""
 
     def __init__(self, vocabulary: Vocabulary, n: int, memo: int | None = None) -> None:
         self.vocabulary, self.n = vocabulary, n
@@ -354,42 +423,86 @@ class Encoder:
         self._new[part] = got
         return got
 
-    def meet(self, parts: set[str]) -> None:
-        """Solve the parts that are not remembered, many at once."""
-        vocabulary = self.vocabulary
-        fresh = parts.difference(self._new, self._old)
-        if self._new and len(self._new) + len(fresh) > self.memo:
-            self._old, self._new = self._new, {}
+    def meet(self, parts: list[str]) -> list[tuple]:
+        """(ids, score, loss) of different parts that do not fall apart.  Those that are not remembered are solved together."""
         new, old = self._new, self._old
-        split = dict(zip(fresh, map(vocabulary.split, fresh)))
-        wanted = set(chain.from_iterable(split.values()))
-        unknown = wanted.difference(new, old)
-        solved = {q: new.get(q) or old[q] for q in wanted - unknown}
-        for size, same in groupby(sorted(unknown, key=len), len):
+        got = list(map(new.get, parts))
+        added, fresh = {}, []
+        for k, part in enumerate(parts):
+            if got[k] is None:
+                known = old.get(part)
+                if known is None:
+                    fresh.append(k)
+                else:
+                    got[k] = added[part] = known
+        for k, each in zip(fresh, self._solved([parts[k] for k in fresh])):
+            got[k] = added[parts[k]] = each
+        if new and len(new) + len(added) > self.memo:
+            self._old, self._new = new, {}
+        self._new.update(added)
+        return got
+
+    def _solved(self, parts: list[str]) -> list[tuple]:
+        """(ids, score, loss) of different parts that do not fall apart and are not remembered."""
+        solved = {}
+        for size, same in groupby(sorted(parts, key=len), len):
             own = list(same)
             if size > _TOGETHER:
-                solved.update(zip(own, map(vocabulary.first_two, own)))
+                solved.update(zip(own, map(self.vocabulary.first_two, own)))
                 continue
             most = max(1, _CELLS // size**2)
             for lo in range(0, len(own), most):
-                solved.update(zip(own[lo : lo + most], vocabulary.solve(own[lo : lo + most])))
-        for part, (first, *others) in split.items():
-            got = solved[first]
-            if others:
-                ids, score, loss = list(got[0]), got[1], got[2]
-                for q in others:
-                    more, s, x = solved[q]
-                    ids += more
-                    score += s
-                    loss = min(loss, x)
-                got = tuple(ids), score, loss
-            new[part] = got
+                solved.update(zip(own[lo : lo + most], self.vocabulary.solve(own[lo : lo + most])))
+        return [solved[p] for p in parts]
+
+    def together(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, list[list[tuple]]]:
+        """The texts' segmentations (see ``__call__``): ids of all best ones, where each text's
+        begin in them, and the n best of each."""
+        each, of_part, count = self.vocabulary.cut_all(texts)
+        if not len(each):
+            return np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64), [[] for _ in range(len(texts))]
+        coded = each.dictionary_encode()
+        code = coded.indices.to_numpy()
+        pieces, scores, losses = zip(*self.meet(coded.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        flat = np.fromiter(chain.from_iterable(pieces), np.int32, int(sizes.sum()))
+        begin = np.cumsum(sizes) - sizes
+        own = sizes[code]
+        at = np.concatenate([[0], np.cumsum(own)])
+        ids = flat[np.repeat(begin[code] - at[:-1], own) + np.arange(at[-1])]
+        # from here on by parts: a part loses what the piece of it that loses least does
+        loss = np.minimum.reduceat(np.array(losses, np.int64)[code], of_part)
+        score = np.add.reduceat(np.array(scores, np.int64)[code], of_part)
+        edge = np.append(of_part, len(code))
+        at = at[edge]
+        bound = np.concatenate([[0], np.cumsum(count)])
+        some = np.flatnonzero(count)
+        top = np.add.reduceat(score, bound[some]).tolist()
+        # only the n - 1 parts that lose least by their second choice can differ in the n best
+        least: list[list[int]] = [[] for _ in some]
+        owner = np.repeat(np.arange(len(some)), count[some])
+        for r in range(self.n - 1):
+            # the first part of least loss of each text; then it is out of the way
+            low = np.minimum.reduceat(loss, bound[some])
+            lowest = np.flatnonzero(loss == low[owner])
+            lowest = lowest[np.diff(owner[lowest], prepend=-1) > 0]
+            loss[lowest] = np.iinfo(np.int64).max
+            more = count[some] > r
+            for k, p in zip(np.flatnonzero(more).tolist(), lowest[more].tolist()):
+                least[k].append(p)
+        _, where, data = each.buffers()
+        where = np.frombuffer(where, np.int32, len(each) + 1)[edge]
+        data = memoryview(data)
+        found: list[list[tuple]] = [[] for _ in range(len(texts))]
+        for k, zero, best, chosen in zip(some.tolist(), at[bound[some]].tolist(), top, least):
+            found[k] = self._best_of(
+                best, [(str(data[where[p] : where[p + 1]], "utf-8"), int(at[p]) - zero, int(at[p + 1] - at[p])) for p in sorted(chosen)])
+        return ids, at[bound], found
 
     def many(self, texts: list[str | None]) -> Iterator[tuple]:
         """The texts' segmentations (see ``__call__``)."""
-        parts = [self.vocabulary.parts(t or "") for t in texts]
-        self.meet(set().union(*parts))
-        return map(self._encoded, parts)
+        ids, begin, found = self.together(pa.array([t or "" for t in texts], pa.string()))
+        return ((ids[lo:hi].tolist(), f) for lo, hi, f in zip(begin[:-1], begin[1:], found))
 
     def _part(self, part: str) -> tuple:
         got = self._old.get(part)
@@ -428,15 +541,17 @@ class Encoder:
         starts = list(accumulate(map(len, pieces), initial=0))
         # only the n - 1 parts that lose least by their second choice can differ in the n best
         least = heapq.nsmallest(self.n - 1, zip(losses, range(len(losses))))
+        return ids, self._best_of(top, [(parts[k], starts[k], starts[k + 1] - starts[k]) for k in sorted(k for _, k in least)])
+
+    def _best_of(self, top: int, places: list[tuple[str, int, int]]) -> list[tuple]:
+        """The n best as (score, edits), from the parts in which they can differ: (part, place of
+        its first token, number of its tokens)."""
+        choices = [self._choices(part) for part, _, _ in places]
         found: list[tuple[int, tuple[tuple[int, int], ...]]] = [(0, ())]
-        for _, k in sorted(least, key=lambda x: x[1]):
-            more = [(lost + x, (*made, (k, r)) if r else made) for lost, made in found for r, (x, _) in enumerate(self._choices(parts[k]))]
+        for k, own in enumerate(choices):
+            more = [(lost + x, (*made, (k, r)) if r else made) for lost, made in found for r, (x, _) in enumerate(own)]
             found = sorted(more)[: self.n]
-
-        def edit(k: int, r: int) -> tuple[int, int, list[int]]:
-            return starts[k], starts[k + 1] - starts[k], self._choices(parts[k])[r][1]
-
-        return ids, [(top - lost, [edit(k, r) for k, r in made]) for lost, made in found]
+        return [(top - lost, [(*places[k][1:], choices[k][r][1]) for k, r in made]) for lost, made in found]
 
 
 def edited(ids: list[int], edits: list[tuple[int, int, list[int]]]) -> list[int]:
@@ -480,17 +595,23 @@ def _numbers(lists: list[list[int]]) -> pa.Array:
     return _lists(list(map(len, lists)), pa.array(np.fromiter(chain.from_iterable(lists), np.int32)))
 
 
-def _columns(rows: list[tuple]) -> list[pa.Array]:
-    """Number of tokens, tokens, scores and edits of encoded texts."""
-    tokens = [ids for ids, _ in rows]
-    found = [f for _, f in rows]
+def _n_best(found: list[list[tuple]]) -> list[pa.Array]:
+    """Scores and edits of the n best."""
     each = list(chain.from_iterable(found))
     edits = list(chain.from_iterable(e for _, e in each))
     scores = np.array([s for s, _ in each], np.float64) / SCALE
     fields = [pa.array([e[0] for e in edits], pa.int32()), pa.array([e[1] for e in edits], pa.int32()), _numbers([e[2] for e in edits])]
     sizes = list(map(len, found))
     of_each = _lists([len(e) for _, e in each], pa.StructArray.from_arrays(fields, ["at", "drop", "ids"]))
-    return [pa.array(list(map(len, tokens)), pa.int64()), _numbers(tokens), _lists(sizes, pa.array(scores)), _lists(sizes, of_each)]
+    return [_lists(sizes, pa.array(scores)), _lists(sizes, of_each)]
+
+
+def _columns(encoder: Encoder, texts: pa.StringArray) -> list[pa.Array]:
+    """Number of tokens, tokens, scores and edits of texts without nulls, and whether the tokens decode to the text."""
+    ids, begin, found = encoder.together(texts)
+    tokens = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids))
+    same = encoder.vocabulary.decodes(ids, begin, texts)
+    return [pa.array(np.diff(begin)), tokens, *_n_best(found), pa.array(same)]
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
@@ -527,15 +648,12 @@ def encode(
         vocabulary = shared.value
         encoder = _encoder(vocabulary, n, memo)
         for batch in batches:
-            every = batch.column(1)
-            sizes = pc.fill_null(pc.utf8_length(every), 0).to_pylist()
+            every = pc.fill_null(batch.column(1).cast(pa.string()), "")
+            sizes = pc.utf8_length(every).to_pylist()
             for lo, hi in chunks([size or 1 for size in sizes], chunk):
-                texts = every.slice(lo, hi - lo).to_pylist()
                 with _no_collection():
-                    rows = list(encoder.many(texts))
-                    same = [vocabulary.decode(ids) == (text or "") for text, (ids, _) in zip(texts, rows)]
-                    columns = _columns(rows)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *columns, pa.array(same, pa.bool_())], names)
+                    columns = _columns(encoder, every.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *columns], names)
 
     own = docs.select(id_text(id_col), F.col(text_col).cast("string").alias("text"))
     edits = "array<array<struct<at: int, drop: int, ids: array<int>>>>"
