@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -17,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SLICE = 1 << 17
 _LONG = 64
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -56,11 +58,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is planned within drops its shuffle files when it has run (else they stay until
+    the driver's collector comes by, and a job of many steps keeps those of all its steps)."""
+    was = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, was)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (lineage cut; the
-    files go when nothing refers to them, if the session cleans checkpoints)."""
+    files go when nothing refers to them, if the session cleans checkpoints).
+    Nothing reads the step's shuffles after that; they are dropped at once."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_dropped(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # the select is planned here
 
 
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
